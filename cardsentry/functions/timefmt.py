@@ -66,6 +66,15 @@ def local_datetime_text(ts) -> Column:
     return F.when(micros == 0, base).otherwise(F.concat(base, secs, frac_text))
 
 
+def iso_local_datetime_text(ts) -> Column:
+    """``DateTimeFormatter.ISO_LOCAL_DATE_TIME`` text: seconds always, the
+    fraction only when non-zero and without trailing zeros."""
+    ts = _col(ts)
+    frac = F.regexp_replace(F.date_format(ts, "SSSSSS"), "0+$", "")
+    base = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+    return F.when(frac == "", base).otherwise(F.concat(base, F.lit("."), frac))
+
+
 def parse_timestamp_ntz(s) -> Column:
     """Parse ISO text with or without fraction / ``T`` separator; NULL when invalid."""
     return _col(s).cast("string").try_cast("timestamp_ntz")

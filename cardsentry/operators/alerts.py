@@ -41,13 +41,16 @@ def union_alerts(*alerts: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [a.select(*ALERT_COLUMNS) for a in alerts])
 
 
-def transaction_struct(prefix: str = "") -> Column:
+def transaction_struct(prefix: str = "", ts_as_text: bool = False) -> Column:
     """The wire-form transaction record ``{cardId, timestamp, value, userId,
-    limit, localization{latitude, longitude}, aboveLimit}``."""
+    limit, localization{latitude, longitude}, aboveLimit}``; with
+    ``ts_as_text`` the timestamp is ISO_LOCAL_DATE_TIME text (for JSON)."""
+    from ..functions.timefmt import iso_local_datetime_text
     p = prefix
+    ts = iso_local_datetime_text(F.col(p + "ts")) if ts_as_text else F.col(p + "ts")
     return F.struct(
         F.col(p + "card_id").alias("cardId"),
-        F.col(p + "ts").alias("timestamp"),
+        ts.alias("timestamp"),
         F.col(p + "value").alias("value"),
         F.col(p + "user_id").alias("userId"),
         F.col(p + "lim").alias("limit"),
