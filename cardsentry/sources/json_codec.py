@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.alerts import transaction_struct
 from ..schema import VALUE_TYPE, WIDE_VALUE_TYPE, WIRE_SCHEMA
@@ -27,7 +28,9 @@ def decode_transactions(raw: DataFrame, value_col: str = "value", seq_col: str |
     ``raw`` (e.g. ``event_ts``), ``quarantine`` has the raw text and a reason.
     """
     text = F.col(value_col).cast("string")
-    parsed = raw.withColumn("_j", F.from_json(text, WIRE_SCHEMA, {"mode": "PERMISSIVE"}))
+    schema = T.StructType(WIRE_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
+    parsed = raw.withColumn("_j", F.from_json(text, schema, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
     j = lambda f: F.col("_j." + f)
     value_wide = j("value").try_cast(WIDE_VALUE_TYPE)
     typed = parsed.select(
@@ -41,7 +44,7 @@ def decode_transactions(raw: DataFrame, value_col: str = "value", seq_col: str |
         j("localization.latitude").alias("lat"),
         j("localization.longitude").alias("lon"),
     )
-    problem = (F.when(F.col("_j").isNull(), F.lit("unparsable"))
+    problem = (F.when(F.col("_j").isNull() | F.col("_j._corrupt_record").isNotNull(), F.lit("unparsable"))
                .when(F.col("card_id").isNull(), F.lit("cardId"))
                .when(F.col("ts").isNull(), F.lit("timestamp"))
                .when(F.col("value_typed").isNull(), F.lit("value"))

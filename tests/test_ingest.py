@@ -1,0 +1,103 @@
+"""Decode / encode and file layouts (S2, S4–S8, G11–G13)."""
+
+import datetime as dt
+import json
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from cardsentry.functions.timefmt import parse_timestamp_pattern
+from cardsentry.operators.alerts import flatten
+from cardsentry.plans.detection import fraud_alerts
+from cardsentry.sources.csv_io import (read_alerts_csv, read_transactions_csv, write_alerts_csv,
+                                       write_transactions_csv)
+from cardsentry.sources.fixture import load_tx
+from cardsentry.sources.json_codec import alert_json, decode_transactions
+from cardsentry.sources.kafka import kafka_records_to_transactions, sink_options, source_options
+from conftest import SF001
+
+GOOD = {"cardId": "101", "timestamp": "2024-06-02T12:00:03", "value": "0.31", "userId": "101",
+        "limit": "1200", "localization": {"latitude": 12.5, "longitude": -71.25}}
+
+
+def _raw(spark, texts):
+    return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "seq long, value string")
+
+
+def test_strings_and_numbers_both_decode(spark):
+    as_numbers = dict(GOOD, cardId=101, userId=101, limit=1200, value=0.31)
+    good, bad = decode_transactions(_raw(spark, [json.dumps(GOOD), json.dumps(as_numbers)]))
+    rows = good.orderBy("seq").collect()
+    assert bad.count() == 0 and len(rows) == 2
+    for r in rows:
+        assert (r.card_id, r.user_id, r.lim, r.value) == (101, 101, 1200, Decimal("0.31"))
+        assert r.ts == dt.datetime(2024, 6, 2, 12, 0, 3)
+        assert (r.lat, r.lon) == (12.5, -71.25)
+
+
+def test_bad_rows_go_to_quarantine(spark):
+    no_loc = {k: v for k, v in GOOD.items() if k != "localization"}
+    texts = ["{bad", json.dumps(no_loc), json.dumps(dict(GOOD, value="0.999")),
+             json.dumps(dict(GOOD, extra="ignored")), json.dumps(dict(GOOD, cardId="x"))]
+    good, bad = decode_transactions(_raw(spark, texts))
+    assert [r.seq for r in good.collect()] == [3]
+    reasons = sorted(r.reason for r in bad.collect())
+    assert reasons == ["cardId", "localization", "unparsable", "value precision"]
+
+
+def test_alert_json_shape(spark):
+    alerts = fraud_alerts(load_tx(spark, SF001))
+    doc = json.loads(alert_json(alerts).first().value)
+    assert set(doc) == {"transaction", "fraudReason"}
+    assert set(doc["transaction"]) == {"cardId", "timestamp", "value", "userId", "limit",
+                                       "localization", "aboveLimit"}
+    assert "T" in doc["transaction"]["timestamp"]
+
+
+def test_flatten_uses_dotted_names(spark):
+    df = spark.createDataFrame([(1, (2.0, 3.0))], "a int, loc struct<lat:double,lon:double>")
+    assert flatten(df).columns == ["a", "loc.lat", "loc.lon"]
+
+
+def test_csv_roundtrip(spark, scratch):
+    tx = load_tx(spark, SF001)
+    write_transactions_csv(tx, f"{scratch}/tx", mode="overwrite")
+    back = read_transactions_csv(spark, f"{scratch}/tx")
+    header = open(next(p for p in __import__("glob").glob(f"{scratch}/tx/*.csv"))).readline().strip()
+    assert header == "cardId,timestamp,value,userId,limit,localization.latitude,localization.longitude"
+    cols = ["card_id", "ts", "value", "user_id", "lim", "lat", "lon"]
+    assert sorted(map(tuple, back.select(*cols).collect())) == sorted(map(tuple, tx.select(*cols).collect()))
+
+    alerts = fraud_alerts(tx)
+    write_alerts_csv(alerts, f"{scratch}/alerts", mode="overwrite")
+    a_back = read_alerts_csv(spark, f"{scratch}/alerts")
+    acols = ["card_id", "ts", "value", "above_limit", "fraud_reason"]
+    assert sorted(map(tuple, a_back.select(*acols).collect())) == \
+        sorted(map(tuple, alerts.select(*acols).collect()))
+
+
+def test_producer_time_format(spark):
+    df = spark.createDataFrame([("2024-06-01 08:00:00",), ("nope",)], "s string")
+    got = [r[0] for r in df.select(parse_timestamp_pattern("s")).collect()]
+    assert got == [dt.datetime(2024, 6, 1, 8, 0), None]
+
+
+def test_kafka_framing_without_a_broker(spark):
+    recs = spark.createDataFrame(
+        [(bytearray(json.dumps(GOOD).encode()), 2, 17, dt.datetime(2024, 6, 2, 12, 0, 3))],
+        "value binary, partition int, offset long, timestamp timestamp")
+    good, bad = kafka_records_to_transactions(recs)
+    r = good.first()
+    assert r.seq == (2 << 40) + 17 and r.event_ts is not None and bad.count() == 0
+    assert source_options("b:9092")["startingOffsets"] == "earliest"
+    assert sink_options("b:9092")["topic"] == "Frauds"
+
+
+def test_decode_is_lossless_on_fixture(spark):
+    from cardsentry.sources.json_codec import encode_transactions
+    tx = load_tx(spark, SF001)
+    good, bad = decode_transactions(encode_transactions(tx))
+    assert bad.count() == 0
+    assert good.select(*tx.columns).exceptAll(tx).count() == 0
+    assert tx.exceptAll(good.select(*tx.columns)).count() == 0
+    assert F is not None
