@@ -1,8 +1,8 @@
 """Time arithmetic and text formatting as column expressions.
 
-Differences are taken on ``TIMESTAMP_NTZ`` values with ``timestampdiff``, so
-they are exact integers of microseconds and never depend on the session
-time zone (no DST jumps).
+Differences are taken on ``TIMESTAMP_NTZ`` wall-clock values as exact
+integers of microseconds and never depend on the session time zone (no DST
+jumps).
 """
 
 from __future__ import annotations
@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -19,7 +17,7 @@ def _col(c) -> Column:
 
 def micros_between(start, end) -> Column:
     """Exact ``end - start`` in microseconds (BIGINT)."""
-    return F.timestamp_diff("MICROSECOND", _col(start), _col(end))
+    return epoch_micros(end) - epoch_micros(start)
 
 
 def abs_whole_seconds(a, b) -> Column:
@@ -35,8 +33,16 @@ def abs_hours_from_millis(a, b) -> Column:
 
 
 def epoch_micros(ts) -> Column:
-    """Microseconds since 1970-01-01T00:00 of a wall-clock timestamp."""
-    return F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), _col(ts))
+    """Microseconds since 1970-01-01T00:00 of a wall-clock timestamp.
+
+    Built from the wall-clock fields read as UTC, so the result never depends
+    on the session time zone (``timestampdiff``/``unix_micros`` would first
+    cast TIMESTAMP_NTZ to a zoned timestamp and shift across DST changes).
+    """
+    ts = _col(ts)
+    as_utc = F.make_timestamp(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts),
+                              F.extract(F.lit("SECOND"), ts), F.lit("UTC"))
+    return F.unix_micros(as_utc)
 
 
 def days_since_epoch(ts) -> Column:

@@ -82,7 +82,8 @@ def main(argv):
     from cardsentry.session import get_session
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:] or list(entry.queries())
-    spark = get_session("local[8]", 8)
+    tz = os.environ.get("ORACLE_TZ")
+    spark = get_session("local[8]", 8, extra={"spark.sql.session.timeZone": tz} if tz else None)
     queries, oracle = entry.queries(), entry.oracle_sql()
     bad = 0
     for n in names:

@@ -38,3 +38,17 @@ def test_expected_counts_sf0001(spark):
     assert q["nearest_in_time"](spark, SF001).count() == 120
     assert q["detect_location_jump"](spark, SF001).count() == 23
     assert q["trailing_24h_repeat"](spark, SF001).count() == 429
+
+
+@pytest.mark.parametrize("name", ["feed_positions", "trailing_24h_repeat", "nearest_in_time",
+                                  "reason_text", "detect_above_limit"])
+def test_results_do_not_depend_on_session_zone(spark, name):
+    """The driver's session may run in any zone: batch plans use wall-clock
+    (TIMESTAMP_NTZ) arithmetic only."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = compare(name, spark, SF01, QUERIES, ORACLE)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["ok"], r
