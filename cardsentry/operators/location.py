@@ -50,16 +50,22 @@ def suspects_with_nearest(tx: DataFrame, length: str = WINDOW_LOCATION, slide: s
     return nearest_in_time(groups, g, "is_main")
 
 
-def velocity_checks(tx: DataFrame, length: str = WINDOW_LOCATION, slide: str | None = None,
-                    key: str = KEY) -> DataFrame:
-    """Suspects with ``distance_km``, ``hours``, ``velocity`` and ``is_fraud``."""
-    s = suspects_with_nearest(tx, length, slide, key)
+def with_velocity(s: DataFrame) -> DataFrame:
+    """Add ``distance_km``, ``hours``, ``velocity`` and ``is_fraud`` to rows
+    carrying their nearest main row ``near`` (NULL ``near`` -> not fraud)."""
     dist = haversine_km(F.col("lat"), F.col("lon"), F.col("near.lat"), F.col("near.lon"))
     hours = abs_hours_from_millis(F.col("near.ts"), F.col("ts"))
     s = (s.withColumn("distance_km", dist)
          .withColumn("hours", hours)
          .withColumn("velocity", velocity_kmh(F.col("distance_km"), F.col("hours"))))
-    return s.withColumn("is_fraud", too_fast(F.col("distance_km"), F.col("velocity")))
+    return s.withColumn("is_fraud", F.coalesce(too_fast(F.col("distance_km"), F.col("velocity")),
+                                               F.lit(False)))
+
+
+def velocity_checks(tx: DataFrame, length: str = WINDOW_LOCATION, slide: str | None = None,
+                    key: str = KEY) -> DataFrame:
+    """Suspects with ``distance_km``, ``hours``, ``velocity`` and ``is_fraud``."""
+    return with_velocity(suspects_with_nearest(tx, length, slide, key))
 
 
 def location_reason(hours="hours", velocity="velocity", distance="distance_km",

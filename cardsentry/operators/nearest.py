@@ -29,10 +29,11 @@ REF_FIELDS = ["ts", "seq", "lat", "lon"]
 
 
 def nearest_in_time(df: DataFrame, group_cols: list[str], is_ref: str = "is_main",
-                    carry: list[str] | None = None) -> DataFrame:
+                    carry: list[str] | None = None, keep_all: bool = False) -> DataFrame:
     """Return the non-reference rows of ``df`` with struct ``near`` (the
     chosen reference row: ts, seq, lat, lon and ``carry`` fields) and
-    ``near_key`` (whole seconds between)."""
+    ``near_key`` (whole seconds between).  With ``keep_all`` every row is
+    returned (``near`` is NULL on reference rows and where a group has none)."""
     fields = REF_FIELDS + [c for c in (carry or []) if c not in REF_FIELDS]
     ref = F.col(is_ref)
     ref_struct = F.when(ref, F.struct(*fields))
@@ -66,7 +67,11 @@ def nearest_in_time(df: DataFrame, group_cols: list[str], is_ref: str = "is_main
 
     near = F.when(F.col("_probe"), F.col("_first_in_key")).otherwise(F.col("_next"))
     key = F.when(F.col("_probe"), F.col("_kb")).otherwise(F.col("_ka"))
-    out = (step2.where(~ref & (F.col("_prev").isNotNull() | F.col("_next").isNotNull()))
-           .withColumn("near", near).withColumn("near_key", key))
+    has_near = ~ref & (F.col("_prev").isNotNull() | F.col("_next").isNotNull())
+    if keep_all:
+        out = (step2.withColumn("near", F.when(has_near, near))
+               .withColumn("near_key", F.when(has_near, key)))
+    else:
+        out = step2.where(has_near).withColumn("near", near).withColumn("near_key", key)
     return out.drop("_kind", "_t_us", "_prev", "_next", "_kb", "_ka", "_probe",
                     "_sort_us", "_kind2", "_first_in_key")

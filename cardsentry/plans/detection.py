@@ -8,22 +8,62 @@ by the streaming driver (see ``cardsentry.streaming``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from ..operators.above_limit import detect_above_limit
-from ..operators.alerts import union_alerts
-from ..operators.location import detect_location_jump
+from ..operators.alerts import above_limit, to_alerts, union_alerts
+from ..operators.location import (clustered_groups, detect_location_jump, location_reason,
+                                  with_velocity)
 from ..operators.low_values import detect_low_values
-from ..schema import WINDOW_ABOVE_LIMIT, WINDOW_LOCATION, WINDOW_LOW_VALUES
+from ..operators.nearest import nearest_in_time
+from ..operators.windows import WINDOW_COLS
+from ..schema import (ABOVE_LIMIT_ALLOWED, ABOVE_LIMIT_SKIP, REASON_ABOVE_LIMIT, WINDOW_ABOVE_LIMIT,
+                      WINDOW_LOCATION, WINDOW_LOW_VALUES)
 
 
 def fraud_alerts(tx: DataFrame,
                  above_limit_window: tuple[str, str | None] = (WINDOW_ABOVE_LIMIT, None),
                  low_values_window: tuple[str, str | None] = (WINDOW_LOW_VALUES, None),
-                 location_window: tuple[str, str | None] = (WINDOW_LOCATION, None)) -> DataFrame:
-    """Union of D1, D2 and D3 alerts in the flat alert layout."""
+                 location_window: tuple[str, str | None] = (WINDOW_LOCATION, None),
+                 fuse: bool = True) -> DataFrame:
+    """Union of D1, D2 and D3 alerts in the flat alert layout.
+
+    When D1 and D3 use the same window (the defaults: 24 h = 1 day, keyed by
+    user), D1 is computed on D3's partitioning (O3): D3 already needs each
+    (user, day) group in one partition for its order-dependent fold, so D1
+    costs no scan or shuffle of its own there.  Otherwise the detectors run
+    separately (D1 then uses its own skew-safe plan).
+    """
+    from ..streaming.detect import _same  # window-spec comparison
+    d2 = detect_low_values(tx, *low_values_window)
+    if fuse and _same(above_limit_window, location_window):
+        return union_alerts(d2, user_day_alerts(tx, location_window))
     return union_alerts(
         detect_above_limit(tx, *above_limit_window),
-        detect_low_values(tx, *low_values_window),
+        d2,
         detect_location_jump(tx, *location_window),
     )
+
+
+def user_day_alerts(tx: DataFrame, window: tuple[str, str | None] = (WINDOW_LOCATION, None),
+                    allowed: int = ABOVE_LIMIT_ALLOWED, skip: int = ABOVE_LIMIT_SKIP) -> DataFrame:
+    """D1 and D3 alerts of the same (user, window) groups in one pass.
+
+    After the clustering fold, one set of window functions over the group
+    gives both the above-limit rank (D1) and the nearest main row (D3); each
+    row then yields 0, 1 or 2 alerts (bag semantics, as the union)."""
+    g = ["user_id", *WINDOW_COLS]
+    groups = clustered_groups(tx, *window)
+    above = above_limit()
+    by_group = Window.partitionBy(*g)
+    arrival = by_group.orderBy(F.when(above, F.lit(0)).otherwise(F.lit(1)), "ts", "seq")
+    ranked = (groups.withColumn("_n_above", F.count_if(above).over(by_group))
+              .withColumn("_rank", F.row_number().over(arrival)))
+    d1 = above & (F.col("_n_above") > F.lit(allowed)) & (F.col("_rank") > F.lit(skip))
+    checked = with_velocity(nearest_in_time(ranked.withColumn("_d1", d1), g, "is_main", keep_all=True))
+    reasons = F.filter(F.array(F.when(F.col("_d1"), F.lit(REASON_ABOVE_LIMIT)),
+                               F.when(F.col("is_fraud"), location_reason())),
+                       lambda r: r.isNotNull())
+    exploded = checked.withColumn("fraud_reason", F.explode(reasons))
+    return to_alerts(exploded, F.col("fraud_reason"), extra=WINDOW_COLS)

@@ -42,3 +42,16 @@ def test_scan_reads_only_needed_columns(spark):
     p = plan(spark, fraud_alerts(load_tx(spark, SF001)))
     schemas = [line for line in p.splitlines() if line.startswith("ReadSchema")]
     assert schemas and all("event_type" not in s for s in schemas), schemas
+
+
+def test_fused_plan_equals_separate_detectors(spark):
+    tx = load_tx(spark, SF001)
+    fused = fraud_alerts(tx, fuse=True)
+    apart = fraud_alerts(tx, fuse=False)
+    assert fused.exceptAll(apart).count() == 0 and apart.exceptAll(fused).count() == 0
+
+
+def test_fused_plan_reads_the_source_three_times(spark):
+    """D2 needs two scans (statistics + low rows); D1+D3 share one."""
+    p = plan(spark, fraud_alerts(load_tx(spark, SF001)))
+    assert p.count("Scan parquet") == 3 * 2     # node + its detail section
