@@ -7,9 +7,11 @@ enough: with a probe at t, references at t−10.9 s and t−10.2 s both have key
 10 and the earlier one wins.  Two ordered scans over the group solve it
 exactly, with no join and no pairs:
 
-1. running ``last`` forward gives ``prev`` (latest reference with ts ≤ t) and
-   backward gives ``next`` (earliest reference with ts > t); their whole-second
-   distances are ``kb`` and ``ka``.
+1. in arrival order (ts, seq), running ``last`` forward gives ``prev`` (the
+   latest reference at or before the probe) and backward gives ``next`` (the
+   first reference after it); their whole-second distances are ``kb`` and
+   ``ka``.  (References sharing the probe's ts land on either side; both
+   have key 0 and step 2 still returns the earliest of them.)
 2. if the earlier side wins (``kb <= ka``) the answer is the earliest
    reference with ts ≥ t − (kb+1) s + 1 µs: a second backward running ``last``
    from a probe moved to that instant.
@@ -37,14 +39,11 @@ def nearest_in_time(df: DataFrame, group_cols: list[str], is_ref: str = "is_main
     fields = REF_FIELDS + [c for c in (carry or []) if c not in REF_FIELDS]
     ref = F.col(is_ref)
     ref_struct = F.when(ref, F.struct(*fields))
-    kind = F.when(ref, F.lit(0)).otherwise(F.lit(1))
     t_us = epoch_micros("ts")
 
-    base = df.withColumn("_kind", kind).withColumn("_t_us", t_us)
-    fwd = (Window.partitionBy(*group_cols).orderBy("ts", "_kind", "seq")
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    bwd = (Window.partitionBy(*group_cols)
-           .orderBy(F.col("ts").desc(), F.col("_kind").desc(), F.col("seq").desc())
+    base = df.withColumn("_t_us", t_us)
+    fwd = arrival_window(group_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bwd = (Window.partitionBy(*group_cols).orderBy(F.col("ts").desc(), F.col("seq").desc())
            .rowsBetween(Window.unboundedPreceding, -1))
     step1 = (base
              .withColumn("_prev", F.last(ref_struct, ignorenulls=True).over(fwd))
@@ -73,5 +72,11 @@ def nearest_in_time(df: DataFrame, group_cols: list[str], is_ref: str = "is_main
                .withColumn("near_key", F.when(has_near, key)))
     else:
         out = step2.where(has_near).withColumn("near", near).withColumn("near_key", key)
-    return out.drop("_kind", "_t_us", "_prev", "_next", "_kb", "_ka", "_probe",
+    return out.drop("_t_us", "_prev", "_next", "_kb", "_ka", "_probe",
                     "_sort_us", "_kind2", "_first_in_key")
+
+
+def arrival_window(group_cols: list[str]):
+    """The group in arrival order, (ts, seq); window functions of other
+    operators that use this spec share its sort."""
+    return Window.partitionBy(*group_cols).orderBy("ts", "seq")

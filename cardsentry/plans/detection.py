@@ -16,7 +16,7 @@ from ..operators.alerts import above_limit, to_alerts, union_alerts
 from ..operators.location import (clustered_groups, detect_location_jump, location_reason,
                                   with_velocity)
 from ..operators.low_values import detect_low_values
-from ..operators.nearest import nearest_in_time
+from ..operators.nearest import arrival_window, nearest_in_time
 from ..operators.windows import WINDOW_COLS
 from ..schema import (ABOVE_LIMIT_ALLOWED, ABOVE_LIMIT_SKIP, REASON_ABOVE_LIMIT, WINDOW_ABOVE_LIMIT,
                       WINDOW_LOCATION, WINDOW_LOW_VALUES)
@@ -56,14 +56,16 @@ def user_day_alerts(tx: DataFrame, window: tuple[str, str | None] = (WINDOW_LOCA
     g = ["user_id", *WINDOW_COLS]
     groups = clustered_groups(tx, *window)
     above = above_limit()
-    by_group = Window.partitionBy(*g)
-    arrival = by_group.orderBy(F.when(above, F.lit(0)).otherwise(F.lit(1)), "ts", "seq")
-    ranked = (groups.withColumn("_n_above", F.count_if(above).over(by_group))
-              .withColumn("_rank", F.row_number().over(arrival)))
+    # Rank among the above-limit rows = running count in arrival order; it
+    # shares the sort of the nearest-in-time forward scan.
+    running = arrival_window(g).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (groups.withColumn("_n_above", F.count_if(above).over(Window.partitionBy(*g)))
+              .withColumn("_rank", F.count_if(above).over(running)))
     d1 = above & (F.col("_n_above") > F.lit(allowed)) & (F.col("_rank") > F.lit(skip))
     checked = with_velocity(nearest_in_time(ranked.withColumn("_d1", d1), g, "is_main", keep_all=True))
+    hits = checked.where(F.col("_d1") | F.col("is_fraud"))
     reasons = F.filter(F.array(F.when(F.col("_d1"), F.lit(REASON_ABOVE_LIMIT)),
                                F.when(F.col("is_fraud"), location_reason())),
                        lambda r: r.isNotNull())
-    exploded = checked.withColumn("fraud_reason", F.explode(reasons))
+    exploded = hits.withColumn("fraud_reason", F.explode(reasons))
     return to_alerts(exploded, F.col("fraud_reason"), extra=WINDOW_COLS)

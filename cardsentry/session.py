@@ -13,15 +13,18 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings that matter at scale.  AQE re-plans joins at runtime: it turns a
-# sort-merge join into a broadcast join only when the measured size of one
-# side is below ``autoBroadcastJoinThreshold`` (a checked bound), and splits
-# skewed shuffle partitions of a sort-merge join into several tasks.
+# Settings that matter at scale.
+# * No broadcast is planned from *estimated* sizes (static threshold -1).
+#   AQE re-plans joins at runtime and turns a sort-merge join into a broadcast
+#   join only when the *measured* shuffle output of one side is below the
+#   adaptive threshold: a checked bound, with the sort-merge join beyond it.
+# * AQE splits skewed partitions of a sort-merge join into several tasks and
+#   coalesces small shuffle partitions towards the advisory size.
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -29,6 +32,19 @@ SCALE_CONF = {
 }
 
 
+# Suggested sizing for a large cluster (100 TB input): start with many shuffle
+# partitions and let AQE coalesce them to ~256 MB; read ~512 MB splits.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "cardsentry", extra: dict | None = None) -> SparkSession:
     """Build (or fetch) a session with the settings above."""

@@ -169,3 +169,20 @@ def test_trailing_reaches_across_midnight(spark):
             dict(value="5.00", ts=dt.datetime(2024, 6, 3, 0, 30)),
             dict(value="150.00", ts=dt.datetime(2024, 6, 3, 1, 0))]
     assert [a.seq for a in detect_trailing_repeat(mk(spark, rows)).collect()] == [2]
+
+
+@pytest.mark.parametrize("mains,expected", [
+    # (offset seconds, seq) of main rows; the suspect is at offset 0 with seq 5
+    ([(0.0, 7), (-0.5, 2), (30.0, 3)], -0.5),   # key 0 on both sides: earliest wins
+    ([(0.0, 7), (0.3, 8), (30.0, 3)], 0.0),     # later arrival at the same instant
+    ([(0.0, 1), (0.0, 7), (-40.0, 3)], 0.0),    # two at the same instant: first arrival
+])
+def test_nearest_with_references_at_the_same_instant(spark, mains, expected):
+    base = T0 + dt.timedelta(hours=5)
+    rows = [dict(ts=base + dt.timedelta(seconds=o), seq=s) for o, s in mains]
+    rows.append(dict(ts=base, seq=5, lon=50.0))
+    s = suspects_with_nearest(mk(spark, rows)).collect()
+    assert len(s) == 1 and s[0].near_key == 0
+    assert s[0].near.ts == base + dt.timedelta(seconds=expected)
+    if expected == 0.0 and mains[0][1] == 1:
+        assert s[0].near.seq == 1
