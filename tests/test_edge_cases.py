@@ -186,3 +186,14 @@ def test_nearest_with_references_at_the_same_instant(spark, mains, expected):
     assert s[0].near.ts == base + dt.timedelta(seconds=expected)
     if expected == 0.0 and mains[0][1] == 1:
         assert s[0].near.seq == 1
+
+
+def test_fixed_centre_variant(spark):
+    """D5: with centres fixed at their first point, a point 94 km from the first
+    point but 142 km from the moved centre joins instead of opening a cluster."""
+    rows = [dict(ts=T0, lon=0.0), dict(ts=T0 + dt.timedelta(minutes=1), lon=0.85),
+            dict(ts=T0 + dt.timedelta(minutes=2), lon=-0.85)]
+    moving = {r.seq: r.cid for r in clustered_groups(mk(spark, rows)).collect()}
+    fixed = {r.seq: r.cid for r in clustered_groups(mk(spark, rows), update_centre=False).collect()}
+    assert [moving[i] for i in range(3)] == [1, 1, 2]
+    assert [fixed[i] for i in range(3)] == [1, 1, 1]

@@ -101,3 +101,17 @@ def test_decode_is_lossless_on_fixture(spark):
     assert good.select(*tx.columns).exceptAll(tx).count() == 0
     assert tx.exceptAll(good.select(*tx.columns)).count() == 0
     assert F is not None
+
+
+def test_batch_job_over_json_files(spark, scratch):
+    from cardsentry.plans.jobs import run_batch
+    from cardsentry.sources.json_codec import encode_transactions
+    tx = load_tx(spark, SF001)
+    encode_transactions(tx).select("value").write.text(f"{scratch}/in")
+    run_batch(spark, f"{scratch}/in", "json", f"{scratch}/out")
+    got = spark.read.parquet(f"{scratch}/out/alerts")
+    want = fraud_alerts(tx)
+    cols = ["card_id", "ts", "value", "fraud_reason"]
+    assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
+    assert want.select(*cols).exceptAll(got.select(*cols)).count() == 0
+    assert spark.read.parquet(f"{scratch}/out/quarantine").count() == 0
