@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import destination_point, haversine_km, initial_bearing_deg
 from ..functions.timefmt import format_2dp, local_datetime_text
 from ..operators.above_limit import above_limit_ranked, detect_above_limit
-from ..operators.alerts import above_limit, flat_alert_layout, flatten, nested_alerts
+from ..operators.alerts import above_limit, flat_alert_layout, flatten
 from ..operators.location import (clustered_groups, detect_location_jump, suspects_with_nearest,
                                   velocity_checks)
 from ..operators.clustering import cluster_summary

@@ -3,7 +3,6 @@ alerts of the batch detectors (minus windows still open at end of input)."""
 
 from pyspark.sql import functions as F
 
-from cardsentry.plans.detection import fraud_alerts
 from cardsentry.sources.fixture import load_tx
 from cardsentry.sources.json_codec import decode_transactions, encode_transactions
 from cardsentry.streaming.detect import parquet_sink, start_detection, windowed_state
