@@ -8,7 +8,8 @@ Plan: a RANGE frame of 24 h over the user's above-limit rows.  To keep a hot
 user from landing whole in one task, rows are partitioned by (user, day) and
 every row is also copied into the next day as read-only context (the 24 h
 look-back never reaches further back than the previous day).  A hot user is
-thereby split into one task per day; each frame is a sliding buffer.
+thereby split into one task per day; the window operator buffers one
+(user, day) group at a time and spills it to disk when it is large.
 Rows sharing a timestamp are counted in arrival order: later arrivals with
 the same ``ts`` are subtracted.
 """

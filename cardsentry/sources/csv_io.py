@@ -28,8 +28,9 @@ def _q(name: str) -> F.Column:
 
 
 def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Transactions CSV -> internal rows (``seq`` from the file position is
-    not available, so it is NULL-free ``monotonically_increasing_id``)."""
+    """Transactions CSV -> internal rows.  The layout has no id, so ``seq``
+    is ``monotonically_increasing_id()``: unique, and increasing in file order
+    within each input split (it breaks ties among equal timestamps)."""
     raw = spark.read.schema(_TX_CSV_SCHEMA).option("header", True).csv(path)
     return raw.select(
         F.monotonically_increasing_id().alias("seq"),

@@ -7,7 +7,9 @@ watermark is 24 h past its latest row (event-time time-out, the TTL).
 
 Within a micro-batch the rows of a user are taken in (ts, seq) order, so for
 in-order input the alerts equal the batch rule's.  State per user is bounded
-by the user's above-limit rate over 24 h, not by the stream.
+by the user's above-limit rate over 24 h, not by the stream; one user's rows
+of a single micro-batch are sorted together in pandas, so a trigger size
+(``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``) bounds that step.
 """
 
 from __future__ import annotations
