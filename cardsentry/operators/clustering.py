@@ -47,36 +47,49 @@ def haversine_py(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
 
 
 def _fold_batches(batches, max_km: float, update_centre: bool):
-    """Leader clustering over batches sorted by (_g1, _g2, ts, seq)."""
+    """Leader clustering over batches sorted by (_g1, _g2, ts, seq).
+
+    Same arithmetic, in the same order, as ``haversine_py``; the centre's
+    cosine is cached per cluster and the point's computed once per row.
+    """
     import numpy as np
+    from math import atan2, cos, radians, sin, sqrt
 
-    cur = None
+    radius = EARTH_RADIUS_KM
+    cur1 = cur2 = None
     clat: list[float] = []
     clon: list[float] = []
+    ccos: list[float] = []
     cn: list[int] = []
     for pdf in batches:
-        n = len(pdf)
-        g1 = pdf["_g1"].to_numpy()
-        g2 = pdf["_g2"].to_numpy()
-        lat = pdf["lat"].to_numpy(dtype="float64")
-        lon = pdf["lon"].to_numpy(dtype="float64")
-        cid = np.empty(n, dtype=np.int32)
-        run_n = np.empty(n, dtype=np.int32)
-        c_lat = np.empty(n, dtype=np.float64)
-        c_lon = np.empty(n, dtype=np.float64)
+        g1 = pdf["_g1"].tolist()
+        g2 = pdf["_g2"].tolist()
+        lat = pdf["lat"].astype("float64").tolist()
+        lon = pdf["lon"].astype("float64").tolist()
+        n = len(lat)
+        cid = [0] * n
+        run_n = [0] * n
+        c_lat = [0.0] * n
+        c_lon = [0.0] * n
         for i in range(n):
-            key = (g1[i], g2[i])
-            if key != cur:
-                cur, clat, clon, cn = key, [], [], []
-            la, lo = float(lat[i]), float(lon[i])
+            if g1[i] != cur1 or g2[i] != cur2:
+                cur1, cur2 = g1[i], g2[i]
+                clat, clon, ccos, cn = [], [], [], []
+            la = lat[i]
+            lo = lon[i]
+            cos_la = cos(radians(la))
             hit = -1
             for j in range(len(clat)):
-                if haversine_py(clat[j], clon[j], la, lo) < max_km:
+                a = sin(radians(la - clat[j]) / 2) ** 2 + ccos[j] * cos_la * sin(radians(lo - clon[j]) / 2) ** 2
+                if a > 1.0:
+                    a = 1.0
+                if radius * (2 * atan2(sqrt(a), sqrt(1 - a))) < max_km:
                     hit = j
                     break
             if hit < 0:
                 clat.append(la)
                 clon.append(lo)
+                ccos.append(cos_la)
                 cn.append(1)
                 cid[i] = len(clat)
                 run_n[i] = 1
@@ -86,12 +99,14 @@ def _fold_batches(batches, max_km: float, update_centre: bool):
                 if update_centre:
                     clat[hit] = (clat[hit] * m + la) / (m + 1)
                     clon[hit] = (clon[hit] * m + lo) / (m + 1)
+                    ccos[hit] = cos(radians(clat[hit]))
                 cn[hit] = m + 1
                 cid[i] = hit + 1
                 run_n[i] = m + 1
                 c_lat[i], c_lon[i] = clat[hit], clon[hit]
-        yield pdf.assign(cid=cid, run_n=run_n, centre_lat=c_lat, centre_lon=c_lon) \
-            .drop(columns=["_g1", "_g2"])
+        yield pdf.drop(columns=["_g1", "_g2"]).assign(
+            cid=np.asarray(cid, dtype=np.int32), run_n=np.asarray(run_n, dtype=np.int32),
+            centre_lat=np.asarray(c_lat, dtype=np.float64), centre_lon=np.asarray(c_lon, dtype=np.float64))
 
 
 def leader_clusters(df: DataFrame, group_cols: list[str], max_km: float = MAX_CENTRE_DISTANCE_KM,
@@ -102,6 +117,11 @@ def leader_clusters(df: DataFrame, group_cols: list[str], max_km: float = MAX_CE
     keeps each centre at its first point (the fixed-centre draft variant).
     """
     key, wstart = group_cols[0], group_cols[1]
+    # DECIMAL columns cross the Python boundary as their exact unscaled
+    # integers (pandas would otherwise build one Decimal object per value).
+    decimals = {f.name: f.dataType for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)}
+    for name, dt in decimals.items():
+        df = df.withColumn(name, (F.col(name) * F.lit(10 ** dt.scale)).cast("long"))
     src = (df.withColumn("_g1", F.col(key).cast("long"))
            .withColumn("_g2", epoch_micros(wstart))
            .repartition(*group_cols)
@@ -111,7 +131,11 @@ def leader_clusters(df: DataFrame, group_cols: list[str], max_km: float = MAX_CE
                                  T.StructField("run_n", T.IntegerType()),
                                  T.StructField("centre_lat", T.DoubleType()),
                                  T.StructField("centre_lon", T.DoubleType())])
-    return src.mapInPandas(lambda it: _fold_batches(it, max_km, update_centre), out_schema)
+    out = src.mapInPandas(lambda it: _fold_batches(it, max_km, update_centre), out_schema)
+    for name, dt in decimals.items():
+        out = out.withColumn(name, (F.col(name).cast(T.DecimalType(38, dt.scale))
+                                    / F.lit(10 ** dt.scale)).cast(dt))
+    return out
 
 
 def with_main_cluster(clustered: DataFrame, group_cols: list[str]) -> DataFrame:
