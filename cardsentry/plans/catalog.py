@@ -41,7 +41,8 @@ def _out(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def _r6(c) -> F.Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+    """Round to 6 decimals; ``+ 0.0`` turns a rounded -0.0 into 0.0."""
+    return F.round(F.col(c) if isinstance(c, str) else c, 6) + F.lit(0.0)
 
 
 ALERT_OUT = ALERT_COLUMNS

@@ -220,7 +220,7 @@ def with_ctes(*ctes: str) -> str:
 
 
 def _r6(x: str) -> str:
-    return f"round({x}, 6)"
+    return f"(round({x}, 6) + 0.0)"
 
 
 _BEARING = ("(((degrees(atan2(sin(radians(lon - home_lon)) * cos(radians(lat)), "
@@ -254,16 +254,16 @@ ORACLE: dict[str, str] = {
                                             "CAST(p05_value AS DOUBLE) AS p05_value, p05_value < 1.0 AS flagged "
                                             "FROM d2_p05",
     "geo_clusters": with_ctes(TX, D3) + "SELECT user_id, window_start, CAST(i AS INTEGER) AS cid, "
-                                        "CAST(cs[i].n AS INTEGER) AS n, round(cs[i].lat, 6) AS centre_lat, "
-                                        "round(cs[i].lon, 6) AS centre_lon "
+                                        "CAST(cs[i].n AS INTEGER) AS n, (round(cs[i].lat, 6) + 0.0) AS centre_lat, "
+                                        "(round(cs[i].lon, 6) + 0.0) AS centre_lon "
                                         "FROM d3_final, range(1, len(cs) + 1) AS r(i)",
     "main_cluster": with_ctes(TX, D3) + "SELECT user_id, window_start, CAST(main_cid AS INTEGER) AS main_cid, "
                                         "CAST(main_n AS INTEGER) AS main_n, CAST(n_clusters AS INTEGER) "
                                         "AS n_clusters FROM d3_groups",
     "nearest_in_time": with_ctes(TX, D3) + "SELECT user_id, window_start, seq, ts, near_seq, near_ts, "
                                            "CAST(near_key AS BIGINT) AS near_key FROM d3_near",
-    "velocity_checks": with_ctes(TX, D3) + "SELECT seq, near_seq, round(distance_km, 6) AS distance_km, "
-                                           "hours, round(velocity, 6) AS velocity, "
+    "velocity_checks": with_ctes(TX, D3) + "SELECT seq, near_seq, (round(distance_km, 6) + 0.0) AS distance_km, "
+                                           "hours, (round(velocity, 6) + 0.0) AS velocity, "
                                            "is_fraud FROM d3_checks",
     "reason_text": with_ctes(TX, D3) + f"SELECT seq, {fmt2('hours')} AS hours_text, "
                                        f"{fmt2('velocity')} AS velocity_text, "
