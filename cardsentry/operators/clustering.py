@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timefmt import epoch_micros
+from .nearest import arrival_window
 from ..schema import EARTH_RADIUS_KM, MAX_CENTRE_DISTANCE_KM
 
 ORDER = ["ts", "seq"]
@@ -144,7 +145,9 @@ def with_main_cluster(clustered: DataFrame, group_cols: list[str]) -> DataFrame:
     ``max(struct(run_n, -cid))`` over the group is the largest final size with
     the first-created cluster winning ties.
     """
-    whole = Window.partitionBy(*group_cols)
+    # Whole-group frame on the arrival-order spec: shares the sort of the
+    # arrival-order scans that follow (an unbounded frame is O(n)).
+    whole = arrival_window(group_cols).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     best = F.max(F.struct(F.col("run_n").alias("n"), (-F.col("cid")).alias("neg_cid"))).over(whole)
     return (clustered
             .withColumn("_best", best)

@@ -59,7 +59,8 @@ def user_day_alerts(tx: DataFrame, window: tuple[str, str | None] = (WINDOW_LOCA
     # Rank among the above-limit rows = running count in arrival order; it
     # shares the sort of the nearest-in-time forward scan.
     running = arrival_window(g).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (groups.withColumn("_n_above", F.count_if(above).over(Window.partitionBy(*g)))
+    whole = arrival_window(g).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = (groups.withColumn("_n_above", F.count_if(above).over(whole))
               .withColumn("_rank", F.count_if(above).over(running)))
     d1 = above & (F.col("_n_above") > F.lit(allowed)) & (F.col("_rank") > F.lit(skip))
     checked = with_velocity(nearest_in_time(ranked.withColumn("_d1", d1), g, "is_main", keep_all=True))

@@ -103,16 +103,19 @@ def alerts_from_closed_windows(groups: DataFrame,
     """Run the detectors on closed windows (the micro-batch of ``windowed_state``)."""
     rows = (groups.select("tag", "window_start", "window_end", "n", F.explode("rows").alias("r"))
             .select("tag", "window_start", "window_end", "n", "r.*"))
-    d1_rows = rows.where(F.col("tag").isin("user", "above")).drop("tag", "n")
-    d3_rows = rows.where(F.col("tag").isin("user", "location")).drop("tag", "n")
-    d1 = detect_above_limit(d1_rows, *above_limit_window)
-    d3 = detect_location_jump(d3_rows, *location_window)
+    if _same(above_limit_window, location_window):
+        from ..plans.detection import user_day_alerts   # D1 + D3 in one pass (O3)
+        d13 = user_day_alerts(rows.where(F.col("tag") == "user").drop("tag", "n"), location_window)
+    else:
+        d13 = detect_above_limit(rows.where(F.col("tag") == "above").drop("tag", "n"), *above_limit_window) \
+            .unionByName(detect_location_jump(rows.where(F.col("tag") == "location").drop("tag", "n"),
+                                              *location_window))
     flagged = (groups.where((F.col("tag") == "low")
                             & (F.size("rows") > p05_index(F.col("n"))))
                .select("window_start", "window_end", F.explode("rows").alias("r"))
                .select("window_start", "window_end", "r.*"))
     d2 = to_alerts(flagged, REASON_LOW_VALUES, extra=["window_start", "window_end"])
-    return union_alerts(d1, d2, d3)
+    return union_alerts(d13, d2)
 
 
 def parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
@@ -138,7 +141,13 @@ def start_detection(stream: DataFrame, sink: Callable[[DataFrame, int], None],
     state = windowed_state(stream, delay, above_limit_window, low_values_window, location_window)
 
     def handle(groups: DataFrame, batch_id: int) -> None:
-        sink(alerts_from_closed_windows(groups, above_limit_window, location_window), batch_id)
+        # The closed windows feed several branches: persist them so the
+        # stateful micro-batch is computed once (the foreachBatch pattern).
+        groups.persist()
+        try:
+            sink(alerts_from_closed_windows(groups, above_limit_window, location_window), batch_id)
+        finally:
+            groups.unpersist()
 
     writer = (state.writeStream.outputMode("append").queryName(query_name)
               .option("checkpointLocation", ckpt).foreachBatch(handle))
