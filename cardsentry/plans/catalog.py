@@ -66,6 +66,14 @@ def q_detect_location_jump(spark, sf):
     return _out(detect_location_jump(load_tx(spark, sf)), WINDOWED_ALERT_OUT)
 
 
+def q_low_values_sliding_84h(spark, sf):
+    return _out(detect_low_values(load_tx(spark, sf), "7 days", "84 hours"), WINDOWED_ALERT_OUT)
+
+
+def q_location_sliding_12h(spark, sf):
+    return _out(detect_location_jump(load_tx(spark, sf), "1 day", "12 hours"), WINDOWED_ALERT_OUT)
+
+
 def q_fraud_alerts(spark, sf):
     return _out(fraud_alerts(load_tx(spark, sf)), ALERT_OUT)
 
@@ -213,6 +221,8 @@ QUERIES: dict[str, Query] = {
     "detect_above_limit": q_detect_above_limit,
     "above_limit_sliding_12h": q_above_limit_sliding_12h,
     "detect_location_jump": q_detect_location_jump,
+    "low_values_sliding_84h": q_low_values_sliding_84h,
+    "location_sliding_12h": q_location_sliding_12h,
     "fraud_alerts": q_fraud_alerts,
     "trailing_24h_repeat": q_trailing_24h_repeat,
     "above_limit_after_k": q_above_limit_after_k,

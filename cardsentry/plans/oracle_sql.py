@@ -51,6 +51,15 @@ def bucket(interval: str, ts: str = "ts") -> str:
     return f"time_bucket(INTERVAL {interval}, {ts}, TIMESTAMP '1970-01-01')"
 
 
+def windowed_tx(length: str, slide: str, copies: int) -> str:
+    """``tx`` with one row per window (length, slide) containing ``ts``;
+    ``copies`` = length / slide.  Windows align to 1970-01-01."""
+    b = bucket(slide)
+    starts = ", ".join([b] + [f"{b} - {i} * INTERVAL {slide}" for i in range(1, copies)])
+    return (f"(SELECT tx.*, s AS window_start, s + INTERVAL {length} AS window_end "
+            f"FROM tx, unnest([{starts}]) AS u(s))")
+
+
 # ---------------------------------------------------------------------------
 # CTE building blocks
 # ---------------------------------------------------------------------------
@@ -100,40 +109,43 @@ d1s AS (
   FROM d1s_ranked WHERE n > 1 AND rn > 3
 )"""
 
-D2 = f"""d2_w AS (
-  SELECT *, {bucket('7 DAYS')} AS window_start, {bucket('7 DAYS')} + INTERVAL 7 DAYS AS window_end FROM tx
-),
-d2_sorted AS (
+def d2_ctes(p: str = "d2", length: str = "7 DAYS", slide: str = "7 DAYS", copies: int = 1) -> str:
+    return f"""{p}_w AS (SELECT * FROM {windowed_tx(length, slide, copies)}),
+{p}_sorted AS (
   SELECT card_id, window_start, value,
          row_number() OVER (PARTITION BY card_id, window_start ORDER BY value, seq) - 1 AS idx,
          count(*) OVER (PARTITION BY card_id, window_start) AS n
-  FROM d2_w
+  FROM {p}_w
 ),
-d2_p05 AS (
+{p}_p05 AS (
   SELECT card_id, window_start, any_value(n) AS n,
          CAST(floor(any_value(n) * 0.05::DOUBLE) AS BIGINT) AS p05_index,
          max(value) FILTER (WHERE idx = CAST(floor(n * 0.05::DOUBLE) AS BIGINT)) AS p05_value
-  FROM d2_sorted GROUP BY card_id, window_start
+  FROM {p}_sorted GROUP BY card_id, window_start
 ),
-d2 AS (
+{p} AS (
   SELECT w.*, '5th percentile lower than 1.0' AS fraud_reason
-  FROM d2_w w JOIN d2_p05 p USING (card_id, window_start)
-  WHERE p.p05_value < 1.0 AND w.value < 1.0
+  FROM {p}_w w JOIN {p}_p05 q USING (card_id, window_start)
+  WHERE q.p05_value < 1.0 AND w.value < 1.0
 )"""
 
+
+D2 = d2_ctes()
+D2_SLIDING = d2_ctes("d2s", "7 DAYS", "84 HOURS", 2)
+
 # D3 -------------------------------------------------------------------------
 _HIT = ("list_position(list_transform(f.cs, lambda c: "
         + hav("c.lat", "c.lon", "p.lat", "p.lon") + " < 100), true)")
 
-D3 = f"""d3_pts AS (
-  SELECT *, {bucket('1 DAY')} AS window_start, {bucket('1 DAY')} + INTERVAL 1 DAY AS window_end,
-         row_number() OVER (PARTITION BY user_id, {bucket('1 DAY')} ORDER BY ts, seq) AS rn
-  FROM tx
+def d3_ctes(p: str = "d3", length: str = "1 DAY", slide: str = "1 DAY", copies: int = 1) -> str:
+    return f"""{p}_pts AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id, window_start ORDER BY ts, seq) AS rn
+  FROM {windowed_tx(length, slide, copies)}
 ),
-d3_fold AS (
+{p}_fold AS (
   SELECT user_id, window_start, rn, seq,
          [{{'lat': lat, 'lon': lon, 'n': 1}}] AS cs, 1 AS cid
-  FROM d3_pts WHERE rn = 1
+  FROM {p}_pts WHERE rn = 1
   UNION ALL
   SELECT p.user_id, p.window_start, p.rn, p.seq,
          CASE WHEN {_HIT} IS NULL
@@ -142,56 +154,60 @@ d3_fold AS (
                    THEN {{'lat': (c.lat * c.n + p.lat) / (c.n + 1), 'lon': (c.lon * c.n + p.lon) / (c.n + 1), 'n': c.n + 1}}
                    ELSE c END) END,
          coalesce({_HIT}, len(f.cs) + 1)
-  FROM d3_fold f JOIN d3_pts p
+  FROM {p}_fold f JOIN {p}_pts p
     ON p.user_id = f.user_id AND p.window_start = f.window_start AND p.rn = f.rn + 1
 ),
-d3_final AS (
-  SELECT user_id, window_start, arg_max(cs, rn) AS cs FROM d3_fold GROUP BY user_id, window_start
+{p}_final AS (
+  SELECT user_id, window_start, arg_max(cs, rn) AS cs FROM {p}_fold GROUP BY user_id, window_start
 ),
-d3_groups AS (
+{p}_groups AS (
   SELECT user_id, window_start, cs, len(cs) AS n_clusters,
          list_position(list_transform(cs, lambda c: c.n), list_max(list_transform(cs, lambda c: c.n))) AS main_cid,
          list_max(list_transform(cs, lambda c: c.n)) AS main_n
-  FROM d3_final
+  FROM {p}_final
 ),
-d3_rows AS (
+{p}_rows AS (
   SELECT p.*, f.cid, g.main_cid, g.main_n, g.n_clusters, f.cid = g.main_cid AS is_main
-  FROM d3_pts p JOIN d3_fold f USING (user_id, window_start, rn)
-  JOIN d3_groups g USING (user_id, window_start)
+  FROM {p}_pts p JOIN {p}_fold f USING (user_id, window_start, rn)
+  JOIN {p}_groups g USING (user_id, window_start)
   WHERE g.n_clusters > 1
 ),
-d3_pairs AS (
+{p}_pairs AS (
   SELECT s.*, m.seq AS near_seq, m.ts AS near_ts, m.lat AS near_lat, m.lon AS near_lon,
          abs(epoch_us(s.ts) - epoch_us(m.ts)) // 1000000 AS near_key,
-         row_number() OVER (PARTITION BY s.seq ORDER BY abs(epoch_us(s.ts) - epoch_us(m.ts)) // 1000000,
+         row_number() OVER (PARTITION BY s.seq, s.window_start ORDER BY abs(epoch_us(s.ts) - epoch_us(m.ts)) // 1000000,
                             m.ts, m.seq) AS pick
-  FROM d3_rows s JOIN d3_rows m
+  FROM {p}_rows s JOIN {p}_rows m
     ON m.user_id = s.user_id AND m.window_start = s.window_start AND m.is_main AND NOT s.is_main
 ),
-d3_near AS (SELECT * EXCLUDE (pick) FROM d3_pairs WHERE pick = 1),
-d3_v AS (
+{p}_near AS (SELECT * EXCLUDE (pick) FROM {p}_pairs WHERE pick = 1),
+{p}_v AS (
   SELECT *, {hav('lat', 'lon', 'near_lat', 'near_lon')} AS distance_km,
          CAST(abs(epoch_us(ts) - epoch_us(near_ts)) // 1000 AS DOUBLE) / 3600000.0 AS hours
-  FROM d3_near
+  FROM {p}_near
 ),
-d3_v2 AS (
+{p}_v2 AS (
   SELECT *, CASE WHEN hours = 0 THEN (CASE WHEN distance_km > 0 THEN 'inf'::DOUBLE ELSE 'nan'::DOUBLE END)
                  ELSE distance_km / hours END AS velocity
-  FROM d3_v
+  FROM {p}_v
 ),
-d3_checks AS (
+{p}_checks AS (
   SELECT *, NOT isnan(velocity) AND CASE WHEN distance_km < 300 THEN velocity > 150 ELSE velocity > 900 END
             AS is_fraud
-  FROM d3_v2
+  FROM {p}_v2
 ),
-d3 AS (
+{p} AS (
   SELECT *, 'Localization changed too fast. Time between is ' || {fmt2('hours')} ||
             'hours. Computed velocity is: ' || {fmt2('velocity')} || ' for distance ' ||
             {fmt2('distance_km')} || '. One transaction timestamp is ' || {ldt('near_ts')} ||
             ' the second is ' || {ldt('ts')} AS fraud_reason
-  FROM d3_checks WHERE is_fraud
+  FROM {p}_checks WHERE is_fraud
 )"""
 
+
+D3 = d3_ctes()
+D3_SLIDING = d3_ctes("d3s", "1 DAY", "12 HOURS", 2)
+
 D4 = f"""d4 AS (
   SELECT {ALERT_SELECT} FROM d1
   UNION ALL SELECT {ALERT_SELECT} FROM d2
@@ -245,6 +261,8 @@ ORACLE: dict[str, str] = {
     "detect_above_limit": with_ctes(TX, D1) + f"SELECT {WALERT_SELECT} FROM d1",
     "above_limit_sliding_12h": with_ctes(TX, D1_SLIDING) + f"SELECT {WALERT_SELECT} FROM d1s",
     "detect_location_jump": with_ctes(TX, D3) + f"SELECT {WALERT_SELECT} FROM d3",
+    "low_values_sliding_84h": with_ctes(TX, D2_SLIDING) + f"SELECT {WALERT_SELECT} FROM d2s",
+    "location_sliding_12h": with_ctes(TX, D3_SLIDING) + f"SELECT {WALERT_SELECT} FROM d3s",
     "fraud_alerts": with_ctes(TX, D1, D2, D3, D4) + "SELECT * FROM d4",
     "trailing_24h_repeat": with_ctes(TX, W1) + f"SELECT {ALERT_SELECT} FROM w1",
     "above_limit_after_k": with_ctes(TX, D1) + "SELECT user_id, window_start, window_end, seq, ts, "
