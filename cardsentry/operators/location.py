@@ -24,7 +24,7 @@ from ..schema import (MAX_CENTRE_DISTANCE_KM, REASON_LOCATION_DISTANCE, REASON_L
                       REASON_LOCATION_HOURS, REASON_LOCATION_PREFIX, REASON_LOCATION_SECOND_TS,
                       WINDOW_LOCATION)
 from .alerts import to_alerts
-from .clustering import leader_clusters, with_main_cluster
+from .clustering import leader_clusters, single_cluster_groups, with_main_cluster
 from .nearest import nearest_in_time
 from .windows import WINDOW_COLS, assign_windows
 
@@ -41,12 +41,27 @@ def clustered_groups(tx: DataFrame, length: str = WINDOW_LOCATION, slide: str |
     return with_main_cluster(leader_clusters(w, g, max_km, update_centre), g)
 
 
+def multi_cluster_candidates(tx: DataFrame, length: str = WINDOW_LOCATION, slide: str | None = None,
+                             key: str = KEY) -> DataFrame:
+    """Windowed rows of the groups that may hold more than one cluster.
+
+    Groups that provably form a single cluster (``single_cluster_groups``)
+    have no suspect and are dropped before the order-dependent fold, by a
+    semi join with the remaining groups; a hot user who stays within one area
+    never reaches the sequential step."""
+    g = [key, *WINDOW_COLS]
+    w = assign_windows(tx, length, slide)
+    spread = single_cluster_groups(w, g).where(~F.col("single")).select(*g)
+    return w.join(spread, g, "left_semi")
+
+
 def suspects_with_nearest(tx: DataFrame, length: str = WINDOW_LOCATION, slide: str | None = None,
                           key: str = KEY) -> DataFrame:
     """Suspects (rows outside the main cluster of a multi-cluster group) with
     the nearest main row ``near`` and ``near_key``."""
     g = [key, *WINDOW_COLS]
-    groups = clustered_groups(tx, length, slide, key).where(F.col("n_clusters") > 1)
+    w = multi_cluster_candidates(tx, length, slide, key)
+    groups = with_main_cluster(leader_clusters(w, g), g).where(F.col("n_clusters") > 1)
     return nearest_in_time(groups, g, "is_main")
 
 

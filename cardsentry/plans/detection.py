@@ -26,14 +26,18 @@ def fraud_alerts(tx: DataFrame,
                  above_limit_window: tuple[str, str | None] = (WINDOW_ABOVE_LIMIT, None),
                  low_values_window: tuple[str, str | None] = (WINDOW_LOW_VALUES, None),
                  location_window: tuple[str, str | None] = (WINDOW_LOCATION, None),
-                 fuse: bool = True) -> DataFrame:
+                 fuse: bool = False) -> DataFrame:
     """Union of D1, D2 and D3 alerts in the flat alert layout.
 
-    When D1 and D3 use the same window (the defaults: 24 h = 1 day, keyed by
-    user), D1 is computed on D3's partitioning (O3): D3 already needs each
-    (user, day) group in one partition for its order-dependent fold, so D1
-    costs no scan or shuffle of its own there.  Otherwise the detectors run
-    separately (D1 then uses its own skew-safe plan).
+    Default: the detectors run on their own plans.  D1 and D2 are skew-safe
+    (partial aggregates, map-side group limits); D3 sends to its sequential
+    fold only the groups that may hold several clusters, so a hot user who
+    stays in one area never reaches a single task.
+
+    ``fuse=True`` (O3) computes D1 on D3's (user, day) partitioning when the
+    windows agree: one scan and shuffle fewer, but every group then passes
+    through one task, so use it only when no single user-day is huge (the
+    streaming driver does, on micro-batches of closed windows).
     """
     from ..streaming.detect import _same  # window-spec comparison
     d2 = detect_low_values(tx, *low_values_window)

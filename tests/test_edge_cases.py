@@ -197,3 +197,32 @@ def test_fixed_centre_variant(spark):
     fixed = {r.seq: r.cid for r in clustered_groups(mk(spark, rows), update_centre=False).collect()}
     assert [moving[i] for i in range(3)] == [1, 1, 2]
     assert [fixed[i] for i in range(3)] == [1, 1, 1]
+
+
+def test_single_cluster_shortcut_is_sound(spark):
+    """Groups the shortcut marks as single-cluster really fold into one
+    cluster: random boxes of 1-200 km at any latitude, near the poles and
+    across the antimeridian, plus the fixture."""
+    import random
+    from cardsentry.operators.clustering import single_cluster_groups
+    from cardsentry.sources.fixture import load_tx
+    from conftest import SF01
+    rnd = random.Random(7)
+    rows, seq = [], 0
+    for u in range(1500):
+        lat0 = rnd.choice([rnd.uniform(-89.5, 89.5), rnd.uniform(80, 89.9), rnd.uniform(-5, 5)])
+        lon0 = rnd.choice([rnd.uniform(-180, 180), rnd.uniform(179.0, 180.5)])
+        span = rnd.choice([0.01, 0.1, 0.4, 0.8, 1.5])
+        for i in range(rnd.randint(1, 25)):
+            lat = max(-90.0, min(90.0, lat0 + rnd.uniform(-span, span)))
+            rows.append(dict(seq=seq, user_id=u, ts=T0 + dt.timedelta(minutes=i), lat=lat,
+                             lon=lon0 + rnd.uniform(-span, span) / max(0.05, math.cos(math.radians(lat0)))))
+            seq += 1
+    for df in (mk(spark, rows), load_tx(spark, SF01)):
+        g = ["user_id", "window_start", "window_end"]
+        w = assign_windows(df, "1 day")
+        single = single_cluster_groups(w, g)
+        folded = clustered_groups(df).select(*g, "n_clusters").dropDuplicates(g)
+        joined = single.join(folded, g)
+        assert joined.where("single AND n_clusters <> 1").count() == 0
+        assert joined.where("single").count() > 0          # the shortcut does fire

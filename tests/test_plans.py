@@ -26,6 +26,13 @@ def test_no_python_and_no_group_collection(spark, build):
     assert "collect_list" not in p, p
 
 
+def test_single_cluster_groups_skip_the_fold(spark):
+    """The fold's input is semi-joined with the groups that may hold several
+    clusters (the box test is a partial aggregate)."""
+    p = plan(spark, detect_location_jump(load_tx(spark, SF001)))
+    assert "LeftSemi" in p and "MapInPandas" in p
+
+
 def test_location_has_one_python_step(spark):
     p = plan(spark, detect_location_jump(load_tx(spark, SF001)))
     assert p.count("MapInPandas") == 2          # the node and its detail section
@@ -53,5 +60,5 @@ def test_fused_plan_equals_separate_detectors(spark):
 
 def test_fused_plan_reads_the_source_three_times(spark):
     """D2 needs two scans (statistics + low rows); D1+D3 share one."""
-    p = plan(spark, fraud_alerts(load_tx(spark, SF001)))
+    p = plan(spark, fraud_alerts(load_tx(spark, SF001), fuse=True))
     assert p.count("Scan parquet") == 3 * 2     # node + its detail section
