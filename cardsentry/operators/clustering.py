@@ -139,6 +139,22 @@ def leader_clusters(df: DataFrame, group_cols: list[str], max_km: float = MAX_CE
     return out
 
 
+def leader_clusters_skipping_single(df: DataFrame, group_cols: list[str],
+                                    max_km: float = MAX_CENTRE_DISTANCE_KM) -> DataFrame:
+    """``leader_clusters`` for detection: groups that provably form one
+    cluster (``single_cluster_groups``) bypass the fold and get ``cid = 1``
+    (their ``run_n`` and centres are left NULL: detection needs neither)."""
+    flags = single_cluster_groups(df, group_cols, max_km)
+    tagged = df.join(flags, group_cols)
+    multi = leader_clusters(tagged.where(~F.col("single")).drop("single"), group_cols, max_km)
+    single = (tagged.where(F.col("single")).drop("single")
+              .withColumn("cid", F.lit(1))
+              .withColumn("run_n", F.lit(None).cast("int"))
+              .withColumn("centre_lat", F.lit(None).cast("double"))
+              .withColumn("centre_lon", F.lit(None).cast("double")))
+    return multi.unionByName(single)
+
+
 def with_main_cluster(clustered: DataFrame, group_cols: list[str]) -> DataFrame:
     """Add ``main_cid``, ``main_n`` and ``n_clusters`` per group; ``is_main`` per row.
 

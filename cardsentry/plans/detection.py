@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from ..operators.above_limit import detect_above_limit
 from ..operators.alerts import above_limit, to_alerts, union_alerts
-from ..operators.location import (clustered_groups, detect_location_jump, location_reason,
-                                  with_velocity)
+from ..operators.clustering import (leader_clusters, leader_clusters_skipping_single,
+                                   with_main_cluster)
+from ..operators.location import detect_location_jump, location_reason, with_velocity
 from ..operators.low_values import detect_low_values
 from ..operators.nearest import arrival_window, nearest_in_time
-from ..operators.windows import WINDOW_COLS
+from ..operators.windows import WINDOW_COLS, assign_windows
 from ..schema import (ABOVE_LIMIT_ALLOWED, ABOVE_LIMIT_SKIP, REASON_ABOVE_LIMIT, WINDOW_ABOVE_LIMIT,
                       WINDOW_LOCATION, WINDOW_LOW_VALUES)
 
@@ -42,7 +43,7 @@ def fraud_alerts(tx: DataFrame,
     from ..streaming.detect import _same  # window-spec comparison
     d2 = detect_low_values(tx, *low_values_window)
     if fuse and _same(above_limit_window, location_window):
-        return union_alerts(d2, user_day_alerts(tx, location_window))
+        return union_alerts(d2, user_day_alerts(tx, location_window, skip_single=False))
     return union_alerts(
         detect_above_limit(tx, *above_limit_window),
         d2,
@@ -51,14 +52,20 @@ def fraud_alerts(tx: DataFrame,
 
 
 def user_day_alerts(tx: DataFrame, window: tuple[str, str | None] = (WINDOW_LOCATION, None),
-                    allowed: int = ABOVE_LIMIT_ALLOWED, skip: int = ABOVE_LIMIT_SKIP) -> DataFrame:
+                    allowed: int = ABOVE_LIMIT_ALLOWED, skip: int = ABOVE_LIMIT_SKIP,
+                    skip_single: bool = True) -> DataFrame:
     """D1 and D3 alerts of the same (user, window) groups in one pass.
 
     After the clustering fold, one set of window functions over the group
     gives both the above-limit rank (D1) and the nearest main row (D3); each
-    row then yields 0, 1 or 2 alerts (bag semantics, as the union)."""
+    row then yields 0, 1 or 2 alerts (bag semantics, as the union).
+    ``skip_single`` lets provably single-cluster groups bypass the fold (it
+    reads the input twice more: worth it when the input is cached, as a
+    streaming micro-batch is)."""
     g = ["user_id", *WINDOW_COLS]
-    groups = clustered_groups(tx, *window)
+    w = assign_windows(tx, *window)
+    clustered = leader_clusters_skipping_single(w, g) if skip_single else leader_clusters(w, g)
+    groups = with_main_cluster(clustered, g)
     above = above_limit()
     # Rank among the above-limit rows = running count in arrival order; it
     # shares the sort of the nearest-in-time forward scan.

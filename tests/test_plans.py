@@ -62,3 +62,12 @@ def test_fused_plan_reads_the_source_three_times(spark):
     """D2 needs two scans (statistics + low rows); D1+D3 share one."""
     p = plan(spark, fraud_alerts(load_tx(spark, SF001), fuse=True))
     assert p.count("Scan parquet") == 3 * 2     # node + its detail section
+
+
+def test_single_cluster_shortcut_keeps_fused_results(spark):
+    from cardsentry.plans.detection import user_day_alerts
+    tx = load_tx(spark, SF001)
+    a = user_day_alerts(tx, skip_single=True)
+    b = user_day_alerts(tx, skip_single=False)
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
