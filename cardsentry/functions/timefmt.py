@@ -45,6 +45,13 @@ def epoch_micros(ts) -> Column:
     return F.unix_micros(as_utc)
 
 
+def utc_wall_clock(ts) -> Column:
+    """TIMESTAMP (an instant) -> TIMESTAMP_NTZ of its UTC wall clock, whatever
+    the session time zone (a plain cast would use the session zone)."""
+    secs = (F.unix_micros(_col(ts)) / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(secs=secs)
+
+
 def days_since_epoch(ts) -> Column:
     """Fractional days since the epoch (chart colour axis)."""
     return epoch_micros(ts).cast("double") / F.lit(86_400_000_000.0)

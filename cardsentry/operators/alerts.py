@@ -36,9 +36,11 @@ def to_alerts(rows: DataFrame, reason, extra: list[str] | None = None) -> DataFr
     return rows.select(*cols)
 
 
-def union_alerts(*alerts: DataFrame) -> DataFrame:
-    """Bag union (UNION ALL) of alert streams; a row may alert once per detector."""
-    return reduce(lambda a, b: a.unionByName(b), [a.select(*ALERT_COLUMNS) for a in alerts])
+def union_alerts(*alerts: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """Bag union (UNION ALL) of alert streams; a row may alert once per detector.
+    ``extra`` columns (e.g. the window bounds) are kept when every input has them."""
+    cols = ALERT_COLUMNS + list(extra or [])
+    return reduce(lambda a, b: a.unionByName(b), [a.select(*cols) for a in alerts])
 
 
 def transaction_struct(prefix: str = "", ts_as_text: bool = False) -> Column:

@@ -264,6 +264,9 @@ ORACLE: dict[str, str] = {
     "low_values_sliding_84h": with_ctes(TX, D2_SLIDING) + f"SELECT {WALERT_SELECT} FROM d2s",
     "location_sliding_12h": with_ctes(TX, D3_SLIDING) + f"SELECT {WALERT_SELECT} FROM d3s",
     "fraud_alerts": with_ctes(TX, D1, D2, D3, D4) + "SELECT * FROM d4",
+    "stream_fraud_alerts": with_ctes(TX, D1, D2, D3) + (
+        f"SELECT * FROM (SELECT {WALERT_SELECT} FROM d1 UNION ALL SELECT {WALERT_SELECT} FROM d2 "
+        f"UNION ALL SELECT {WALERT_SELECT} FROM d3) WHERE window_end <= (SELECT max(ts) FROM tx)"),
     "trailing_24h_repeat": with_ctes(TX, W1) + f"SELECT {ALERT_SELECT} FROM w1",
     "above_limit_after_k": with_ctes(TX, D1) + "SELECT user_id, window_start, window_end, seq, ts, "
                                                "CAST(n AS BIGINT) AS n FROM d1",

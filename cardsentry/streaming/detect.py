@@ -115,7 +115,7 @@ def alerts_from_closed_windows(groups: DataFrame,
                .select("window_start", "window_end", F.explode("rows").alias("r"))
                .select("window_start", "window_end", "r.*"))
     d2 = to_alerts(flagged, REASON_LOW_VALUES, extra=["window_start", "window_end"])
-    return union_alerts(d13, d2)
+    return union_alerts(d13, d2, extra=["window_start", "window_end"])
 
 
 def parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
