@@ -46,7 +46,11 @@ def _r6(c) -> F.Column:
 
 
 ALERT_OUT = ALERT_COLUMNS
-WINDOWED_ALERT_OUT = ALERT_COLUMNS + WINDOW_COLS
+# Micro-batch bound of the registered streaming queries (files per trigger).
+STREAM_FILES_PER_TRIGGER = 16
+WINDOWED_ALERT_OUT = ALERT_COLUMNS
+# Micro-batch bound of the registered streaming queries (files per trigger).
+STREAM_FILES_PER_TRIGGER = 16 + WINDOW_COLS
 
 
 # -- detectors ---------------------------------------------------------------
@@ -88,7 +92,7 @@ def q_stream_fraud_alerts(spark, sf):
     from pyspark.sql import types as T
     events_schema = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").schema
     stream = (spark.readStream.schema(events_schema).option("pathGlobFilter", "events.parquet")
-              .parquet(sf.rstrip("/")))
+              .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(sf.rstrip("/")))
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cardsentry/stream_fraud_alerts/{uuid.uuid4().hex}"
     q = start_detection(transactions_from_events(stream), parquet_sink(f"{base}/alerts"),
                         checkpoint_location=f"{base}/state", trigger={"availableNow": True},
@@ -105,6 +109,28 @@ def q_stream_fraud_alerts(spark, sf):
     return _out(alerts, WINDOWED_ALERT_OUT)
 
 
+def q_stream_trailing_24h_repeat(spark, sf):
+    """The keyed-state trailing rule (``applyInPandasWithState`` with an
+    event-time time-out) over the ``events`` table read as a file stream."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..sources.fixture import transactions_from_events
+    from ..streaming.trailing import trailing_repeat_stream
+    events_schema = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").schema
+    stream = (spark.readStream.schema(events_schema).option("pathGlobFilter", "events.parquet")
+              .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(sf.rstrip("/")))
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cardsentry/stream_trailing/{uuid.uuid4().hex}"
+    alerts = trailing_repeat_stream(transactions_from_events(stream))
+    q = (alerts.writeStream.format("parquet").outputMode("append").option("path", f"{base}/alerts")
+         .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    from ..streaming.trailing import ALERT_OUT
+    return _out(spark.read.schema(ALERT_OUT).parquet(f"{base}/alerts"), ALERT_OUT.fieldNames())
+
+
 def q_fraud_alerts(spark, sf):
     return _out(fraud_alerts(load_tx(spark, sf)), ALERT_OUT)
 
@@ -256,6 +282,7 @@ QUERIES: dict[str, Query] = {
     "location_sliding_12h": q_location_sliding_12h,
     "fraud_alerts": q_fraud_alerts,
     "stream_fraud_alerts": q_stream_fraud_alerts,
+    "stream_trailing_24h_repeat": q_stream_trailing_24h_repeat,
     "trailing_24h_repeat": q_trailing_24h_repeat,
     "above_limit_after_k": q_above_limit_after_k,
     "p05_by_card_week": q_p05_by_card_week,

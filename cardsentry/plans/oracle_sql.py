@@ -268,6 +268,7 @@ ORACLE: dict[str, str] = {
         f"SELECT * FROM (SELECT {WALERT_SELECT} FROM d1 UNION ALL SELECT {WALERT_SELECT} FROM d2 "
         f"UNION ALL SELECT {WALERT_SELECT} FROM d3) WHERE window_end <= (SELECT max(ts) FROM tx)"),
     "trailing_24h_repeat": with_ctes(TX, W1) + f"SELECT {ALERT_SELECT} FROM w1",
+    "stream_trailing_24h_repeat": with_ctes(TX, W1) + f"SELECT {ALERT_SELECT} FROM w1",
     "above_limit_after_k": with_ctes(TX, D1) + "SELECT user_id, window_start, window_end, seq, ts, "
                                                "CAST(n AS BIGINT) AS n FROM d1",
     "p05_by_card_week": with_ctes(TX, D2) + "SELECT card_id, window_start, window_start + INTERVAL 7 DAYS "
