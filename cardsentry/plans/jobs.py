@@ -42,7 +42,8 @@ def run_batch(spark: SparkSession, input_path: str, fmt: str, output_path: str)
 
 
 def run_stream(spark: SparkSession, input_path: str, fmt: str, output_path: str,
-               kafka: str | None = None, checkpoint: str | None = None, delay: str = "0 seconds"):
+               kafka: str | None = None, checkpoint: str | None = None, delay: str = "0 seconds",
+               trigger: dict | None = None):
     from ..sources.kafka import read_transactions_stream
     from ..streaming.detect import parquet_sink, start_detection
     from ..streaming.sinks import kafka_alert_sink
@@ -56,7 +57,7 @@ def run_stream(spark: SparkSession, input_path: str, fmt: str, output_path: str,
     else:
         tx = spark.readStream.schema(TX_SCHEMA).parquet(input_path)
     sink = kafka_alert_sink(kafka) if kafka and not output_path else parquet_sink(output_path)
-    return start_detection(tx, sink, checkpoint_location=checkpoint, delay=delay)
+    return start_detection(tx, sink, checkpoint_location=checkpoint, delay=delay, trigger=trigger)
 
 
 def main(argv=None) -> None:

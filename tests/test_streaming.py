@@ -132,3 +132,16 @@ def test_csv_export_stream(spark, scratch):
     q.awaitTermination(300)
     back = read_transactions_csv(spark, f"{scratch}/csv")
     assert back.count() == tx.count()
+
+
+def test_stream_job_entry_point(spark, scratch):
+    """``python -m cardsentry stream`` path: parquet files in, alerts out."""
+    from cardsentry.plans.jobs import run_stream
+    from conftest import SF001
+    tx = load_tx(spark, SF001)
+    tx.write.parquet(f"{scratch}/in")
+    q = run_stream(spark, f"{scratch}/in", "parquet", f"{scratch}/out",
+                   checkpoint=f"{scratch}/ck", trigger={"availableNow": True})
+    q.awaitTermination(300)
+    assert q.exception() is None
+    assert spark.read.parquet(f"{scratch}/out").count() > 0
