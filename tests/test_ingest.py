@@ -115,3 +115,22 @@ def test_batch_job_over_json_files(spark, scratch):
     assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
     assert want.select(*cols).exceptAll(got.select(*cols)).count() == 0
     assert spark.read.parquet(f"{scratch}/out/quarantine").count() == 0
+
+
+def test_fail_fast_decode_raises(spark):
+    import pytest as _pytest
+    good, _ = decode_transactions(_raw(spark, [json.dumps(GOOD), "{bad"]), fail_fast=True)
+    with _pytest.raises(Exception, match="bad transaction"):
+        good.collect()
+
+
+def test_feeds_restricted_to_cards(spark):
+    from cardsentry.plans.feeds import feed_above_limit, feed_low_values, feed_positions
+    tx = load_tx(spark, SF001)
+    cards = [r.card_id for r in tx.select("card_id").distinct().limit(2).collect()]
+    for feed in (feed_above_limit, feed_low_values, feed_positions):
+        got = {r.card_id for r in feed(tx, cards=cards).select("card_id").distinct().collect()}
+        assert got == set(cards)
+    # limit0 is the limit on the card's first row
+    first = (tx.where(F.col("card_id") == cards[0]).orderBy("ts", "seq").first().lim)
+    assert {r.limit0 for r in feed_above_limit(tx, cards=cards[:1]).collect()} == {first}
