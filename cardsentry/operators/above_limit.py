@@ -7,7 +7,8 @@ defaults) is an alert.  With the defaults a group of 2 crashes the reference
 (``subList(3, 2)``); here it yields no alert.
 
 Plan: rank > skip  ⇔  (ts, seq) > the skip-th smallest (ts, seq) of the group.
-* ``n`` per group: partial aggregate.
+* ``n`` per group: partial aggregate (only when ``allowed > skip``: otherwise
+  a rank above ``skip`` implies ``n > allowed``).
 * the first ``skip`` rows per group: ``row_number() <= skip``, which Spark
   plans with a *partial* ``WindowGroupLimit`` below the shuffle, so each map
   task sends at most ``skip`` rows per group; their max is the threshold.
@@ -37,18 +38,24 @@ def first_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list[str
 
 def above_limit_ranked(tx: DataFrame, length: str = WINDOW_ABOVE_LIMIT, slide: str | None = None,
                        allowed: int = ABOVE_LIMIT_ALLOWED, skip: int = ABOVE_LIMIT_SKIP,
-                       key: str = KEY) -> DataFrame:
+                       key: str = KEY, with_count: bool = True) -> DataFrame:
     """Above-limit rows of groups with ``n > allowed`` whose rank is above
-    ``skip``; adds ``n`` (the group's above-limit count) and the window."""
+    ``skip``, with the window; ``with_count`` adds ``n`` (the group's
+    above-limit count).
+
+    Without ``with_count`` and with ``allowed <= skip`` (the defaults), a rank
+    above ``skip`` already implies ``n > allowed``, so the count aggregate,
+    its scan and its join are left out."""
     above = assign_windows(tx.where(above_limit()), length, slide)
     g = [key, *WINDOW_COLS]
+    need_count = with_count or allowed > skip or skip <= 0
     counts = (above.groupBy(*g).agg(F.count(F.lit(1)).alias("n"))
-              .where(F.col("n") > F.lit(allowed)))
+              .where(F.col("n") > F.lit(allowed))) if need_count else None
     if skip <= 0:
         return above.join(counts, g, "inner")
     kth = (first_k_per_group(above.select(*g, *ORDER), g, ORDER, skip)
            .groupBy(*g).agg(F.max(F.struct(*ORDER)).alias("_kth")))
-    stats = counts.join(kth, g, "inner").where(F.col("n") > F.lit(skip))
+    stats = counts.join(kth, g, "inner").where(F.col("n") > F.lit(skip)) if need_count else kth
     return (above.join(stats, g, "inner")
             .where(F.struct(*ORDER) > F.col("_kth"))
             .drop("_kth"))
@@ -58,5 +65,5 @@ def detect_above_limit(tx: DataFrame, length: str = WINDOW_ABOVE_LIMIT, slide: s
                        allowed: int = ABOVE_LIMIT_ALLOWED, skip: int = ABOVE_LIMIT_SKIP,
                        key: str = KEY) -> DataFrame:
     """Flat alerts (tx columns, above_limit, fraud_reason, window_start, window_end)."""
-    rows = above_limit_ranked(tx, length, slide, allowed, skip, key)
+    rows = above_limit_ranked(tx, length, slide, allowed, skip, key, with_count=False)
     return to_alerts(rows, REASON_ABOVE_LIMIT, extra=WINDOW_COLS)

@@ -226,3 +226,11 @@ def test_single_cluster_shortcut_is_sound(spark):
         joined = single.join(folded, g)
         assert joined.where("single AND n_clusters <> 1").count() == 0
         assert joined.where("single").count() > 0          # the shortcut does fire
+
+
+@pytest.mark.parametrize("n,expected", [(4, 0), (5, 4)])
+def test_above_limit_allowed_above_skip(spark, n, expected):
+    """allowed=4, skip=1: a group needs 5 above-limit rows, then rows 2..n alert."""
+    rows = [dict(value="150.00", ts=T0 + dt.timedelta(minutes=i)) for i in range(n)]
+    alerts = detect_above_limit(mk(spark, rows), allowed=4, skip=1).collect()
+    assert sorted(a.seq for a in alerts) == list(range(1, n))[:expected]
