@@ -33,7 +33,7 @@ from ..operators.location import detect_location_jump
 from ..operators.low_values import p05_index
 from ..schema import (LOW_VALUE_THRESHOLD, REASON_LOW_VALUES, TX_COLUMNS, VALUE_TYPE,
                       WINDOW_ABOVE_LIMIT, WINDOW_LOCATION, WINDOW_LOW_VALUES)
-from ..session import checkpoint_dir
+from ..session import ensure_checkpoint_dir
 
 WindowSpec = tuple[str, str | None]
 
@@ -137,7 +137,7 @@ def start_detection(stream: DataFrame, sink: Callable[[DataFrame, int], None],
     shared folder the cluster names, so a restarted driver resumes.
     """
     spark = stream.sparkSession
-    ckpt = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/{query_name}"
+    ckpt = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/{query_name}"
     state = windowed_state(stream, delay, above_limit_window, low_values_window, location_window)
 
     def handle(groups: DataFrame, batch_id: int) -> None:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.alerts import flat_alert_layout
 from ..schema import ALERT_TOPIC, CSV_FLUSH_ROWS
-from ..session import checkpoint_dir
+from ..session import ensure_checkpoint_dir
 from ..sources.csv_io import transactions_csv_layout
 from ..sources.kafka import write_alerts
 from .detect import parquet_sink
@@ -34,7 +34,7 @@ def start_csv_export(stream: DataFrame, path: str, layout: str = "transactions",
     """Append a stream to CSV files; ``layout`` is ``transactions`` or ``alerts``."""
     flat = transactions_csv_layout(stream) if layout == "transactions" else flat_alert_layout(stream)
     name = query_name or f"csv_export_{layout}"
-    ckpt = checkpoint_location or f"{checkpoint_dir(stream.sparkSession).rstrip('/')}/{name}"
+    ckpt = checkpoint_location or f"{ensure_checkpoint_dir(stream.sparkSession).rstrip('/')}/{name}"
     writer = (flat.writeStream.format("csv").outputMode("append").queryName(name)
               .option("header", True).option("maxRecordsPerFile", CSV_FLUSH_ROWS)
               .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
