@@ -139,3 +139,38 @@ def test_d3_with_ties(spark, seed):
     got = {r.seq: (r.near.seq, r.is_fraud) for r in velocity_checks(_df(spark, rows)).collect()}
     assert len(want) > 0
     assert got == want
+
+
+def brute_d2(rows):
+    """Per (card, 7-day window from Thursday 1970-01-01): sort values, read
+    index floor(n * 0.05); if below 1.0, every value below 1.0 alerts."""
+    epoch = dt.datetime(1970, 1, 1)
+    groups = {}
+    for r in rows:
+        start = (r[2] - epoch) // dt.timedelta(days=7)
+        groups.setdefault((r[1], start), []).append(r)
+    out = set()
+    for grp in groups.values():
+        values = sorted(r[3] for r in grp)
+        if values[int(len(values) * 0.05)] < Decimal("1.0"):
+            out |= {r[0] for r in grp if r[3] < Decimal("1.0")}
+    return out
+
+
+@pytest.mark.parametrize("seed", [4, 5, 6])
+def test_d2_index_rule_random_groups(spark, seed):
+    from cardsentry.operators.low_values import detect_low_values
+    rnd = random.Random(seed)
+    rows, seq = [], 0
+    for card in range(60):
+        n = rnd.choice([1, 5, 19, 20, 21, 39, 40, 41, 60])
+        low_share = rnd.choice([0.0, 0.02, 0.05, 0.1, 0.3])
+        for _ in range(n):
+            ts = DAY + dt.timedelta(days=rnd.randint(-10, 10), seconds=rnd.randint(0, 86399))
+            v = Decimal(rnd.choice(["0.50", "0.99"])) if rnd.random() < low_share else \
+                Decimal(rnd.choice(["1.00", "5.00", "50.00"]))
+            rows.append((seq, card, ts, v, card, 100, 0.0, 0.0))
+            seq += 1
+    want = brute_d2(rows)
+    got = {r.seq for r in detect_low_values(_df(spark, rows)).collect()}
+    assert len(want) > 0 and got == want
