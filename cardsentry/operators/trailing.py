@@ -24,19 +24,24 @@ from ..schema import REASON_TRAILING_PREFIX, REASON_TRAILING_SUFFIX, TRAILING_MI
 from .alerts import above_limit, to_alerts
 
 KEY = "user_id"
-DAY_US = 86_400_000_000
 
 
-def trailing_counts(tx: DataFrame, key: str = KEY, hours: int = 24) -> DataFrame:
+def trailing_counts(tx: DataFrame, key: str = KEY, hours: int = 24, bucket_hours: int = 24) -> DataFrame:
     """Above-limit rows with ``n_24h``: above-limit rows of the key within the
-    trailing ``hours`` (inclusive), counting the row and earlier arrivals."""
-    if hours > 24:
-        raise ValueError("the one-day halo covers look-backs of at most 24 hours")
+    trailing ``hours`` (inclusive), counting the row and earlier arrivals.
+
+    Rows are bucketed by ``bucket_hours`` and copied as read-only context into
+    the next ``ceil(hours / bucket_hours)`` buckets, so every frame finds its
+    whole look-back in its own partition.  Smaller buckets split a hot key
+    further at the price of more copies (24 h buckets: 2 copies; 6 h: 5)."""
+    import math
+
     above = tx.where(above_limit())
-    day = F.floor(epoch_micros("ts") / F.lit(DAY_US)).cast("long")
-    copies = F.explode(F.array(
-        F.struct(day.alias("_bucket"), F.lit(False).alias("_ctx")),
-        F.struct((day + 1).alias("_bucket"), F.lit(True).alias("_ctx"))))
+    bucket_us = bucket_hours * 3_600_000_000
+    bucket = F.floor(epoch_micros("ts") / F.lit(bucket_us)).cast("long")
+    halo = math.ceil(hours / bucket_hours)
+    copies = F.explode(F.array(*[
+        F.struct((bucket + i).alias("_bucket"), F.lit(i > 0).alias("_ctx")) for i in range(halo + 1)]))
     spread = above.select("*", copies.alias("_c")).select("*", "_c._bucket", "_c._ctx").drop("_c")
     part = [key, "_bucket"]
     in_range = F.expr(f"count(1) OVER (PARTITION BY {key}, _bucket ORDER BY ts "
@@ -49,9 +54,9 @@ def trailing_counts(tx: DataFrame, key: str = KEY, hours: int = 24) -> DataFrame
 
 
 def detect_trailing_repeat(tx: DataFrame, key: str = KEY, min_count: int = TRAILING_MIN_COUNT,
-                           hours: int = 24) -> DataFrame:
+                           hours: int = 24, bucket_hours: int = 24) -> DataFrame:
     """Flat alerts of the trailing rule (no window columns: it is not windowed)."""
-    rows = trailing_counts(tx, key, hours).where(F.col("n_24h") >= min_count)
+    rows = trailing_counts(tx, key, hours, bucket_hours).where(F.col("n_24h") >= min_count)
     reason = F.concat(F.lit(REASON_TRAILING_PREFIX), F.col("user_id").cast("string"),
                       F.lit(REASON_TRAILING_SUFFIX))
     return to_alerts(rows, reason)

@@ -174,3 +174,10 @@ def test_d2_index_rule_random_groups(spark, seed):
     want = brute_d2(rows)
     got = {r.seq for r in detect_low_values(_df(spark, rows)).collect()}
     assert len(want) > 0 and got == want
+
+
+@pytest.mark.parametrize("bucket_hours", [6, 24, 48])
+def test_w1_bucket_sizes_agree(spark, bucket_hours):
+    rows = _rows(2)
+    got = {r.seq for r in detect_trailing_repeat(_df(spark, rows), bucket_hours=bucket_hours).collect()}
+    assert got == brute_w1(rows)
