@@ -3,7 +3,7 @@
 Each query is executed in full through the ``noop`` sink (every row is
 produced, nothing is pulled to the driver).  A cold pass is timed and
 reported separately; the headline value is the sum of steady-state times
-(best of $BENCH_REPEAT, default 3).  Prints ONE JSON line:
+(best of $BENCH_REPEAT interleaved rounds, default 3).  Prints ONE JSON line:
 ``{"metric": ..., "value": total_sec, "unit": "sec", "queries": {...}, "sf": ...}``.
 """
 
@@ -49,9 +49,15 @@ def main() -> None:
     # The first pass (reported as cold_total) warms the JIT, codegen caches
     # and Python workers; then each query's steady-state time is the best of
     # REPEAT runs.
+    # Rounds are interleaved across queries so that slow phases of the
+    # machine do not land on one query's repeats.
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     cold = {name: round(run(name), 3) for name in HEADLINE}
-    times = {name: round(min(run(name) for _ in range(repeat)), 3) for name in HEADLINE}
+    best = {name: float("inf") for name in HEADLINE}
+    for _ in range(repeat):
+        for name in HEADLINE:
+            best[name] = min(best[name], run(name))
+    times = {name: round(t, 3) for name, t in best.items()}
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_queries_total",

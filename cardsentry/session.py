@@ -28,6 +28,9 @@ SCALE_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Many multi-stage queries in one application: keep their generated code
+    # (the default of 100 entries makes Spark recompile on every rerun).
+    "spark.sql.codegen.cache.maxEntries": "2000",
     "spark.ui.enabled": "false",
 }
 
