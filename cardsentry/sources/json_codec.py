@@ -20,13 +20,19 @@ from ..functions.timefmt import iso_local_datetime_text
 
 
 def decode_transactions(raw: DataFrame, value_col: str = "value", seq_col: str | None = "seq",
-                        fail_fast: bool = False) -> tuple[DataFrame, DataFrame]:
+                        fail_fast: bool = False, excess_precision: str = "quarantine"
+                        ) -> tuple[DataFrame, DataFrame]:
     """Parse JSON text into transaction rows.
 
     Returns ``(good, quarantine)``; ``good`` has the internal columns
     (seq, card_id, ts, value, user_id, lim, lat, lon) plus any other column of
     ``raw`` (e.g. ``event_ts``), ``quarantine`` has the raw text and a reason.
+    ``excess_precision`` decides about values with more than 2 decimals:
+    ``"quarantine"`` (default) or ``"round"`` (HALF_UP to 2 decimals, as the
+    producer rounds its amounts).
     """
+    if excess_precision not in ("quarantine", "round"):
+        raise ValueError("excess_precision must be 'quarantine' or 'round'")
     text = F.col(value_col).cast("string")
     schema = T.StructType(WIRE_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
     parsed = raw.withColumn("_j", F.from_json(text, schema, {
@@ -48,8 +54,8 @@ def decode_transactions(raw: DataFrame, value_col: str = "value", seq_col: str |
                .when(F.col("card_id").isNull(), F.lit("cardId"))
                .when(F.col("ts").isNull(), F.lit("timestamp"))
                .when(F.col("value_typed").isNull(), F.lit("value"))
-               .when(F.col("value_typed").cast(WIDE_VALUE_TYPE) != F.col("_value_wide"),
-                     F.lit("value precision"))
+               .when((F.col("value_typed").cast(WIDE_VALUE_TYPE) != F.col("_value_wide"))
+                     & F.lit(excess_precision == "quarantine"), F.lit("value precision"))
                .when(F.col("user_id").isNull(), F.lit("userId"))
                .when(F.col("lim").isNull(), F.lit("limit"))
                .when(F.col("lat").isNull() | F.col("lon").isNull(), F.lit("localization")))

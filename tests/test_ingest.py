@@ -134,3 +134,10 @@ def test_feeds_restricted_to_cards(spark):
     # limit0 is the limit on the card's first row
     first = (tx.where(F.col("card_id") == cards[0]).orderBy("ts", "seq").first().lim)
     assert {r.limit0 for r in feed_above_limit(tx, cards=cards[:1]).collect()} == {first}
+
+
+def test_excess_precision_can_round(spark):
+    texts = [json.dumps(dict(GOOD, value="0.999")), json.dumps(dict(GOOD, value="12.345"))]
+    good, bad = decode_transactions(_raw(spark, texts), excess_precision="round")
+    assert bad.count() == 0
+    assert sorted(r.value for r in good.collect()) == [Decimal("1.00"), Decimal("12.35")]
