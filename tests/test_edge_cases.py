@@ -234,3 +234,22 @@ def test_above_limit_allowed_above_skip(spark, n, expected):
     rows = [dict(value="150.00", ts=T0 + dt.timedelta(minutes=i)) for i in range(n)]
     alerts = detect_above_limit(mk(spark, rows), allowed=4, skip=1).collect()
     assert sorted(a.seq for a in alerts) == list(range(1, n))[:expected]
+
+
+def test_fold_state_survives_arrow_batch_boundaries(spark):
+    """Groups spanning several Arrow batches fold exactly as in one batch."""
+    from cardsentry.operators.location import velocity_checks
+    from cardsentry.sources.fixture import load_tx
+    from conftest import SF001
+    tx = load_tx(spark, SF001)
+    base = {(r.seq, r.near.seq, r.is_fraud) for r in velocity_checks(tx).collect()}
+    clusters = {(r.seq, r.cid, r.run_n) for r in clustered_groups(tx).collect()}
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    try:
+        small = {(r.seq, r.near.seq, r.is_fraud) for r in velocity_checks(tx).collect()}
+        small_clusters = {(r.seq, r.cid, r.run_n) for r in clustered_groups(tx).collect()}
+    finally:
+        spark.conf.set(key, old)
+    assert base and small == base and small_clusters == clusters
