@@ -181,3 +181,13 @@ def test_w1_bucket_sizes_agree(spark, bucket_hours):
     rows = _rows(2)
     got = {r.seq for r in detect_trailing_repeat(_df(spark, rows), bucket_hours=bucket_hours).collect()}
     assert got == brute_w1(rows)
+
+
+@pytest.mark.parametrize("parts", [7, 32])
+def test_d1_map_side_limit_over_many_partitions(spark, parts):
+    """Each group's rows spread over many map tasks: the partial
+    WindowGroupLimit keeps 3 per task, the final one picks the true first 3."""
+    rows = _rows(5, users=4, per_user=80)
+    df = _df(spark, rows).repartition(parts)
+    got = {r.seq for r in detect_above_limit(df).collect()}
+    assert got == brute_d1(rows) and got
