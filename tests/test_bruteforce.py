@@ -191,3 +191,11 @@ def test_d1_map_side_limit_over_many_partitions(spark, parts):
     df = _df(spark, rows).repartition(parts)
     got = {r.seq for r in detect_above_limit(df).collect()}
     assert got == brute_d1(rows) and got
+
+
+def test_w1_and_d3_over_many_partitions(spark):
+    rows = _rows(6)
+    df = _df(spark, rows).repartition(24)
+    assert {r.seq for r in detect_trailing_repeat(df).collect()} == brute_w1(rows)
+    got = {r.seq: (r.near.seq, r.is_fraud) for r in velocity_checks(df).collect()}
+    assert got == brute_d3(rows)
