@@ -145,3 +145,19 @@ def test_stream_job_entry_point(spark, scratch):
     q.awaitTermination(300)
     assert q.exception() is None
     assert spark.read.parquet(f"{scratch}/out").count() > 0
+
+
+def test_alert_csv_export_stream(spark, scratch):
+    from cardsentry.plans.detection import fraud_alerts
+    from cardsentry.sources.csv_io import read_alerts_csv
+    from cardsentry.streaming.sinks import start_csv_export
+    from conftest import SF001
+    alerts = fraud_alerts(load_tx(spark, SF001))
+    alerts.write.parquet(f"{scratch}/alerts_in")
+    stream = spark.readStream.schema(alerts.schema).parquet(f"{scratch}/alerts_in")
+    q = start_csv_export(stream, f"{scratch}/csv", layout="alerts", checkpoint_location=f"{scratch}/ck",
+                         trigger={"availableNow": True})
+    q.awaitTermination(300)
+    back = read_alerts_csv(spark, f"{scratch}/csv")
+    cols = ["card_id", "ts", "value", "above_limit", "fraud_reason"]
+    assert sorted(map(tuple, back.select(*cols).collect())) == sorted(map(tuple, alerts.select(*cols).collect()))
