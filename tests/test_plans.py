@@ -71,3 +71,11 @@ def test_single_cluster_shortcut_keeps_fused_results(spark):
     b = user_day_alerts(tx, skip_single=False)
     assert a.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_window_spec_comparison_for_fusion():
+    from cardsentry.streaming.detect import _same
+    assert _same(("24 hours", None), ("1 day", None))
+    assert _same(("3.5 days", None), ("84 hours", None))
+    assert not _same(("24 hours", "12 hours"), ("1 day", None))
+    assert not _same(("24 hrs", None), ("24 hrs", None))      # not understood: never fused
