@@ -58,7 +58,11 @@ def _trailing_step(min_count: int, window_us: int):
         last_ms = int(max(t_us) // 1000)
         latest_ms = last_ms if latest_ms is None else max(latest_ms, last_ms)
         state.update((held, latest_ms))
-        state.setTimeoutTimestamp(latest_ms + window_us // 1000)
+        # A time-out may not precede the current watermark (a batch can span
+        # more than the retention): expire at the later of the two.
+        expire = latest_ms + window_us // 1000
+        watermark = state.getCurrentWatermarkMs()
+        state.setTimeoutTimestamp(max(expire, watermark + 1) if watermark and watermark > 0 else expire)
         if out:
             alerts = batch.iloc[out][cols].copy()
             alerts["above_limit"] = True
