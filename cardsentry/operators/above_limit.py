@@ -9,9 +9,11 @@ defaults) is an alert.  With the defaults a group of 2 crashes the reference
 Plan: rank > skip  ⇔  (ts, seq) > the skip-th smallest (ts, seq) of the group.
 * ``n`` per group: partial aggregate (only when ``allowed > skip``: otherwise
   a rank above ``skip`` implies ``n > allowed``).
-* the first ``skip`` rows per group: ``row_number() <= skip``, which Spark
+* the first ``skip`` (+1) rows per group: ``row_number() <= k``, which Spark
   plans with a *partial* ``WindowGroupLimit`` below the shuffle, so each map
-  task sends at most ``skip`` rows per group; their max is the threshold.
+  task sends at most k rows per group; the max of the first ``skip`` is the
+  threshold, and a (skip+1)-th row shows the group has alerts at all (only
+  those groups keep a threshold).
 * alert rows: above-limit rows joined with the per-group thresholds (AQE
   broadcasts the thresholds when small, else splits skewed partitions).
 Nothing collects a group; a hot user is pre-aggregated on the map side.
@@ -53,9 +55,19 @@ def above_limit_ranked(tx: DataFrame, length: str = WINDOW_ABOVE_LIMIT, slide: s
               .where(F.col("n") > F.lit(allowed))) if need_count else None
     if skip <= 0:
         return above.join(counts, g, "inner")
-    kth = (first_k_per_group(above.select(*g, *ORDER), g, ORDER, skip)
-           .groupBy(*g).agg(F.max(F.struct(*ORDER)).alias("_kth")))
-    stats = counts.join(kth, g, "inner").where(F.col("n") > F.lit(skip)) if need_count else kth
+    if need_count:
+        kth = (first_k_per_group(above.select(*g, *ORDER), g, ORDER, skip)
+               .groupBy(*g).agg(F.max(F.struct(*ORDER)).alias("_kth")))
+        stats = counts.join(kth, g, "inner").where(F.col("n") > F.lit(skip))
+    else:
+        # The first skip+1 rows tell which groups have a row ranked above
+        # skip: only those keep a threshold, so the join's build side is
+        # bounded by the alerting groups, not by all groups.
+        first = first_k_per_group(above.select(*g, *ORDER), g, ORDER, skip + 1)
+        stats = (first.groupBy(*g)
+                 .agg(F.count(F.lit(1)).alias("_m"),
+                      F.max(F.when(F.col("_rn") <= skip, F.struct(*ORDER))).alias("_kth"))
+                 .where(F.col("_m") > F.lit(skip)).select(*g, "_kth"))
     return (above.join(stats, g, "inner")
             .where(F.struct(*ORDER) > F.col("_kth"))
             .drop("_kth"))
