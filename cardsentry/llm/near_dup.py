@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import Scratch, salted_join
+from .shared import Scratch, fresh, salted_join
 from .words import U, mix, rolling, run_hashes, slices, split_words
 
 BITS = 2048
@@ -284,10 +284,11 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> D
     all other rows are unchanged.
     """
     verdict = near_duplicates(docs, size, percent)
-    losers = verdict.where("not kept").select(F.col("doc_id").alias("_lost")).distinct()
-    left = docs.join(losers, docs["doc_id"].cast("long") == losers["_lost"], "left_anti")
+    lost, print_ = fresh(docs, "lost"), fresh(docs, "print")
+    losers = verdict.where("not kept").select(F.col("doc_id").alias(lost)).distinct()
+    left = docs.join(losers, docs["doc_id"].cast("long") == losers[lost], "left_anti")
     twice = verdict.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
     if twice:
-        once = left.where("doc_id is not null").withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
+        once = left.where("doc_id is not null").withColumn(print_, F.xxhash64("text")).dropDuplicates(["doc_id", print_]).drop(print_)
         left = once.unionByName(left.where("doc_id is null"))
     return left

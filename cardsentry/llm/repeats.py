@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import Scratch, salted_join
+from .shared import Scratch, fresh, salted_join
 from .words import U, mix, rolling, run_hashes, slices, split_words
 
 GRAM = 8
@@ -161,21 +161,22 @@ def cut_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     All rows stay, also those whose text is used up.
     """
     spans = repeated_passages(docs, length)
-    per_doc = spans.groupBy(*DOC).agg(F.array_sort(F.collect_list(F.struct("start_word", "end_word"))).alias("_spans"))
-    keyed = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_fp", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    joined = keyed.join(per_doc.withColumnsRenamed({"doc_id": "_id", "fp": "_fp"}), ["_id", "_fp"], "left").drop("_id", "_fp")
-    schema = joined.drop("_spans").schema
+    cuts, id_, print_ = fresh(docs, "cuts"), fresh(docs, "id"), fresh(docs, "print")
+    per_doc = spans.groupBy(*DOC).agg(F.array_sort(F.collect_list(F.struct("start_word", "end_word"))).alias(cuts))
+    keyed = docs.withColumn(id_, F.col("doc_id").cast("long")).withColumn(print_, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    joined = keyed.join(per_doc.withColumnsRenamed({"doc_id": id_, "fp": print_}), [id_, print_], "left").drop(id_, print_)
+    schema = docs.schema
     at = schema.names.index("text")
 
     def run(batches):
         for batch in slices(batches, "text"):
             words = split_words(batch.column("text"))
-            texts, spans_ = batch.column("text").to_pylist(), batch.column("_spans").to_pylist()
-            for d, cuts in enumerate(spans_):
-                if not cuts:
+            texts, spans_ = batch.column("text").to_pylist(), batch.column(cuts).to_pylist()
+            for d, gone in enumerate(spans_):
+                if not gone:
                     continue
                 base, left, kept = words.bounds(d)[0], int(words.offset[d]), []
-                for c in cuts:
+                for c in gone:
                     kept.append(words.data[left : words.start[base + c["start_word"]]].tobytes())
                     left = int(words.end[base + c["end_word"] - 1])
                 kept.append(words.data[left : int(words.offset[d + 1])].tobytes())
@@ -188,4 +189,4 @@ def cut_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     if "n_chars" in schema.names:
         kind = schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.length("text").cast(kind))
-    return out.select(*docs.columns)
+    return out

@@ -13,8 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; local sessions without it get one for the application."""
@@ -72,6 +70,19 @@ def salted_join(rows: DataFrame, stats: DataFrame, on: Sequence[str], spread: Co
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
-def only(df: DataFrame, *names: str) -> DataFrame:
-    """The named columns, whatever else the table holds; a missing one is an error here, not later."""
-    return df.select(*names)
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the table does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+MAX_BROADCAST_ROWS = 20_000
+
+
+def stats_join(rows: DataFrame, stats: DataFrame, key: str, spread: Column) -> DataFrame:
+    """Left join with a written table of narrow per-key rows: broadcast if its row count is small, else salted."""
+    if stats.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
+        return rows.join(F.broadcast(stats), key, "left")
+    return salted_join(rows, stats, [key], spread, how="left")

@@ -37,6 +37,8 @@ _FOLDED = _TABLE.copy()
 _FOLDED[65:91] = _TABLE[97:123]
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
+# everything in ASCII but letters and digits
+_IS_MARK = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 class _Powers:
@@ -91,10 +93,10 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def split_words(texts: pa.Array, fold_case: bool = False) -> Words:
-    """Find and hash the words of every text; ``fold_case`` hashes A-Z as a-z."""
+def split_words(texts: pa.Array, fold_case: bool = False, at_marks: bool = False) -> Words:
+    """Find and hash the words of every text; ``fold_case`` hashes A-Z as a-z, ``at_marks`` also splits at ASCII punctuation."""
     data, offset = text_buffer(texts)
-    space = _IS_SPACE[data]
+    space = (_IS_MARK if at_marks else _IS_SPACE)[data]
     # a word starts at a non-space byte after a space or at a text's begin, and ends likewise
     edge = np.ones(len(data) + 1, dtype=bool)
     edge[1:-1] = space[:-1]
