@@ -6,7 +6,7 @@ leads from each merge to the positions where its pair stands; merges are taken
 in rank order from a heap, applied to all their positions at once with numpy,
 and only the pairs of the touched neighbours are looked up and indexed anew.
 Every distinct piece is encoded once per stretch and task; documents are then
-put together from a dictionary.
+put together from a dictionary of chunks.
 
 Ranks follow the rank-file rule: of all neighbouring pairs of a piece whose
 joined bytes are a token, the one of least rank is merged, the leftmost first.
@@ -19,8 +19,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-import re
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,16 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import slices
-
-# White_Space of Unicode, as the rank files' own library takes \s
-WS = "\t-\r \x85\xa0  -     　"
-# a piece never reaches from a non-space character into the white space after it
-CHUNK = re.compile(f"[{WS}]*[^{WS}]+|[{WS}]+")
-STRETCH_BYTES = 3 << 20
-BUFFER_BYTES = 24 << 20
-MAX_CACHED = 400_000
-
+from .chunks import WS, ChunkTable, Index
 
 def piece_pattern(pattern: str) -> "regex.Pattern":
     """The tokenizer's pattern with \\s and \\S spelled out."""
@@ -75,6 +64,11 @@ class Ranks:
         return np.where(self.keys[at] == key, self.merged[at], -1)
 
 
+def _distinct(at: np.ndarray) -> np.ndarray:
+    at = np.sort(at)
+    return at[np.concatenate([[True], at[1:] != at[:-1]])] if len(at) > 1 else at
+
+
 def replay(pieces: list[bytes], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all pieces in a row, and the offset of each piece in them."""
     data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
@@ -124,7 +118,7 @@ def replay(pieces: list[bytes], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
         if not len(at):
             continue
         if len(at) > 1:
-            at = np.unique(at)
+            at = _distinct(at)
             if r in ranks.unruly:
                 lead = np.concatenate([[True], word[at[1:]] != word[at[:-1]]])
                 if not lead.all():
@@ -146,36 +140,28 @@ def replay(pieces: list[bytes], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
         prv[after[after >= 0]] = at[after >= 0]
         before = prv[at]
         touched = np.concatenate([at, before[before >= 0]])
-        look_up(np.unique(touched) if len(touched) > 1 else touched)
+        look_up(_distinct(touched))
     ids = sym[alive]
     return ids, np.concatenate([[0], np.cumsum(np.bincount(word[alive], minlength=len(pieces)))]) if len(pieces) else np.zeros(1, np.int64)
 
 
 class Encoder:
-    """Encodes texts in stretches; ids of pieces and of space-delimited chunks are kept until MAX_CACHED."""
+    """Ids of chunks: cut into the pattern's pieces, and distinct pieces encoded as one corpus."""
 
     def __init__(self, ranks: Ranks, pattern: str):
         self.ranks = ranks
         self.pieces_of = piece_pattern(pattern).findall
-        self.chunks: dict[str, tuple] = {}
-
-    def learn(self, texts: list[str]) -> None:
-        """Encode every chunk of the texts that is not known yet."""
-        if len(self.chunks) > MAX_CACHED:
-            self.chunks.clear()
-        fresh = set()
-        for t in texts:
-            fresh.update(CHUNK.findall(t))
-        cut = {c: self.pieces_of(c) for c in fresh if c not in self.chunks}
-        pieces = list(dict.fromkeys(chain.from_iterable(cut.values())))
-        ids, first = replay([p.encode() for p in pieces], self.ranks)
-        flat, at = ids.tolist(), first.tolist()
-        known = {p: tuple(flat[at[i] : at[i + 1]]) for i, p in enumerate(pieces)}
-        for c, of in cut.items():
-            self.chunks[c] = known[of[0]] if len(of) == 1 else tuple(chain.from_iterable(map(known.__getitem__, of)))
-
-    def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.chunks.__getitem__, CHUNK.findall(text))))
+
+    def __call__(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        number = Index()
+        cut = [np.fromiter(map(number.__getitem__, self.pieces_of(c)), dtype=np.int64) for c in chunks]
+        ids, first = replay([p.encode() for p in number], self.ranks)
+        at = np.concatenate(cut) if cut else np.zeros(0, np.int64)
+        size = first[at + 1] - first[at]
+        end = np.cumsum(size)
+        values = ids[np.repeat(first[at] - end + size, size) + np.arange(int(size.sum()))]
+        pieces = np.concatenate([[0], np.cumsum([len(c) for c in cut])]).astype(np.int64)
+        return values, np.concatenate([[0], end])[pieces]
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -183,26 +169,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(Ranks(ranks_path))
 
     def run(batches):
-        encoder = Encoder(held.value, pattern)
-        buffer: list = []
-
-        def flush():
-            texts = [[t or "" for t in b.column("text").to_pylist()] for b in buffer]
-            encoder.learn(list(chain.from_iterable(texts)))
-            for b, of in zip(buffer, texts):
-                ids = [encoder.encode(t) for t in of]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
-            buffer.clear()
-
-        held_bytes = 0
-        for batch in slices(batches, "text", STRETCH_BYTES):
-            buffer.append(batch)
-            held_bytes += batch.column("text").nbytes
-            if held_bytes >= BUFFER_BYTES:
-                yield from flush()
-                held_bytes = 0
-        if buffer:
-            yield from flush()
+        table = ChunkTable(Encoder(held.value, pattern))
+        for batch, ids, first in table.encode_batches(batches):
+            made = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), made], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
 
