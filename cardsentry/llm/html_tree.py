@@ -37,6 +37,7 @@ TRAIN_PAGES = 2000
 LAYOUT_WEIGHT = 40.0
 SMOOTH = 0.5
 THRESHOLD = 0.5
+TEMPER = 0.4
 STATES = BOILER, CONTENT, MIXED = 0, 1, 2
 NEUTRAL = (0.0, 0.0, 0.0)
 
@@ -247,7 +248,8 @@ class Model:
 
     def _own(self, node: Node) -> list[float]:
         if node.tag == "#text":
-            a, b, _ = (sum(x) for x in zip(*(self.like.get(f, NEUTRAL) for f in features(node))))
+            # its features say much the same, so they do not count as separate evidence in full
+            a, b, _ = (TEMPER * sum(x) for x in zip(*(self.like.get(f, NEUTRAL) for f in features(node))))
             return [a, b, -1e9]  # a text block is never mixed
         return [sum(x) for x in zip(*(self.like.get(f, NEUTRAL) for f in features(node)))]
 

@@ -59,3 +59,5 @@ _FRAMES = (
 )
 
 LAYOUTS = [f"<html><head><title>Plans</title></head><body>{above}{main}{below}</body></html>" for above, below in _FRAMES for main in _MAINS]
+# pages that are nothing but text
+LAYOUTS += [f"<body data-content=1>{text}</body>" for text in (_LONG, _SHORT, "Just a line of words", f"{_MID} {_LONG} {_MID}", f"<p>{_LONG}</p><p>{_SHORT}</p>", f"{_SHORT}<br>{_LONG}")]

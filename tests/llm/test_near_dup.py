@@ -1,0 +1,101 @@
+import numpy as np
+
+from cardsentry.llm.components import connected_components
+from cardsentry.llm.near_dup import drop_near_duplicates, near_duplicates
+from cardsentry.llm.shared import Scratch
+
+from .conftest import lowered, sentence, words
+
+
+def brute(rows, size, percent):
+    """(n_shingles, component_id) per row by comparing every pair."""
+    sets = []
+    for _, text in rows:
+        w = words(lowered(text))
+        sets.append(frozenset() if not w else frozenset([tuple(w)]) if len(w) < size else frozenset(tuple(w[i:i + size]) for i in range(len(w) - size + 1)))
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
+                parent[find(i)] = find(j)
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        least[find(i)] = min(doc, least.get(find(i), doc))
+    return {(doc, len(sets[i]), least[find(i)] if sets[i] else doc) for i, (doc, _) in enumerate(rows)}
+
+
+def family_texts(rng):
+    base = [f"w{rng.integers(300)}" for _ in range(120)]
+    out = []
+    for _ in range(60):
+        copy = list(base)
+        for _ in range(rng.integers(0, 6)):
+            copy[rng.integers(len(copy))] = f"x{rng.integers(1000)}"
+        out.append(" ".join(copy))
+    # a chain: each text is close to the one before only
+    chain = list(base)
+    for k in range(12):
+        chain = chain[4:] + [f"c{k}{j}" for j in range(4)]
+        out.append(" ".join(chain))
+    return out
+
+
+def test_matches_brute_force(make_docs):
+    rng = np.random.default_rng(5)
+    texts = family_texts(rng) + [sentence(rng, int(n)) for n in rng.integers(1, 60, 40)]
+    texts += ["", None, "   \n\t", "One", "one", "ONE two", "one TWO", "É été", "é été", texts[3], texts[3].upper()]
+    rows = list(enumerate(texts))
+    for size, percent in ((3, 85), (5, 80)):
+        got = near_duplicates(make_docs(texts), size, percent).collect()
+        assert {(r.doc_id, r.n_shingles, r.component_id) for r in got} == brute(rows, size, percent)
+        assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+
+
+def test_whole_table_matches_brute_force(spark):
+    from cardsentry.llm.queries import op10_minhash_near_dedup
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    got = op10_minhash_near_dedup(spark, "/root/testdata/sf0.001").collect()
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in got} == brute(rows, 3, 85)
+
+
+def test_filter_keeps_one_of_each_group(make_docs, clashing):
+    texts = ["a b c d e f g", "A b c d e f g", "q r s t u v w", "", "", None]
+    docs = clashing(make_docs(texts + [(None, "a b c d e f g", None, None, 1), (2, "q r s t u v w", None, None, 13)]))
+    left = drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id is None, r.doc_id, r.text) for r in left.collect() if r.doc_id is not None) == [
+        (False, 0, "a b c d e f g"), (False, 2, "q r s t u v w"), (False, 3, ""), (False, 4, ""), (False, 5, None)]
+    assert left.where("doc_id is null").count() == 1
+
+
+def test_empty_table(make_docs):
+    assert near_duplicates(make_docs([]), 3, 85).count() == 0
+    assert drop_near_duplicates(make_docs([])).count() == 0
+
+
+def test_components_of_random_graphs(spark):
+    rng = np.random.default_rng(1)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 400, (300, 2))] + [(1000 + i, 1001 + i) for i in range(60)]
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            p, q = find(a), find(b)
+            parent[max(p, q)] = min(p, q)
+    with Scratch(spark, "t") as s:
+        got = {(r.node, r.component) for r in connected_components(spark.createDataFrame(edges, "a long, b long"), s).collect()}
+    assert got == {(x, find(x)) for x in parent}
