@@ -16,7 +16,7 @@ import pyarrow as pa
 from .words import slices
 
 # White_Space of Unicode, as tokenizer libraries take \s
-WS = "\t-\r \x85\xa0  -     　"
+WS = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 CHUNK = re.compile(f"[{WS}]*[^{WS}]+|[{WS}]+")
 SLICE_BYTES = 3 << 20
 STRETCH_BYTES = 24 << 20

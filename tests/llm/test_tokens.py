@@ -16,6 +16,8 @@ from cardsentry.llm.queries import bpe_digests, op8_token_store, op9_chat_format
 SF = "/root/testdata/sf0.001"
 RANKS = P.path("byte_bpe_50k.tiktoken")
 ALPHABET = list("aaabbc  \t\n\r\x0b\x1c\x85\xa0 the'sré漢😀12 ٣Ⅷ²!?#<|>\0İΣσ́") + ["ing", "tion", " the", "   ", "aaaaaaa", "=====", "....", "<|endoftext|>", "e"]
+# every kind of white space, and what only some call so
+ALPHABET += list(map(chr, [0x1680, 0x2000, 0x2003, 0x200A, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0x1C, 0x1F, 0x200B, 0x180E, 0xFEFF]))
 
 
 def odd_texts(n, seed=0):
