@@ -99,15 +99,16 @@ def _bounds(measured: DataFrame, m: str, s: Scratch) -> DataFrame:
     rows = measured.where(~_base_failed(m)).select(F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), *[r.alias(k) for k, r in rates.items()])
     sketch = lambda c: F.kll_sketch_agg_double(c, F.lit(SKETCH_K)).alias(c)
     merge = lambda c, n: F.kll_merge_agg_double(c, F.lit(SKETCH_K)).alias(n)
-    fine = s.stash(rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *[sketch(c) for c in RATES]), "sketches")
-    by_lang = fine.groupBy("lang").agg(F.sum("n").alias("n_lang"), *[merge(c, f"{c}_lang") for c in RATES])
+    fine = s.stash(rows.groupBy("lang", "source").agg(*[sketch(c) for c in RATES]), "sketches")
+    by_lang = fine.groupBy("lang").agg(*[merge(c, f"{c}_lang") for c in RATES])
     every = fine.groupBy(F.lit(1).alias("all")).agg(*[merge(c, f"{c}_all") for c in RATES])
     joined = fine.withColumn("all", F.lit(1)).join(by_lang.withColumnRenamed("lang", "lang_"), F.col("lang").eqNullSafe(F.col("lang_"))).join(every, "all")
 
     def bound(c: str) -> list[Column]:
         reach, floor, below = RATES[c]
-        of = F.when(F.col("n") >= MIN_GROUP, F.col(c)).when(F.col("n_lang") >= MIN_GROUP, F.col(f"{c}_lang")).otherwise(F.col(f"{c}_all"))
-        q = lambda at: F.kll_sketch_get_quantile_double(of, F.lit(at))
+        seen = F.kll_sketch_get_n_double
+        of = F.when(seen(c) >= MIN_GROUP, F.col(c)).when(seen(f"{c}_lang") >= MIN_GROUP, F.col(f"{c}_lang")).otherwise(F.col(f"{c}_all"))
+        q = lambda at: F.when(seen(of) > 0, F.kll_sketch_get_quantile_double(of, F.lit(at)))
         spread = F.lit(reach) * F.greatest(q(MID) - q(LOW), F.lit(floor))
         return [(q(MID) + spread).alias(f"{c}_max"), ((q(MID) - spread) if below else F.lit(None).cast("double")).alias(f"{c}_min")]
 
