@@ -58,7 +58,7 @@ class Ranks:
 
     def join(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of the token that each pair makes, -1 if none."""
-        key = a << 20 | b
+        key = a.astype(np.int64) << 20 | b
         at = np.searchsorted(self.keys, key)
         at[at == len(self.keys)] = 0
         return np.where(self.keys[at] == key, self.merged[at], -1)
@@ -75,15 +75,15 @@ def replay(pieces: list[bytes], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
     size = np.array([len(p) for p in pieces], dtype=np.int64)
     first = np.concatenate([[0], np.cumsum(size)])
     n = len(data)
-    sym = ranks.byte[data]
-    word = np.repeat(np.arange(len(pieces)), size)
-    nxt = np.arange(1, n + 1)
+    sym = ranks.byte[data].astype(np.int32)
+    word = np.repeat(np.arange(len(pieces), dtype=np.int32), size)
+    nxt = np.arange(1, n + 1, dtype=np.int32)
     nxt[first[1:][size > 0] - 1] = -1
-    prv = np.arange(-1, n - 1)
+    prv = np.arange(-1, n - 1, dtype=np.int32)
     prv[first[:-1][size > 0]] = -1
     alive = np.ones(n, dtype=bool)
     # rank of the pair that starts at each position
-    pair = np.full(n, -1, dtype=np.int64)
+    pair = np.full(n, -1, dtype=np.int32)
     index: dict[int, list[np.ndarray]] = {}
     heap: list[int] = []
 
@@ -177,14 +177,30 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
 
 
+class Decoder:
+    """Bytes of ids."""
+
+    def __init__(self, ranks_path: str):
+        self.token = Ranks(ranks_path).token
+
+    def __call__(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.token.__getitem__, ids))
+
+
+def id_lists(column: pa.ListArray):
+    """Each row's ids as a list, one row at a time; a null row has none."""
+    values, at = column.values.to_numpy(), column.offsets.to_numpy()
+    for a, b in zip(at[:-1], at[1:]):
+        yield values[a:b].tolist()
+
+
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """``encoded`` with a binary column ``decoded``: the bytes that the ids stand for."""
-    held = encoded.sparkSession.sparkContext.broadcast(Ranks(ranks_path).token)
+    held = encoded.sparkSession.sparkContext.broadcast(Decoder(ranks_path))
 
     def run(batches):
-        token = held.value
         for batch in batches:
-            made = [b"".join(map(token.__getitem__, ids or ())) for ids in batch.column("ids").to_pylist()]
+            made = [held.value(ids) for ids in id_lists(batch.column("ids"))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.large_binary()).cast(pa.binary())], names=[*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in encoded.dtypes) + ", decoded binary")

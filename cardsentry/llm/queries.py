@@ -50,18 +50,18 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def bpe_digests(docs: DataFrame, ranks_path: str) -> DataFrame:
     """Ids of every text, decoded again, as counts and digests."""
+    held = docs.sparkSession.sparkContext.broadcast(byte_bpe.Decoder(ranks_path))
 
     def run(batches):
+        sha = lambda data: hashlib.sha256(data).hexdigest()
+        decode = held.value
         for batch in batches:
-            ids = batch.column("ids").to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(i) for i in ids], pa.int64()),
-                 pa.array([hashlib.sha256(" ".join(map(str, i)).encode()).hexdigest() for i in ids], pa.string()),
-                 pa.array([hashlib.sha256(d.as_buffer()).hexdigest() for d in batch.column("decoded")], pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            rows = [(len(ids), sha(" ".join(map(str, ids)).encode()), sha(decode(ids))) for ids in byte_bpe.id_lists(batch.column("ids"))]
+            n, ids_sha, text_sha = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
+                                             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    decoded = byte_bpe.decode(byte_bpe.encode(docs, ranks_path, public_tokenizers.PATTERN), ranks_path)
-    return decoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return byte_bpe.encode(docs, ranks_path, public_tokenizers.PATTERN).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
