@@ -229,7 +229,7 @@ def _blocks(members: DataFrame) -> DataFrame:
     return rows.withColumn("at", F.explode(places)).select(F.xxhash64("key", "at.k", "at.p", "at.q").alias("block"), "side", "class", "comp")
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: int | None = None, rows: int = 5, keep_scratch: bool = True) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: int | None = None, rows: int = 5) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs(doc_id, text)``.
 
     Two documents are linked if ``100 * |intersection| >= percent * |union|`` of

@@ -129,7 +129,7 @@ def repeated_windows(docs: DataFrame, length: int, s: Scratch) -> DataFrame:
     earliest = windows.groupBy("window").agg(F.min(me).alias("first"), F.max(me).alias("last")).where("first != last").select("window", "first")
     met = salted_join(windows, earliest, ["window"], F.xxhash64(*DOC, "at")).where(me != F.col("first"))
     grown = met.select(*DOC, F.col("at").alias("lo"), F.col("at").alias("hi"), F.col("first.doc_id").alias("first_doc_id"))
-    # a copied segment may hold windows whose earliest occurrence is older than the segment's
+    # for a copy, first_doc_id is the segment's first document; single windows in it may be older still
     return copies.union(grown)
 
 

@@ -1,28 +1,17 @@
 """Tables in the cluster's shared folder, and joins that survive a hot key.
 
 The shared folder is the one the session names in ``spark.checkpoint.dir``.
-Only a local-mode session without that setting gets a temporary one.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; local sessions without it get one for the application."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        named = tempfile.mkdtemp(prefix="cardsentry-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+from ..session import ensure_checkpoint_dir
 
 
 class Scratch:
@@ -34,7 +23,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
-        self.root = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+        self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
         self._n = 0
         self._paths: list[str] = []
 
