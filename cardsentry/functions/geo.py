@@ -78,9 +78,3 @@ def too_fast(distance_km, velocity) -> Column:
     limit = F.when(distance_km < MIN_AIRPLANE_DISTANCE_KM, F.lit(MAX_CAR_VELOCITY_KMH)) \
         .otherwise(F.lit(MAX_AIRPLANE_VELOCITY_KMH))
     return ~F.isnan(velocity) & ~F.isnan(distance_km) & (velocity > limit)
-
-
-def running_mean(centre, n, x) -> Column:
-    """Centre update of the leader clustering: ``(c·n + x)/(n+1)``."""
-    centre, n, x = map(_c, (centre, n, x))
-    return (centre * n + x) / (n + F.lit(1))

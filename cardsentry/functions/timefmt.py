@@ -20,11 +20,6 @@ def micros_between(start, end) -> Column:
     return epoch_micros(end) - epoch_micros(start)
 
 
-def abs_whole_seconds(a, b) -> Column:
-    """``|a until b|`` in whole seconds, truncated toward zero (BIGINT)."""
-    return F.floor(F.abs(micros_between(a, b)) / F.lit(1_000_000)).cast("long")
-
-
 def abs_hours_from_millis(a, b) -> Column:
     """Absolute duration in hours computed from whole milliseconds
     (the duration is truncated to ms first, then divided as a double)."""

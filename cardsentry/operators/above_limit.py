@@ -14,8 +14,11 @@ Plan: rank > skip  ⇔  (ts, seq) > the skip-th smallest (ts, seq) of the group.
   task sends at most k rows per group; the max of the first ``skip`` is the
   threshold, and a (skip+1)-th row shows the group has alerts at all (only
   those groups keep a threshold).
-* alert rows: above-limit rows joined with the per-group thresholds (AQE
-  broadcasts the thresholds when small, else splits skewed partitions).
+* alert rows: above-limit rows joined with the per-group thresholds, each
+  group's rows dealt over several tasks (``skew.join_stats``).
+* rows that repeat (ts, seq) may straddle the threshold.  Only in groups where
+  the (skip+1)-th row ties with the skip-th, the tied rows are ranked among
+  themselves and those beyond the threshold are alerts too.
 Nothing collects a group; a hot user is pre-aggregated on the map side.
 """
 
@@ -26,18 +29,13 @@ from pyspark.sql import functions as F
 
 from ..schema import ABOVE_LIMIT_ALLOWED, ABOVE_LIMIT_SKIP, REASON_ABOVE_LIMIT, WINDOW_ABOVE_LIMIT
 from .alerts import above_limit, to_alerts
+from .skew import join_stats
 from .windows import WINDOW_COLS, assign_windows
 
 KEY = "user_id"
 ORDER = ["ts", "seq"]
 
 
-def first_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list[str], k: int) -> DataFrame:
-    """Rows ranked 1..k per group by ``order_cols`` (exact; map-side limited)."""
-    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
-
-
 def above_limit_ranked(tx: DataFrame, length: str = WINDOW_ABOVE_LIMIT, slide: str | None = None,
                        allowed: int = ABOVE_LIMIT_ALLOWED, skip: int = ABOVE_LIMIT_SKIP,
                        key: str = KEY, with_count: bool = True) -> DataFrame:
@@ -54,23 +52,31 @@ def above_limit_ranked(tx: DataFrame, length: str = WINDOW_ABOVE_LIMIT, slide: s
     counts = (above.groupBy(*g).agg(F.count(F.lit(1)).alias("n"))
               .where(F.col("n") > F.lit(allowed))) if need_count else None
     if skip <= 0:
-        return above.join(counts, g, "inner")
+        return join_stats(above, counts, g)
+    # The first skip+1 rows tell the threshold, whether any row is ranked above
+    # it (only those groups keep one: the join's build side is bounded by the
+    # alerting groups), and whether it is tied.
+    order = Window.partitionBy(*g).orderBy(*ORDER)
+    first = (above.select(*g, *ORDER)
+             .withColumn("_rn", F.row_number().over(order)).withColumn("_rank", F.rank().over(order))
+             .where(F.col("_rn") <= skip + 1))
+    key_ = F.struct(*ORDER)
+    stats = (first.groupBy(*g)
+             .agg(F.count(F.lit(1)).alias("_m"), F.max(key_).alias("_next"),
+                  F.max(F.when(F.col("_rn") <= skip, F.struct(*ORDER, "_rank"))).alias("_last"))
+             .where(F.col("_m") > F.lit(skip))
+             .withColumn("_kth", F.struct(*[F.col(f"_last.{c}").alias(c) for c in ORDER]))
+             .select(*g, "_kth", (F.col("_kth") == F.col("_next")).alias("_tied"),
+                     (F.col("_last._rank") - 1).alias("_below")))
     if need_count:
-        kth = (first_k_per_group(above.select(*g, *ORDER), g, ORDER, skip)
-               .groupBy(*g).agg(F.max(F.struct(*ORDER)).alias("_kth")))
-        stats = counts.join(kth, g, "inner").where(F.col("n") > F.lit(skip))
-    else:
-        # The first skip+1 rows tell which groups have a row ranked above
-        # skip: only those keep a threshold, so the join's build side is
-        # bounded by the alerting groups, not by all groups.
-        first = first_k_per_group(above.select(*g, *ORDER), g, ORDER, skip + 1)
-        stats = (first.groupBy(*g)
-                 .agg(F.count(F.lit(1)).alias("_m"),
-                      F.max(F.when(F.col("_rn") <= skip, F.struct(*ORDER))).alias("_kth"))
-                 .where(F.col("_m") > F.lit(skip)).select(*g, "_kth"))
-    return (above.join(stats, g, "inner")
-            .where(F.struct(*ORDER) > F.col("_kth"))
-            .drop("_kth"))
+        stats = stats.join(counts, g, "inner")
+    at_kth = key_ == F.col("_kth")
+    late = join_stats(above, stats, g).where((key_ > F.col("_kth")) | (F.col("_tied") & at_kth))
+    # rows that share (ts, seq) are told apart only where the threshold falls among them
+    twins = Window.partitionBy(*g, *ORDER).orderBy(*[c for c in tx.columns if c not in (key, *ORDER)])
+    return (late.withColumn("_rn", F.row_number().over(twins))
+            .where(~at_kth | (F.col("_rn") + F.col("_below") > F.lit(skip)))
+            .drop("_kth", "_tied", "_below", "_rn"))
 
 
 def detect_above_limit(tx: DataFrame, length: str = WINDOW_ABOVE_LIMIT, slide: str | None = None,

@@ -20,10 +20,6 @@ def above_limit(value="value", lim="lim") -> Column:
     return v > lm
 
 
-def with_above_limit(tx: DataFrame) -> DataFrame:
-    return tx.withColumn("above_limit", above_limit())
-
-
 def to_alerts(rows: DataFrame, reason, extra: list[str] | None = None) -> DataFrame:
     """Wrap transaction rows into flat alerts ``(tx columns, above_limit, fraud_reason)``.
 

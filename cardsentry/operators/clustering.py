@@ -122,11 +122,16 @@ def leader_clusters(df: DataFrame, group_cols: list[str], max_km: float = MAX_CE
     # integers (pandas would otherwise build one Decimal object per value).
     decimals = {f.name: f.dataType for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)}
     for name, dt in decimals.items():
-        df = df.withColumn(name, (F.col(name) * F.lit(10 ** dt.scale)).cast("long"))
+        df = df.withColumn(name, (F.col(name) * F.lit(10 ** dt.scale)).cast("long")
+                           if dt.precision <= 18 else F.col(name).cast("string"))
+    # The fold needs every group whole in one task.  Partitioning on a derived
+    # column keeps the optimizer from dropping this exchange in favour of one
+    # below it that adaptive execution may split.
     src = (df.withColumn("_g1", F.col(key).cast("long"))
            .withColumn("_g2", epoch_micros(wstart))
-           .repartition(*group_cols)
-           .sortWithinPartitions("_g1", "_g2", *ORDER))
+           .withColumn("_part", F.xxhash64("_g1", "_g2"))
+           .repartition("_part")
+           .sortWithinPartitions("_g1", "_g2", *ORDER).drop("_part"))
     out_schema = T.StructType([f for f in src.schema.fields if f.name not in ("_g1", "_g2")]
                               + [T.StructField("cid", T.IntegerType()),
                                  T.StructField("run_n", T.IntegerType()),
@@ -135,7 +140,8 @@ def leader_clusters(df: DataFrame, group_cols: list[str], max_km: float = MAX_CE
     out = src.mapInPandas(lambda it: _fold_batches(it, max_km, update_centre), out_schema)
     for name, dt in decimals.items():
         out = out.withColumn(name, (F.col(name).cast(T.DecimalType(38, dt.scale))
-                                    / F.lit(10 ** dt.scale)).cast(dt))
+                                    / F.lit(10 ** dt.scale)).cast(dt)
+                             if dt.precision <= 18 else F.col(name).cast(dt))
     return out
 
 

@@ -26,6 +26,7 @@ from ..schema import (MAX_CENTRE_DISTANCE_KM, REASON_LOCATION_DISTANCE, REASON_L
 from .alerts import to_alerts
 from .clustering import leader_clusters, single_cluster_groups, with_main_cluster
 from .nearest import nearest_in_time
+from .skew import join_stats
 from .windows import WINDOW_COLS, assign_windows
 
 KEY = "user_id"
@@ -52,7 +53,7 @@ def multi_cluster_candidates(tx: DataFrame, length: str = WINDOW_LOCATION, slide
     g = [key, *WINDOW_COLS]
     w = assign_windows(tx, length, slide)
     spread = single_cluster_groups(w, g).where(~F.col("single")).select(*g)
-    return w.join(spread, g, "left_semi")
+    return join_stats(w, spread, g, how="left_semi")
 
 
 def suspects_with_nearest(tx: DataFrame, length: str = WINDOW_LOCATION, slide: str | None = None,

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..schema import (LOW_VALUE_PERCENT, LOW_VALUE_THRESHOLD, REASON_LOW_VALUES,
                       VALUE_TYPE, WINDOW_LOW_VALUES)
 from .alerts import to_alerts
+from .skew import join_stats
 from .windows import WINDOW_COLS, assign_windows
 
 KEY = "card_id"
@@ -50,9 +51,7 @@ def detect_low_values(tx: DataFrame, length: str = WINDOW_LOW_VALUES, slide: str
     flagged = (low_value_stats(w, length, slide, key)
                .where("flagged").select(key, *WINDOW_COLS))
     lows = w.where(_is_low())
-    # Semi join: AQE broadcasts the flagged groups when their measured size
-    # is small, otherwise splits skewed partitions of a sort-merge join.
-    hits = lows.join(flagged, [key, *WINDOW_COLS], "left_semi")
+    hits = join_stats(lows, flagged, [key, *WINDOW_COLS], how="left_semi")
     return to_alerts(hits, REASON_LOW_VALUES, extra=WINDOW_COLS)
 
 

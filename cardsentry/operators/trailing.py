@@ -4,18 +4,19 @@ Per user, in arrival order (``ts``, then ``seq``): an above-limit row is an
 alert when, counting itself, at least 2 above-limit rows of the user lie at
 most 24 h before it (inclusive: exactly 24 h still counts).
 
-Plan: a RANGE frame of 24 h over the user's above-limit rows.  To keep a hot
-user from landing whole in one task, rows are partitioned by (user, day) and
-every row is also copied into the next day as read-only context (the 24 h
-look-back never reaches further back than the previous day).  A hot user is
-thereby split into one task per day; the window operator buffers one
-(user, day) group at a time and spills it to disk when it is large.
-Rows sharing a timestamp are counted in arrival order: later arrivals with
-the same ``ts`` are subtracted.
+Plan: "at least k rows in the last 24 h, counting this one" is the same as "the
+(k-1)-th above-limit row before it in (ts, seq) order is at most 24 h old", so
+one ``lag`` over the user's above-limit rows decides it: one sort, linear, ties
+included.  To keep a hot user from landing whole in one task, rows are
+partitioned by (user, bucket of hours); the last k-1 rows of each bucket are
+copied, as read-only context, into the buckets that can look back on them.  The
+copies are cut by a row limit per group, which Spark plans on the map side.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,37 +27,36 @@ from .alerts import above_limit, to_alerts
 KEY = "user_id"
 
 
-def trailing_counts(tx: DataFrame, key: str = KEY, hours: int = 24, bucket_hours: int = 24) -> DataFrame:
-    """Above-limit rows with ``n_24h``: above-limit rows of the key within the
-    trailing ``hours`` (inclusive), counting the row and earlier arrivals.
-
-    Rows are bucketed by ``bucket_hours`` and copied as read-only context into
-    the next ``ceil(hours / bucket_hours)`` buckets, so every frame finds its
-    whole look-back in its own partition.  Smaller buckets split a hot key
-    further at the price of more copies (24 h buckets: 2 copies; 6 h: 5)."""
-    import math
+def trailing_hits(tx: DataFrame, key: str = KEY, min_count: int = TRAILING_MIN_COUNT, hours: int = 24,
+                  bucket_hours: int = 24) -> DataFrame:
+    """Above-limit rows of the key with at least ``min_count`` above-limit rows
+    in the trailing ``hours`` (inclusive), counting the row and earlier arrivals.
 
+    Smaller buckets split a hot key further, at the price of ``min_count - 1``
+    context rows in each of the next ``ceil(hours / bucket_hours)`` buckets."""
     above = tx.where(above_limit())
-    bucket_us = bucket_hours * 3_600_000_000
-    bucket = F.floor(epoch_micros("ts") / F.lit(bucket_us)).cast("long")
-    halo = math.ceil(hours / bucket_hours)
-    copies = F.explode(F.array(*[
-        F.struct((bucket + i).alias("_bucket"), F.lit(i > 0).alias("_ctx")) for i in range(halo + 1)]))
-    spread = above.select("*", copies.alias("_c")).select("*", "_c._bucket", "_c._ctx").drop("_c")
-    part = [key, "_bucket"]
-    in_range = F.expr(f"count(1) OVER (PARTITION BY {key}, _bucket ORDER BY ts "
-                      f"RANGE BETWEEN INTERVAL {hours} HOURS PRECEDING AND CURRENT ROW)")
-    same_ts = Window.partitionBy(*part, "ts")
-    same_ts_order = same_ts.orderBy("seq")
-    later_same_ts = F.count(F.lit(1)).over(same_ts) - F.row_number().over(same_ts_order)
-    counted = spread.withColumn("n_24h", in_range - later_same_ts)
-    return counted.where(~F.col("_ctx")).drop("_bucket", "_ctx")
+    back = min_count - 1
+    if back <= 0:
+        return above
+    bucket = F.floor(epoch_micros("ts") / F.lit(bucket_hours * 3_600_000_000)).cast("long")
+    rows = above.withColumn("_bucket", bucket).withColumn("_ctx", F.lit(False))
+    last = Window.partitionBy(key, "_bucket").orderBy(F.col("ts").desc(), F.col("seq").desc())
+    tail = rows.withColumn("_rn", F.row_number().over(last)).where(F.col("_rn") <= back).drop("_rn")
+    ahead = F.explode(F.sequence(F.lit(1), F.lit(math.ceil(hours / bucket_hours))))
+    context = (tail.withColumn("_ahead", ahead)
+               .withColumn("_bucket", F.col("_bucket") + F.col("_ahead"))
+               .withColumn("_ctx", F.lit(True)).drop("_ahead"))
+    order = Window.partitionBy(key, "_bucket").orderBy("ts", "seq")
+    before = F.lag("ts", back).over(order)
+    dealt = rows.unionByName(context).withColumn("_before", before)
+    young = (epoch_micros("ts") - epoch_micros("_before")) <= F.lit(hours * 3_600_000_000)
+    return dealt.where(~F.col("_ctx") & young).drop("_bucket", "_ctx", "_before")
 
 
 def detect_trailing_repeat(tx: DataFrame, key: str = KEY, min_count: int = TRAILING_MIN_COUNT,
                            hours: int = 24, bucket_hours: int = 24) -> DataFrame:
     """Flat alerts of the trailing rule (no window columns: it is not windowed)."""
-    rows = trailing_counts(tx, key, hours, bucket_hours).where(F.col("n_24h") >= min_count)
+    rows = trailing_hits(tx, key, min_count, hours, bucket_hours)
     reason = F.concat(F.lit(REASON_TRAILING_PREFIX), F.col("user_id").cast("string"),
                       F.lit(REASON_TRAILING_SUFFIX))
     return to_alerts(rows, reason)

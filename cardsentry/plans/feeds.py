@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timefmt import days_since_epoch
 from ..operators.alerts import above_limit
+from ..operators.skew import join_stats
 from ..schema import CHART_LOW_VALUE, LOCATION_REASON_PATTERN, VALUE_TYPE
 
 
@@ -28,7 +29,7 @@ def feed_above_limit(tx: DataFrame, cards=None) -> DataFrame:
     """(card, ts, value, limit0, value > limit0) with limit0 from the card's first row."""
     tx = _cards(tx, cards)
     lim0 = first_limit_per_card(tx)
-    return (tx.join(lim0, "card_id")
+    return (join_stats(tx, lim0, ["card_id"])
             .select("card_id", "seq", "ts", "value", "limit0",
                     above_limit("value", "limit0").alias("above_limit0")))
 

@@ -5,7 +5,7 @@ Internal transaction row (one flat DataFrame, the input of every detector):
     seq      BIGINT         arrival order / unique id (Kafka offset, event id)
     card_id  INT
     ts       TIMESTAMP_NTZ  payload time; batch windows run on it
-    value    DECIMAL(18,2)
+    value    DECIMAL        any scale; sources that parse text use DECIMAL(38,18)
     user_id  INT
     lim      INT            the card's limit, carried on every row
     lat, lon DOUBLE         transaction position
@@ -32,7 +32,6 @@ REASON_LOCATION_SECOND_TS = " the second is "
 REASON_TRAILING_PREFIX = "Użytkownik "
 REASON_TRAILING_SUFFIX = " przekroczył limit co najmniej drugi raz w ciągu 24 godzin."
 TRAILING_MIN_COUNT = 2
-TRAILING_RETENTION = "24 hours"
 LOCATION_REASON_PATTERN = r"Localization changed too fast.*"
 
 EARTH_RADIUS_KM = 6371.0
@@ -53,7 +52,7 @@ WINDOW_LOCATION = "1 day"
 # Topic and CSV layout names of the reference deployment.
 SOURCE_TOPIC = "Transactions"
 ALERT_TOPIC = "Frauds"
-CSV_FLUSH_ROWS = 10_000
+CSV_FLUSH_ROWS = 10_000        # the dump scripts' rows per file: a choice of max_rows here
 TX_CSV_HEADER = ["cardId", "timestamp", "value", "userId", "limit",
                  "localization.latitude", "localization.longitude"]
 ALERT_CSV_HEADER = ["transaction.cardId", "transaction.timestamp", "transaction.value",
