@@ -16,18 +16,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geo import destination_point, haversine_km, initial_bearing_deg
-from ..functions.timefmt import format_2dp, local_datetime_text, utc_wall_clock
+from ..functions.timefmt import format_2dp, local_datetime_text, parse_timestamp_pattern, utc_wall_clock
 from ..operators.above_limit import above_limit_ranked, detect_above_limit
 from ..operators.alerts import above_limit, flat_alert_layout, flatten
 from ..operators.location import (clustered_groups, detect_location_jump, suspects_with_nearest,
                                   velocity_checks)
 from ..operators.clustering import cluster_summary
 from ..operators.low_values import detect_low_values, p05_by_group
+from ..operators.skew import join_stats
 from ..operators.trailing import detect_trailing_repeat
 from ..operators.windows import WINDOW_COLS
-from ..schema import ALERT_COLUMNS
+from ..schema import ALERT_COLUMNS, TX_CSV_HEADER, TX_SCHEMA, VALUE_TYPE
 from ..sources.fixture import load_tx
-from ..sources.json_codec import alert_json, decode_transactions, encode_transactions
+from ..sources.csv_io import TIMESTAMP_FORMAT, transactions_csv_layout, typed_transactions
+from ..sources.json_codec import alert_json, decode_alerts, decode_transactions, encode_transactions
 from .detection import fraud_alerts
 from .feeds import (alerts_by_reason, feed_above_limit, feed_location_alerts, feed_low_values,
                     feed_positions)
@@ -47,8 +49,6 @@ def _r6(c) -> F.Column:
 
 ALERT_OUT = ALERT_COLUMNS
 WINDOWED_ALERT_OUT = ALERT_COLUMNS + WINDOW_COLS
-# Micro-batch bound of the registered streaming queries (files per trigger).
-STREAM_FILES_PER_TRIGGER = 16
 
 
 # -- detectors ---------------------------------------------------------------
@@ -76,28 +76,29 @@ def q_location_sliding_12h(spark, sf):
     return _out(detect_location_jump(load_tx(spark, sf), "1 day", "12 hours"), WINDOWED_ALERT_OUT)
 
 
-def q_stream_fraud_alerts(spark, sf):
-    """The streaming job end to end: the ``events`` table read as a file
-    stream, watermark + windowed state + foreachBatch detection, run to the
-    end of input (``availableNow``) into the shared checkpoint folder; the
-    emitted alerts are those of every window that closed."""
+def _stream_folder(spark, name: str) -> str:
     import uuid
 
-    from ..schema import TX_SCHEMA
     from ..session import ensure_checkpoint_dir
-    from ..sources.fixture import transactions_from_events
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/cardsentry/{name}/{uuid.uuid4().hex}"
+
+
+def q_stream_fraud_alerts(spark, sf, slices: int | None = None):
+    """The streaming job end to end: the ``events`` table replayed in event-time
+    order, watermark + windowed state + foreachBatch detection, run to the end
+    of input (``availableNow``) into the shared checkpoint folder; the emitted
+    alerts are those of every window that closed."""
+    from ..sources.fixture import load_table, transactions_from_events
     from ..streaming.detect import parquet_sink, start_detection
+    from ..streaming.replay import SLICES, replay
     from pyspark.sql import types as T
-    events_schema = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").schema
-    stream = (spark.readStream.schema(events_schema).option("pathGlobFilter", "events.parquet")
-              .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(sf.rstrip("/")))
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cardsentry/stream_fraud_alerts/{uuid.uuid4().hex}"
-    q = start_detection(transactions_from_events(stream), parquet_sink(f"{base}/alerts"),
-                        checkpoint_location=f"{base}/state", trigger={"availableNow": True},
-                        query_name=f"stream_fraud_alerts_{uuid.uuid4().hex[:8]}")
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    base = _stream_folder(spark, "stream_fraud_alerts")
+    replay(load_table(spark, sf, "events"), "ts", f"{base}/in",
+           lambda stream: start_detection(
+               transactions_from_events(stream), parquet_sink(f"{base}/alerts"),
+               checkpoint_location=f"{base}/state", trigger={"availableNow": True},
+               query_name=f"stream_fraud_alerts_{base[-8:]}"),
+           slices or SLICES)
     out_schema = T.StructType(TX_SCHEMA.fields + [
         T.StructField("above_limit", T.BooleanType()), T.StructField("fraud_reason", T.StringType()),
         T.StructField("window_start", T.TimestampType()), T.StructField("window_end", T.TimestampType())])
@@ -107,26 +108,20 @@ def q_stream_fraud_alerts(spark, sf):
     return _out(alerts, WINDOWED_ALERT_OUT)
 
 
-def q_stream_trailing_24h_repeat(spark, sf):
+def q_stream_trailing_24h_repeat(spark, sf, slices: int | None = None):
     """The keyed-state trailing rule (``applyInPandasWithState`` with an
-    event-time time-out) over the ``events`` table read as a file stream."""
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
-    from ..sources.fixture import transactions_from_events
-    from ..streaming.trailing import trailing_repeat_stream
-    events_schema = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").schema
-    stream = (spark.readStream.schema(events_schema).option("pathGlobFilter", "events.parquet")
-              .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(sf.rstrip("/")))
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cardsentry/stream_trailing/{uuid.uuid4().hex}"
-    alerts = trailing_repeat_stream(transactions_from_events(stream))
-    q = (alerts.writeStream.format("parquet").outputMode("append").option("path", f"{base}/alerts")
-         .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    from ..streaming.trailing import ALERT_OUT
-    return _out(spark.read.schema(ALERT_OUT).parquet(f"{base}/alerts"), ALERT_OUT.fieldNames())
+    event-time time-out) over the ``events`` table replayed in event-time order."""
+    from ..sources.fixture import load_table, transactions_from_events
+    from ..streaming.replay import SLICES, replay
+    from ..streaming.trailing import alert_schema, trailing_repeat_stream
+    base = _stream_folder(spark, "stream_trailing")
+    replay(load_table(spark, sf, "events"), "ts", f"{base}/in",
+           lambda stream: (trailing_repeat_stream(transactions_from_events(stream)).writeStream.format("parquet")
+                           .outputMode("append").option("path", f"{base}/alerts")
+                           .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()),
+           slices or SLICES)
+    schema = alert_schema(TX_SCHEMA)
+    return _out(spark.read.schema(schema).parquet(f"{base}/alerts"), schema.fieldNames())
 
 
 def q_fraud_alerts(spark, sf):
@@ -189,7 +184,7 @@ def _with_home(tx: DataFrame) -> DataFrame:
     """Each row with its card's first position (min_by: a partial aggregate)."""
     home = tx.groupBy("card_id").agg(
         F.min_by(F.struct("lat", "lon"), F.struct("ts", "seq")).alias("home"))
-    return tx.join(home, "card_id")
+    return join_stats(tx, home, ["card_id"])
 
 
 def q_haversine_km(spark, sf):
@@ -213,7 +208,7 @@ def q_filter_above_limit(spark, sf):
 
 def q_filter_low_value(spark, sf):
     tx = load_tx(spark, sf)
-    return _out(tx.where(F.col("value") < F.lit("1.0").cast("decimal(18,2)")),
+    return _out(tx.where(F.col("value") < F.lit("1.0").cast(VALUE_TYPE)),
                 ["seq", "card_id", "ts", "value"])
 
 
@@ -249,6 +244,44 @@ def q_alerts_flat(spark, sf):
                          for c in flat.columns])
 
 
+def q_alert_decode(spark, sf):
+    """Alert messages read back into alert rows."""
+    good, _ = decode_alerts(alert_json(fraud_alerts(load_tx(spark, sf)), keep=["seq"]))
+    return _out(good, ALERT_OUT)
+
+
+def q_csv_roundtrip(spark, sf):
+    """Every transaction as a CSV line of the dump layout, parsed and typed again."""
+    tx = load_tx(spark, sf)
+    layout = transactions_csv_layout(tx, keep=["seq"])
+    line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in TX_CSV_HEADER]), {"timestampNTZFormat": TIMESTAMP_FORMAT})
+    schema = ", ".join(f"`{c}` string" for c in TX_CSV_HEADER)
+    back = layout.select("seq", F.from_csv(line, schema).alias("r"))
+    good, _ = typed_transactions(back.select("seq", *[F.col(f"r.`{c}`").alias(c) for c in TX_CSV_HEADER]))
+    return _out(good, ["seq", "card_id", "ts", "value", "user_id", "lim", "lat", "lon"])
+
+
+def q_producer_time(spark, sf):
+    """Event times written and parsed in the producer's ``yyyy-MM-dd HH:mm:ss`` form (whole seconds)."""
+    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    return load_tx(spark, sf).select("seq", text.alias("ts_text"), parse_timestamp_pattern(text).alias("ts_parsed"))
+
+
+def q_fixed_centre_clusters(spark, sf):
+    """Leader clustering whose centres stay at their first point."""
+    g = ["user_id", *WINDOW_COLS]
+    s = cluster_summary(clustered_groups(load_tx(spark, sf), update_centre=False), g)
+    return s.select("user_id", "window_start", "cid", F.col("n").cast("int").alias("n"),
+                    _r6("centre_lat").alias("centre_lat"), _r6("centre_lon").alias("centre_lon"))
+
+
+def q_feed_busiest_card(spark, sf):
+    """The low-value feed of one card, found by equality: the card with the most rows (least id on ties)."""
+    tx = load_tx(spark, sf)
+    first = tx.groupBy("card_id").count().orderBy(F.col("count").desc(), "card_id").first()
+    return _out(feed_low_values(tx, cards=[first["card_id"]] if first else []), ["card_id", "seq", "ts", "value", "is_low"])
+
+
 def q_alerts_by_reason(spark, sf):
     return _out(alerts_by_reason(fraud_alerts(load_tx(spark, sf))), ALERT_OUT)
 
@@ -299,6 +332,11 @@ QUERIES: dict[str, Query] = {
     "alert_json": q_alert_json,
     "alerts_flat": q_alerts_flat,
     "alerts_by_reason": q_alerts_by_reason,
+    "alert_decode": q_alert_decode,
+    "csv_roundtrip": q_csv_roundtrip,
+    "producer_time": q_producer_time,
+    "fixed_centre_clusters": q_fixed_centre_clusters,
+    "feed_busiest_card": q_feed_busiest_card,
     "feed_above_limit": q_feed_above_limit,
     "feed_low_values": q_feed_low_values,
     "feed_positions": q_feed_positions,

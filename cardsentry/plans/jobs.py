@@ -25,12 +25,12 @@ from .detection import fraud_alerts
 def read_transactions(spark: SparkSession, path: str, fmt: str) -> tuple[DataFrame, DataFrame | None]:
     """(transactions, quarantine) from a batch source."""
     if fmt == "json":
-        raw = spark.read.text(path).select(F.monotonically_increasing_id().alias("seq"), "value")
-        return decode_transactions(raw)
+        # seq is a hash of the message: the same in every scan of the input
+        return decode_transactions(spark.read.text(path).select(F.xxhash64("value").alias("seq"), "value"))
     if fmt == "csv":
-        return read_transactions_csv(spark, path), None
+        return read_transactions_csv(spark, path)
     if fmt == "parquet":
-        return spark.read.schema(TX_SCHEMA).parquet(path), None
+        return spark.read.parquet(path).select(*TX_SCHEMA.fieldNames()), None
     raise ValueError(f"unknown format {fmt}")
 
 
@@ -43,25 +43,33 @@ def run_batch(spark: SparkSession, input_path: str, fmt: str, output_path: str)
 
 def run_stream(spark: SparkSession, input_path: str, fmt: str, output_path: str,
                kafka: str | None = None, checkpoint: str | None = None, delay: str = "0 seconds",
-               trigger: dict | None = None):
+               trigger: dict | None = None, starting_offsets: str = "earliest"):
+    """Start the detection stream; bad messages go to ``<output>-quarantine`` by a
+    second query, so that none vanishes unreported."""
+    from ..session import ensure_checkpoint_dir
     from ..sources.kafka import read_transactions_stream
     from ..streaming.detect import parquet_sink, start_detection
     from ..streaming.sinks import kafka_alert_sink
     if kafka:
-        tx, _ = read_transactions_stream(spark, kafka)
+        tx, bad = read_transactions_stream(spark, kafka, starting_offsets=starting_offsets)
     elif fmt == "json":
         # A file stream has no offsets: seq (the tie-break among equal
         # timestamps) is a hash of the message, stable across micro-batches.
         raw = spark.readStream.format("text").load(input_path)
-        tx, _ = decode_transactions(raw.select(F.xxhash64("value").alias("seq"), "value"))
+        tx, bad = decode_transactions(raw.select(F.xxhash64("value").alias("seq"), "value"))
     else:
-        tx = spark.readStream.schema(TX_SCHEMA).parquet(input_path)
+        tx, bad = spark.readStream.schema(spark.read.parquet(input_path).schema).parquet(input_path), None
     sink = kafka_alert_sink(kafka) if kafka and not output_path else parquet_sink(output_path)
+    if bad is not None and output_path:
+        state = f"{checkpoint or ensure_checkpoint_dir(spark).rstrip('/')}-quarantine"
+        writer = (bad.writeStream.format("parquet").outputMode("append")
+                  .option("path", f"{output_path.rstrip('/')}-quarantine").option("checkpointLocation", state))
+        (writer.trigger(**trigger) if trigger else writer).start()
     return start_detection(tx, sink, checkpoint_location=checkpoint, delay=delay, trigger=trigger)
 
 
 def main(argv=None) -> None:
-    from ..session import get_session
+    from ..session import CLUSTER_CONF, get_session
     p = argparse.ArgumentParser(prog="cardsentry")
     p.add_argument("mode", choices=["batch", "stream"])
     p.add_argument("--input", required=False, default="")
@@ -70,9 +78,11 @@ def main(argv=None) -> None:
     p.add_argument("--kafka", default=None)
     p.add_argument("--checkpoint", default=None)
     p.add_argument("--delay", default="0 seconds")
+    p.add_argument("--starting-offsets", default="earliest", choices=["earliest", "latest"])
     a = p.parse_args(argv)
-    spark = get_session()
+    # settings given to spark-submit win over these
+    spark = get_session(extra=CLUSTER_CONF)
     if a.mode == "batch":
         run_batch(spark, a.input, a.format, a.output)
     else:
-        run_stream(spark, a.input, a.format, a.output, a.kafka, a.checkpoint, a.delay).awaitTermination()
+        run_stream(spark, a.input, a.format, a.output, a.kafka, a.checkpoint, a.delay, None, a.starting_offsets).awaitTermination()

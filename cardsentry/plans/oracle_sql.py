@@ -137,7 +137,8 @@ D2_SLIDING = d2_ctes("d2s", "7 DAYS", "84 HOURS", 2)
 _HIT = ("list_position(list_transform(f.cs, lambda c: "
         + hav("c.lat", "c.lon", "p.lat", "p.lon") + " < 100), true)")
 
-def d3_ctes(p: str = "d3", length: str = "1 DAY", slide: str = "1 DAY", copies: int = 1) -> str:
+def d3_ctes(p: str = "d3", length: str = "1 DAY", slide: str = "1 DAY", copies: int = 1, moving: bool = True) -> str:
+    lat, lon = (("(c.lat * c.n + p.lat) / (c.n + 1)", "(c.lon * c.n + p.lon) / (c.n + 1)") if moving else ("c.lat", "c.lon"))
     return f"""{p}_pts AS (
   SELECT *, row_number() OVER (PARTITION BY user_id, window_start ORDER BY ts, seq) AS rn
   FROM {windowed_tx(length, slide, copies)}
@@ -151,7 +152,7 @@ def d3_ctes(p: str = "d3", length: str = "1 DAY", slide: str = "1 DAY", copies:
          CASE WHEN {_HIT} IS NULL
               THEN list_append(f.cs, {{'lat': p.lat, 'lon': p.lon, 'n': 1}})
               ELSE list_transform(f.cs, lambda c, i: CASE WHEN i = {_HIT.replace('lambda c:', 'lambda c2:').replace('c.lat', 'c2.lat').replace('c.lon', 'c2.lon')}
-                   THEN {{'lat': (c.lat * c.n + p.lat) / (c.n + 1), 'lon': (c.lon * c.n + p.lon) / (c.n + 1), 'n': c.n + 1}}
+                   THEN {{'lat': {lat}, 'lon': {lon}, 'n': c.n + 1}}
                    ELSE c END) END,
          coalesce({_HIT}, len(f.cs) + 1)
   FROM {p}_fold f JOIN {p}_pts p
@@ -206,6 +207,7 @@ def d3_ctes(p: str = "d3", length: str = "1 DAY", slide: str = "1 DAY", copies:
 
 
 D3 = d3_ctes()
+D3_FIXED = d3_ctes("d3f", moving=False)
 D3_SLIDING = d3_ctes("d3s", "1 DAY", "12 HOURS", 2)
 
 D4 = f"""d4 AS (
@@ -329,4 +331,15 @@ ORACLE: dict[str, str] = {
     "feed_location_alerts": with_ctes(TX, D1, D2, D3, D4) + (
         "SELECT card_id, seq, lon, lat, CAST(epoch_us(ts) AS DOUBLE) / 86400000000.0 AS days, fraud_reason "
         "FROM d4 WHERE regexp_matches(fraud_reason, 'Localization changed too fast.*')"),
+    "alert_decode": with_ctes(TX, D1, D2, D3, D4) + "SELECT * FROM d4",
+    "csv_roundtrip": with_ctes(TX) + "SELECT seq, card_id, ts, CAST(value AS DOUBLE) AS value, user_id, "
+                                     "lim, lat, lon FROM tx",
+    "producer_time": with_ctes(TX) + "SELECT seq, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text, "
+                                     "date_trunc('second', ts) AS ts_parsed FROM tx",
+    "fixed_centre_clusters": with_ctes(TX, D3_FIXED) + "SELECT user_id, window_start, CAST(i AS INTEGER) AS cid, "
+                             "CAST(cs[i].n AS INTEGER) AS n, (round(cs[i].lat, 6) + 0.0) AS centre_lat, "
+                             "(round(cs[i].lon, 6) + 0.0) AS centre_lon FROM d3f_final, range(1, len(cs) + 1) AS r(i)",
+    "feed_busiest_card": with_ctes(TX) + (
+        "SELECT card_id, seq, ts, CAST(value AS DOUBLE) AS value, value < 0.5 AS is_low FROM tx WHERE card_id = "
+        "(SELECT card_id FROM tx GROUP BY card_id ORDER BY count(*) DESC, card_id LIMIT 1)"),
 }

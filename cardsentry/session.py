@@ -72,13 +72,16 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint folder; only when none is set (tests,
-    local runs) fall back to a fresh scratch folder."""
+    """The configured checkpoint folder.  Only a local-mode session (tests, one
+    machine) may do without one and gets a fresh scratch folder; on a cluster
+    every machine would see its own, so that is an error."""
     found = checkpoint_dir(spark)
     if found:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(found)
         return found
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="cardsentry-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local

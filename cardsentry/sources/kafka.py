@@ -23,7 +23,7 @@ OFFSET_BITS = 40   # seq = partition << 40 | offset: unique and ordered per part
 def source_options(bootstrap_servers: str, topic: str = SOURCE_TOPIC,
                    starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None) -> dict:
     opts = {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic,
-            "startingOffsets": starting_offsets, "failOnDataLoss": "false"}
+            "startingOffsets": starting_offsets, "failOnDataLoss": "true"}
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     return opts
@@ -35,8 +35,10 @@ def sink_options(bootstrap_servers: str, topic: str = ALERT_TOPIC) -> dict:
 
 def kafka_records_to_transactions(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Kafka rows (key, value, partition, offset, timestamp, ...) -> (good, quarantine)."""
+    fits = F.col("offset") < F.lit(1 << OFFSET_BITS)
     framed = records.select(
-        (F.col("partition").cast("long") * F.lit(1 << OFFSET_BITS) + F.col("offset")).alias("seq"),
+        F.when(fits, F.col("partition").cast("long") * F.lit(1 << OFFSET_BITS) + F.col("offset"))
+        .otherwise(F.raise_error(F.lit("offset does not fit the packed arrival order"))).alias("seq"),
         F.col("timestamp").alias("event_ts"),
         F.col("value").cast("string").alias("value"))
     return decode_transactions(framed)

@@ -3,7 +3,8 @@
 * ``kafka_alert_sink``: alert JSON to a topic from ``foreachBatch``
   (at-least-once, as Spark's Kafka sink is; the reference set no guarantee).
 * ``start_csv_export``: a stream of transactions or alerts appended to CSV in
-  the dump scripts' layouts, one header per file, at most 10,000 rows a file.
+  the dump scripts' layouts, one header per file; ``max_rows`` caps a file's rows
+  (off by default).
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from ..operators.alerts import flat_alert_layout
-from ..schema import ALERT_TOPIC, CSV_FLUSH_ROWS
+from ..schema import ALERT_TOPIC
 from ..session import ensure_checkpoint_dir
 from ..sources.csv_io import transactions_csv_layout
 from ..sources.kafka import write_alerts
@@ -30,13 +31,13 @@ def kafka_alert_sink(bootstrap_servers: str, topic: str = ALERT_TOPIC) -> Callab
 
 def start_csv_export(stream: DataFrame, path: str, layout: str = "transactions",
                      checkpoint_location: str | None = None, trigger: dict | None = None,
-                     query_name: str | None = None):
+                     query_name: str | None = None, max_rows: int = 0):
     """Append a stream to CSV files; ``layout`` is ``transactions`` or ``alerts``."""
     flat = transactions_csv_layout(stream) if layout == "transactions" else flat_alert_layout(stream)
     name = query_name or f"csv_export_{layout}"
     ckpt = checkpoint_location or f"{ensure_checkpoint_dir(stream.sparkSession).rstrip('/')}/{name}"
     writer = (flat.writeStream.format("csv").outputMode("append").queryName(name)
-              .option("header", True).option("maxRecordsPerFile", CSV_FLUSH_ROWS)
+              .option("header", True).option("maxRecordsPerFile", max_rows)
               .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
               .option("checkpointLocation", ckpt).option("path", path))
     if trigger:

@@ -1,14 +1,12 @@
 """Trailing-24h repeat (W1) on a stream: keyed state with a time-out (X7).
 
-Per user the state holds only the above-limit rows of the last 24 h (times
-and ids), pruned on every new row; an above-limit row alerts when, counting
-itself, at least 2 are held.  The state of a user is dropped once the
+Per user the state holds the times of the last ``min_count - 1`` above-limit
+rows; an above-limit row alerts when the oldest of them is at most 24 h old.  The state of a user is dropped once the
 watermark is 24 h past its latest row (event-time time-out, the TTL).
 
 Within a micro-batch the rows of a user are taken in (ts, seq) order, so for
-in-order input the alerts equal the batch rule's.  State per user is bounded
-by the user's above-limit rate over 24 h, not by the stream; one user's rows
-of a single micro-batch are sorted together in pandas, so a trigger size
+in-order input the alerts equal the batch rule's.  State per user is a few
+numbers; one user's rows of a single micro-batch are sorted together in pandas, so a trigger size
 (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``) bounds that step.
 """
 
@@ -26,8 +24,14 @@ from .detect import with_event_time
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-ALERT_OUT = T.StructType(TX_SCHEMA.fields + [T.StructField("above_limit", T.BooleanType()),
-                                             T.StructField("fraud_reason", T.StringType())])
+
+
+def alert_schema(tx: T.StructType) -> T.StructType:
+    """Flat alert columns with the transaction's own types."""
+    return T.StructType([tx[f.name] for f in TX_SCHEMA.fields]
+                        + [T.StructField("above_limit", T.BooleanType()), T.StructField("fraud_reason", T.StringType())])
+
+
 STATE = T.StructType([T.StructField("held_us", T.ArrayType(T.LongType())),
                       T.StructField("latest_ms", T.LongType())])
 
@@ -50,11 +54,11 @@ def _trailing_step(min_count: int, window_us: int):
         out = []
         for i, row in enumerate(batch.itertuples(index=False)):
             now = t_us[i]
-            held = [h for h in held if now - h <= window_us]          # keep ≤ 24 h old
             if row.value > row.lim:
-                held.append(now)
-                if len(held) >= min_count:
+                # the (min_count - 1)-th above-limit row before this one decides
+                if len(held) >= min_count - 1 and (min_count <= 1 or now - held[0] <= window_us):
                     out.append(i)
+                held = (held + [now])[-(min_count - 1):] if min_count > 1 else []
         last_ms = int(max(t_us) // 1000)
         latest_ms = last_ms if latest_ms is None else max(latest_ms, last_ms)
         state.update((held, latest_ms))
@@ -79,5 +83,5 @@ def trailing_repeat_stream(stream: DataFrame, delay: str = "0 seconds",
     s = with_event_time(stream).withWatermark("event_ts", delay)
     return (s.select("event_ts", *[f.name for f in TX_SCHEMA.fields])
             .groupBy("user_id")
-            .applyInPandasWithState(_trailing_step(min_count, hours * 3_600_000_000), ALERT_OUT, STATE,
+            .applyInPandasWithState(_trailing_step(min_count, hours * 3_600_000_000), alert_schema(s.schema), STATE,
                                     "append", GroupStateTimeout.EventTimeTimeout))
