@@ -253,3 +253,29 @@ def test_fold_state_survives_arrow_batch_boundaries(spark):
     finally:
         spark.conf.set(key, old)
     assert base and small == base and small_clusters == clusters
+
+
+@pytest.mark.parametrize("copies,below,want", [(6, 0, 3), (3, 0, 0), (4, 2, 3), (2, 2, 1), (2, 1, 0), (10, 3, 10)])
+def test_above_limit_rows_that_repeat_time_and_seq(spark, copies, below, want):
+    """Rows with one (ts, seq) are counted one by one: the first three of the group are spared."""
+    from cardsentry.operators.above_limit import detect_above_limit
+    early = [(i, 1, dt.datetime(2024, 6, 1, 7, i), 50.0, 1, 10, 0.0, 0.0) for i in range(below)]
+    same = [(99, 1, dt.datetime(2024, 6, 1, 8), 50.0, 1, 10, 0.0, 0.0)] * copies
+    df = spark.createDataFrame(early + same, "seq long, card_id int, ts timestamp_ntz, value double, user_id int, lim int, lat double, lon double")
+    df = df.withColumn("value", F.col("value").cast("decimal(18,2)"))
+    assert detect_above_limit(df).count() == want
+    assert detect_above_limit(df, "24 hours", None, 4, 3).count() == (want if copies + below > 4 else 0)
+
+
+def test_trailing_rule_is_linear_in_a_hot_user_day(spark):
+    """60,000 above-limit rows of one user-day: a quadratic plan takes minutes."""
+    import time
+    from cardsentry.operators.trailing import detect_trailing_repeat
+    rows = spark.range(60_000).select(
+        F.col("id").alias("seq"), F.lit(1).alias("card_id"),
+        F.expr("TIMESTAMP_NTZ'2024-06-01 00:00:00' + make_dt_interval(0, 0, 0, id)").alias("ts"),
+        F.lit("50.00").cast("decimal(18,2)").alias("value"), F.lit(1).alias("user_id"), F.lit(10).alias("lim"),
+        F.lit(0.0).alias("lat"), F.lit(0.0).alias("lon"))
+    t0 = time.perf_counter()
+    assert detect_trailing_repeat(rows).count() == 59_999
+    assert time.perf_counter() - t0 < 60

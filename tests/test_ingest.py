@@ -40,9 +40,9 @@ def test_bad_rows_go_to_quarantine(spark):
     texts = ["{bad", json.dumps(no_loc), json.dumps(dict(GOOD, value="0.999")),
              json.dumps(dict(GOOD, extra="ignored")), json.dumps(dict(GOOD, cardId="x"))]
     good, bad = decode_transactions(_raw(spark, texts))
-    assert [r.seq for r in good.collect()] == [3]
+    assert [(r.seq, r.value) for r in good.collect()] == [(2, Decimal("0.999")), (3, Decimal(GOOD["value"]))]
     reasons = sorted(r.reason for r in bad.collect())
-    assert reasons == ["cardId", "localization", "unparsable", "value precision"]
+    assert reasons == ["cardId", "localization", "unparsable"]
 
 
 def test_alert_json_shape(spark):
@@ -62,7 +62,8 @@ def test_flatten_uses_dotted_names(spark):
 def test_csv_roundtrip(spark, scratch):
     tx = load_tx(spark, SF001)
     write_transactions_csv(tx, f"{scratch}/tx", mode="overwrite")
-    back = read_transactions_csv(spark, f"{scratch}/tx")
+    back, bad = read_transactions_csv(spark, f"{scratch}/tx")
+    assert bad.count() == 0
     header = open(next(p for p in __import__("glob").glob(f"{scratch}/tx/*.csv"))).readline().strip()
     assert header == "cardId,timestamp,value,userId,limit,localization.latitude,localization.longitude"
     cols = ["card_id", "ts", "value", "user_id", "lim", "lat", "lon"]
@@ -138,6 +139,37 @@ def test_feeds_restricted_to_cards(spark):
 
 def test_excess_precision_can_round(spark):
     texts = [json.dumps(dict(GOOD, value="0.999")), json.dumps(dict(GOOD, value="12.345"))]
-    good, bad = decode_transactions(_raw(spark, texts), excess_precision="round")
+    good, bad = decode_transactions(_raw(spark, texts), round_to=2)
     assert bad.count() == 0
     assert sorted(r.value for r in good.collect()) == [Decimal("1.00"), Decimal("12.35")]
+
+
+def test_amounts_keep_their_scale_down_to_the_detector(spark, scratch):
+    """0.999 is below 1.0, through JSON and through CSV."""
+    from cardsentry.operators.low_values import detect_low_values
+    texts = [json.dumps(dict(GOOD, value="0.999"))]
+    good, _ = decode_transactions(_raw(spark, texts))
+    assert detect_low_values(good).count() == 1
+    write_transactions_csv(good, f"{scratch}/fine", mode="overwrite")
+    back, bad = read_transactions_csv(spark, f"{scratch}/fine")
+    assert bad.count() == 0 and detect_low_values(back).count() == 1
+
+
+def test_bad_csv_rows_are_quarantined(spark, scratch):
+    header = "cardId,timestamp,value,userId,limit,localization.latitude,localization.longitude"
+    lines = [header, "1,2024-06-02T12:00:03,5.1,1,10,1.0,2.0", "x,2024-06-02T12:00:03,5.1,1,10,1.0,2.0",
+             "1,not a time,5.1,1,10,1.0,2.0", "1,2024-06-02T12:00:03,5.1,1,10,1.0,"]
+    with open(f"{scratch}/bad.csv", "w") as f:
+        f.write("\n".join(lines))
+    good, bad = read_transactions_csv(spark, f"{scratch}/bad.csv")
+    assert good.count() == 1 and sorted(r.reason for r in bad.collect()) == ["cardId", "localization.longitude", "timestamp"]
+
+
+def test_alert_messages_decode(spark):
+    from cardsentry.sources.json_codec import decode_alerts
+    alerts = fraud_alerts(load_tx(spark, SF001))
+    texts = alert_json(alerts, keep=["seq"])
+    good, bad = decode_alerts(texts.unionByName(spark.createDataFrame([(7, "{nope")], "seq long, value string")))
+    assert [r[0] for r in bad.collect()] == ["{nope"]
+    cols = ["seq", "card_id", "ts", "value", "above_limit", "fraud_reason"]
+    assert sorted(map(tuple, good.select(*cols).collect())) == sorted(map(tuple, alerts.select(*cols).collect()))

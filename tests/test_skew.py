@@ -37,3 +37,20 @@ def test_hot_key_results_match_oracle(spark, skewed_dir, name):
     r = compare(name, spark, skewed_dir, QUERIES, ORACLE)
     assert r["ok"], r
     assert r["spark_rows"] > 0
+
+
+def test_joins_with_statistics_spread_a_hot_key(spark):
+    """No task gets all rows of a key that holds the whole table."""
+    from cardsentry.operators.skew import join_stats
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        rows = spark.range(8000).select(F.col("id").alias("seq"), F.lit(1).alias("k"))
+        stats = spark.createDataFrame([(1, 2)], "k int, v int")
+        for how in ("inner", "left_semi"):
+            sizes = [r["count"] for r in join_stats(rows, stats, ["k"], how=how).groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 8000 and max(sizes) < 4000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

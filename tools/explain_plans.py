@@ -26,7 +26,7 @@ def main() -> None:
         df.collect()                        # run through the DataFrame's own execution
         plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
         plan = re.sub(r"#\d+L?", "", plan)
-        lines = [ln[:220] for ln in plan.splitlines() if ln.strip()]
+        lines = [ln[:600] for ln in plan.splitlines() if ln.strip()]
         out += [f"## {name}", "", "```", *lines, "```", ""]
     with open(os.path.join(ROOT, "PLANS.md"), "w") as f:
         f.write("\n".join(out))
