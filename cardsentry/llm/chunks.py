@@ -18,9 +18,9 @@ from .words import slices
 # White_Space of Unicode, as tokenizer libraries take \s
 WS = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 CHUNK = re.compile(f"[{WS}]*[^{WS}]+|[{WS}]+")
-SLICE_BYTES = 3 << 20
-STRETCH_BYTES = 12 << 20
-MAX_CACHED = 300_000
+SLICE_BYTES = 1 << 20
+STRETCH_BYTES = 5 << 20
+MAX_CACHED = 150_000
 
 
 class Index(dict):

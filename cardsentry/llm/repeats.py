@@ -52,7 +52,8 @@ def anchors_of(words: np.ndarray, first: np.ndarray, length: int) -> tuple[np.nd
         return none.astype(np.uint64), none.astype(np.uint64), none, none
     grams = rolling(words, GRAM)
     wide = np.lib.stride_tricks.sliding_window_view(grams, length - GRAM + 1)
-    anchor = np.concatenate([wide[a : a + 65536].argmin(axis=1) + np.arange(a, min(a + 65536, len(wide))) for a in range(0, len(wide), 65536)])
+    step = 8192
+    anchor = np.concatenate([wide[a : a + step].argmin(axis=1) + np.arange(a, min(a + step, len(wide))) for a in range(0, len(wide), step)])
     # windows that lie in one document
     doc_end = np.repeat(first[1:], np.diff(first))[: len(wide)]
     at = np.flatnonzero(np.arange(len(wide)) + length <= doc_end)

@@ -12,10 +12,12 @@ the hash of any run comes from two prefix sums (``run_hashes``).
 
 from __future__ import annotations
 
+import ctypes
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15 | 1)
@@ -112,7 +114,7 @@ def split_words(texts: pa.Array, fold_case: bool = False, at_marks: bool = False
     h = np.zeros(0, np.uint64)
     if len(start):
         # prefix sums over slices of the batch, cut at word starts, keep the working set small
-        parts, step = [], 1 << 20
+        parts, step = [], 1 << 18
         cuts = np.unique(np.concatenate([np.searchsorted(start, np.arange(0, len(data), step)), [len(start)]]))
         table = _FOLDED if fold_case else _TABLE
         for a, b in zip(cuts[:-1], cuts[1:]):
@@ -131,13 +133,25 @@ def rolling(words: np.ndarray, k: int) -> np.ndarray:
     return run_hashes(words, at, at + k)
 
 
-def slices(batches, column: str, limit: int = 4 << 20):
-    """Cut Arrow record batches into runs of rows with about ``limit`` bytes of text at most (one row at least)."""
+def slices(batches, column: str, limit: int = 1 << 20):
+    """Cut Arrow record batches into runs of rows with about ``limit`` bytes of text at most (one row at least).
+
+    At the end, memory that the task freed goes back to the system: Python
+    workers live on from task to task.
+    """
     for batch in batches:
-        texts = batch.column(column).cast(pa.large_string()).fill_null("")
-        sizes = np.diff(np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1])
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         at = 0
         while at < len(sizes):
             n = max(1, int(np.searchsorted(np.cumsum(sizes[at : at + 65536]), limit, side="right")))
             yield batch.slice(at, n)
             at += n
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory of Arrow's and the C library's pools to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
