@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Scratch, fresh
+from .shared import Scratch, drop_ids, fresh
 from .words import rolling, slices, split_words
 
 SEED = 3
@@ -205,4 +205,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a copy of a benchmark item; null doc_id rows stay."""
     lost = fresh(docs, "lost")
     found = contaminated(docs, benchmark).select(F.col("doc_id").alias(lost)).distinct()
-    return docs.join(found, docs["doc_id"].cast("long") == found[lost], "left_anti")
+    return drop_ids(docs, found, lost)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import Scratch, fresh, salted_join
+from .shared import Scratch, drop_ids, fresh, salted_join, small
 from .words import U, mix, rolling, run_hashes, slices, split_words
 
 BITS = 2048
@@ -129,7 +129,9 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     # rows that share a doc_id but not the text are told apart by the fingerprint
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chosen = texts.join(wanted.select(F.col("doc_id")).distinct(), "doc_id", "left_semi")
+    ids = wanted.select("doc_id").distinct()
+    # few wanted texts: their ids go to the texts; many: both sides are shuffled
+    chosen = texts.join(F.broadcast(ids) if small(wanted) else ids, "doc_id", "left_semi")
     made = chosen.mapInArrow(run, "node long, fp1 long, fp2 long, items binary")
     return made.join(wanted.select(F.col("doc_id").alias("node"), "fp1", "fp2"), ["node", "fp1", "fp2"], "left_semi").dropDuplicates(["node", "fp1", "fp2"])
 
@@ -252,7 +254,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
         centred = s.stash(salted_join(members.select("key", "class"), centre, ["key"], F.col("class")), "centred")
         near = F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")
         stars = s.stash(centred.where("class != centre").select(*near).distinct(), "pairs")
-        wanted = classes.join(members.select("class").distinct(), "class", "left_semi").select("class", "doc_id", *of)
+        wanted = s.stash(classes.join(members.select("class").distinct(), "class", "left_semi").select("class", "doc_id", *of), "wanted")
         sets = s.stash(_full_sets(docs, wanted, size).withColumnRenamed("node", "doc_id").join(wanted, ["doc_id", *of]).select("class", "items"), "sets")
         links = s.stash(_confirm(stars, sets, percent), "confirmed")
         comps = s.stash(connected_components(links, s), "components")
@@ -286,7 +288,7 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> D
     verdict = near_duplicates(docs, size, percent)
     lost, print_ = fresh(docs, "lost"), fresh(docs, "print")
     losers = verdict.where("not kept").select(F.col("doc_id").alias(lost)).distinct()
-    left = docs.join(losers, docs["doc_id"].cast("long") == losers[lost], "left_anti")
+    left = drop_ids(docs, losers, lost)
     twice = verdict.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
     if twice:
         once = left.where("doc_id is not null").withColumn(print_, F.xxhash64("text")).dropDuplicates(["doc_id", print_]).drop(print_)

@@ -33,10 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import Scratch, fresh, salted_join
+from .shared import Scratch, fresh, salted_join, small
 from .words import U, mix, rolling, run_hashes, slices, split_words
 
 GRAM = 8
+MAX_BROADCAST_SPANS = 250_000
 DOC = ("doc_id", "fp")
 
 
@@ -165,7 +166,9 @@ def cut_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     cuts, id_, print_ = fresh(docs, "cuts"), fresh(docs, "id"), fresh(docs, "print")
     per_doc = spans.groupBy(*DOC).agg(F.array_sort(F.collect_list(F.struct("start_word", "end_word"))).alias(cuts))
     keyed = docs.withColumn(id_, F.col("doc_id").cast("long")).withColumn(print_, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    joined = keyed.join(per_doc.withColumnsRenamed({"doc_id": id_, "fp": print_}), [id_, print_], "left").drop(id_, print_)
+    named = per_doc.withColumnsRenamed({"doc_id": id_, "fp": print_})
+    # few spans go to the texts; many: both sides are shuffled
+    joined = keyed.join(F.broadcast(named) if small(spans, MAX_BROADCAST_SPANS) else named, [id_, print_], "left").drop(id_, print_)
     schema = docs.schema
     at = schema.names.index("text")
 

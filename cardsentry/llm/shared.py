@@ -75,3 +75,21 @@ def stats_join(rows: DataFrame, stats: DataFrame, key: str, spread: Column) -> D
     if stats.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
         return rows.join(F.broadcast(stats), key, "left")
     return salted_join(rows, stats, [key], spread, how="left")
+
+
+MAX_BROADCAST_IDS = 1_000_000
+
+
+def small(table: DataFrame, rows: int = MAX_BROADCAST_IDS) -> bool:
+    """Whether a written table of a few numbers a row is small enough to broadcast (8 to 40 MB)."""
+    return table.limit(rows + 1).count() <= rows
+
+
+def drop_ids(docs: DataFrame, ids: DataFrame, id_column: str) -> DataFrame:
+    """``docs`` without the rows whose doc_id is in the written table ``ids``.
+
+    A small table of ids is broadcast, so that the texts stay where they are;
+    beyond ``MAX_BROADCAST_IDS`` rows both sides are shuffled.  Null doc_ids stay.
+    """
+    ids = F.broadcast(ids) if small(ids) else ids
+    return docs.join(ids, docs["doc_id"].cast("long") == ids[id_column], "left_anti")
