@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled_pages import LAYOUTS
+from .shared import about
 from .words import slices
 
 TRAIN_PAGES = 2000
@@ -331,7 +332,7 @@ def count(page: str, labelled: bool, weight: float) -> Counter:
 
 
 def fit(pages: DataFrame, sample: int = TRAIN_PAGES) -> Model:
-    """Model from the labelled layouts and at most ``sample`` self-labelled pages (chosen by hash)."""
+    """Model from the labelled layouts and about ``sample`` self-labelled pages (chosen by hash, each text once)."""
     total: Counter = Counter()
     for page in LAYOUTS:
         total.update(count(page, True, LAYOUT_WEIGHT))
@@ -343,7 +344,8 @@ def fit(pages: DataFrame, sample: int = TRAIN_PAGES) -> Model:
                 got.update(count(page or "", False, 1.0))
             yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.float64())], names=["k", "n"])
 
-    chosen = pages.select(F.col("html").cast("string").alias("html")).where("html is not null").orderBy(F.xxhash64("html")).limit(sample)
+    texts = pages.select(F.col("html").cast("string").alias("html")).where("html is not null")
+    chosen = about(texts, F.xxhash64("html"), sample).distinct()
     # the keys are features and labels: a few hundred, whatever the pages
     counts = chosen.repartition(8).mapInArrow(run, "k string, n double").groupBy("k").agg(F.sum("n").alias("n")).collect()
     total.update({r["k"]: r["n"] for r in counts})

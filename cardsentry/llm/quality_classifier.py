@@ -7,7 +7,7 @@ regression on them comes from normal equations that each partition sums up over
 its own rows; only those sums reach the driver.  The raw score is calibrated by
 isotonic regression on rows that the regression has not seen.
 
-Labels are learned from a hash sample of at most ``MAX_TRAIN`` labelled rows
+Labels are learned from a hash sample of about ``MAX_TRAIN`` labelled rows
 (a documented bound); every document is scored.
 
 Defined cases: null text is empty, and empty texts get a score like others;
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Scratch
+from .shared import Scratch, about
 from .words import rolling, slices, split_words
 
 MAX_TRAIN = 200_000
@@ -149,7 +149,7 @@ def isotonic(at: np.ndarray, weight: np.ndarray, mean: np.ndarray) -> tuple[np.n
 def fit(x: DataFrame, labelled: DataFrame, s: Scratch) -> Model | float:
     """Model from ``x(doc_id, x)`` and ``labelled(doc_id, y)``; a number if there is nothing to tell classes apart."""
     rows = x.join(labelled.where("doc_id is not null and y is not null"), "doc_id").withColumn("at", F.xxhash64("doc_id", "y"))
-    train = s.stash(rows.orderBy("at", "doc_id").limit(MAX_TRAIN).repartition(TRAIN_PARTS).select("x", F.col("y").cast("double").alias("y"), (F.pmod("at", F.lit(5)) == 0).alias("curve")), "train")
+    train = s.stash(about(s.stash(rows, "labelled"), F.col("at"), MAX_TRAIN).repartition(TRAIN_PARTS).select("x", F.col("y").cast("double").alias("y"), (F.pmod("at", F.lit(5)) == 0).alias("curve")), "train")
     k = len(NAMES)
     got = _sums(train, lambda x, y: np.concatenate([[len(y), y.sum()], x.sum(axis=0), (x * x).sum(axis=0)]), 2 + 2 * k)
     n, ones = got[:2]

@@ -93,3 +93,11 @@ def drop_ids(docs: DataFrame, ids: DataFrame, id_column: str) -> DataFrame:
     """
     ids = F.broadcast(ids) if small(ids) else ids
     return docs.join(ids, docs["doc_id"].cast("long") == ids[id_column], "left_anti")
+
+
+def about(rows: DataFrame, hashed: Column, n: int) -> DataFrame:
+    """About ``n`` rows, chosen by a hash column; all of them if there are no more.  Nothing is sorted or gathered."""
+    total = rows.count()
+    if total <= n:
+        return rows
+    return rows.where(F.pmod(hashed, F.lit(1_000_000_000)) < F.lit(1_000_000_000 * n // total))
