@@ -101,16 +101,19 @@ def _bounds(measured: DataFrame, m: str, s: Scratch) -> DataFrame:
     merge = lambda c, n: F.kll_merge_agg_double(c, F.lit(SKETCH_K)).alias(n)
     fine = s.stash(rows.groupBy("lang", "source").agg(*[sketch(c) for c in RATES]), "sketches")
     by_lang = fine.groupBy("lang").agg(*[merge(c, f"{c}_lang") for c in RATES])
-    every = fine.groupBy(F.lit(1).alias("all")).agg(*[merge(c, f"{c}_all") for c in RATES])
-    joined = fine.withColumn("all", F.lit(1)).join(by_lang.withColumnRenamed("lang", "lang_"), F.col("lang").eqNullSafe(F.col("lang_"))).join(every, "all")
+    seen, quantile = F.kll_sketch_get_n_double, F.kll_sketch_get_quantile_double
+    q = lambda of, at: F.when(seen(of) > 0, quantile(of, F.lit(at)))
+    # the whole corpus: one row of numbers
+    merged = fine.agg(*[merge(c, c) for c in RATES])
+    every = merged.select(*[q(c, at).alias(f"{c}_{at}") for c in RATES for at in (LOW, MID)]).first()
+    joined = fine.join(by_lang.withColumnRenamed("lang", "lang_"), F.col("lang").eqNullSafe(F.col("lang_")))
 
     def bound(c: str) -> list[Column]:
         reach, floor, below = RATES[c]
-        seen = F.kll_sketch_get_n_double
-        of = F.when(seen(c) >= MIN_GROUP, F.col(c)).when(seen(f"{c}_lang") >= MIN_GROUP, F.col(f"{c}_lang")).otherwise(F.col(f"{c}_all"))
-        q = lambda at: F.when(seen(of) > 0, F.kll_sketch_get_quantile_double(of, F.lit(at)))
-        spread = F.lit(reach) * F.greatest(q(MID) - q(LOW), F.lit(floor))
-        return [(q(MID) + spread).alias(f"{c}_max"), ((q(MID) - spread) if below else F.lit(None).cast("double")).alias(f"{c}_min")]
+        own, lang = F.col(c), F.col(f"{c}_lang")
+        of = lambda at: F.when(seen(own) >= MIN_GROUP, q(own, at)).when(seen(lang) >= MIN_GROUP, q(lang, at)).otherwise(F.lit(every[f"{c}_{at}"]).cast("double"))
+        spread = F.lit(reach) * F.greatest(of(MID) - of(LOW), F.lit(floor))
+        return [(of(MID) + spread).alias(f"{c}_max"), ((of(MID) - spread) if below else F.lit(None).cast("double")).alias(f"{c}_min")]
 
     return joined.select("lang", "source", *[b for c in RATES for b in bound(c)])
 
