@@ -188,6 +188,11 @@ def _byte_letters() -> list[str]:
     return out
 
 
+# ids of pieces, as little-endian bytes, kept by a worker from task to task: (tokenizer definition, piece -> ids)
+_kept: tuple[str, dict[str, bytes]] = ("", {})
+MAX_KEPT = 400_000
+
+
 class WordEncoder:
     """Ids of words by the tokenizer library, each distinct piece once.
 
@@ -196,32 +201,51 @@ class WordEncoder:
     """
 
     def __init__(self, definition: str):
+        global _kept
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
+        if _kept[0] != definition:
+            _kept = (definition, {})
+        self.kept = _kept[1]
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str) -> bytes:
+        letters = piece
         if not piece.isascii() or not piece.isprintable():
-            piece = "".join([self.letters[b] for b in piece.encode()])
-        return [t.id for t in self.model.tokenize(piece)]
+            letters = "".join([self.letters[b] for b in piece.encode()])
+        ids = np.array([t.id for t in self.model.tokenize(letters)], dtype="<i4").tobytes()
+        if len(self.kept) < MAX_KEPT:
+            self.kept[piece] = ids
+        return ids
 
     def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        known: dict[str, list[int]] = {}
         odd = [w for w in words if not w.isascii() and (w != w.lower() or not unicodedata.is_normalized("NFC", w))]
-        whole = dict(zip(odd, (e.ids for e in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False))))
-        flat, ends = [], []
+        whole = {w: np.array(e.ids, dtype="<i4").tobytes() for w, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False))}
+        known, fresh = self.kept.get, {}
+        out, ends, at = [], [0], 0
         for w in words:
             if w in whole:
-                flat += whole[w]
+                parts = (whole[w],)
             else:
-                for piece in _PIECES.findall(w):
-                    ids = known.get(piece)
+                # letters, or letters and one mark, need no pattern matcher
+                if w.isalpha():
+                    pieces = (w,)
+                elif w[-1] in ".,:;!?" and w[:-1].isalpha():
+                    pieces = (w[:-1], w[-1])
+                else:
+                    pieces = _PIECES.findall(w)
+                parts = []
+                for piece in pieces:
+                    ids = known(piece) or fresh.get(piece)
                     if ids is None:
-                        ids = known[piece] = self._piece(piece)
-                    flat += ids
-            ends.append(len(flat))
-        return np.array(flat, dtype=np.int32), np.array([0, *ends], dtype=np.int64)
+                        ids = fresh[piece] = self._piece(piece)
+                    parts.append(ids)
+            for ids in parts:
+                out.append(ids)
+                at += len(ids)
+            ends.append(at)
+        return np.frombuffer(b"".join(out), dtype="<i4"), np.array(ends, dtype=np.int64) // 4
 
 
 def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, path: str) -> DataFrame:
