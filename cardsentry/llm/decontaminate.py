@@ -1,22 +1,21 @@
-"""Benchmark decontamination: rare seeds, then Smith-Waterman (operator 4).
+"""Benchmark decontamination: seeds, then Smith-Waterman (operator 4).
 
 Texts and benchmark items are lower-cased and split at white space and ASCII
 punctuation.  The steps:
 
-1. The seeds are all runs of ``seed`` words of the items.  One pass over all
-   documents counts how often each occurs in the corpus.
-2. Of each item, seeds more than ``COMMON`` times as frequent as its median
-   seed are set aside: they are phrases of the language, not of the item.  The
-   bound follows the item, so an item with many copies keeps its seeds.
-3. A second pass looks up the rare seeds in every document.  Each hit proposes
-   a passage around its diagonal; overlapping proposals merge.  A passage that
-   shares enough of the item's words is aligned with the item by Smith-Waterman
-   (match +2, mismatch -1, gap -1).
+1. The seeds are all runs of ``seed`` words of the items.  None is set aside for
+   being frequent: copies of an item make its own seeds frequent, so a count in
+   the corpus cannot tell a phrase of the language from a copy.  Whether a
+   document holds a copy therefore depends on that document alone.
+2. One pass looks up the seeds in every document.  Each hit proposes a passage
+   around its diagonal; overlapping proposals merge.  A frequent phrase costs a
+   count of the item's words in the passage; a passage that shares enough of them
+   is aligned with the item by Smith-Waterman (match +2, mismatch -1, gap -1).
 
 The score is the best local alignment divided by the score of an exact copy.
 No text is shuffled.  What each task holds of the benchmark is bounded by
 ``MAX_WORDS`` words: a larger benchmark is worked off in slices of whole items,
-one pair of passes each.
+one pass each.
 
 Defined cases: null texts are empty; empty documents, and items with fewer words
 than a seed, match nothing; repeated rows each give their rows; an item_id that
@@ -34,7 +33,6 @@ from .shared import Scratch, drop_ids, fresh
 from .words import rolling, slices, split_words
 
 SEED = 3
-COMMON = 8.0
 MIN_SCORE = 0.5
 MIN_WORDS = 8
 MAX_WORDS = 4_000_000
@@ -70,12 +68,12 @@ class Benchmark:
         at = np.arange(len(grams))
         item = np.searchsorted(first, at, side="right") - 1
         inside = at + seed <= first[item + 1]
-        self._load(grams[inside], item[inside], (at - first[item])[inside])
-
-    def _load(self, gram, item, pos):
+        gram, item, pos = grams[inside], item[inside], (at - first[item])[inside]
         order = np.argsort(gram, kind="stable")
-        self.gram, self.item, self.pos = gram[order], item[order], pos[order]
-        self.keys, self.lo, self.n = np.unique(self.gram, return_index=True, return_counts=True)
+        self.item, self.pos = item[order], pos[order]
+        self.keys, self.lo, self.n = np.unique(gram[order], return_index=True, return_counts=True)
+        self.vocabulary, self.place = np.unique(words, return_inverse=True)
+        self.seen = np.zeros(len(self.vocabulary), dtype=bool)
         self.maybe = np.zeros(1 << 20, dtype=bool)
         self.maybe[(self.keys & np.uint64(0xFFFFF)).astype(np.int64)] = True
 
@@ -89,16 +87,14 @@ class Benchmark:
         yes = self.keys[key] == grams[at]
         return at[yes], key[yes]
 
-    def keep_rare(self, counts: dict[int, int]) -> None:
-        """Drop the seeds that are common against the median seed of their item."""
-        freq = np.array([counts.get(int(k), 0) for k in self.gram.astype(np.int64)], dtype=np.float64)
-        keep = np.zeros(len(freq), dtype=bool)
-        order = np.lexsort((freq, self.item))
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(self.item[order])) + 1, [len(order)]]) if len(order) else []
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            of = order[a:b]
-            keep[of] = freq[of] <= COMMON * max(1.0, float(np.median(freq[of])))
-        self._load(self.gram[keep], self.item[keep], self.pos[keep])
+    def shared(self, target: np.ndarray, passage: np.ndarray) -> int:
+        """How many words of an item (places in ``vocabulary``) occur in the passage."""
+        place = np.searchsorted(self.vocabulary, passage)
+        place[place == len(self.vocabulary)] = 0
+        self.seen[place[self.vocabulary[place] == passage]] = True
+        n = int(self.seen[target].sum())
+        self.seen[place] = False
+        return n
 
     def align(self, words: np.ndarray, at: np.ndarray, key: np.ndarray, min_score: float):
         """``(item, score, start, end)`` of the best passage of each item in one document's words."""
@@ -109,7 +105,8 @@ class Benchmark:
         item, begin = item[order], begin[order]
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(item)) + 1, [len(item)]])
         for a, b in zip(cuts[:-1], cuts[1:]):
-            target = self.words[self.first[item[a]] : self.first[item[a] + 1]]
+            of = slice(self.first[item[a]], self.first[item[a] + 1])
+            target, place = self.words[of], self.place[of]
             m = len(target)
             pad = m // 2 + 2
             least = max(min_score * MATCH * m, MATCH * min(MIN_WORDS, m))
@@ -119,7 +116,7 @@ class Benchmark:
             for c, d in zip(split[:-1], split[1:]):
                 lo, hi = max(0, int(starts[c]) - pad), min(len(words), int(starts[d - 1]) + m + pad)
                 passage = words[lo:hi]
-                if MATCH * int(np.isin(target, passage).sum()) < least:
+                if MATCH * self.shared(place, passage) < least:
                     continue
                 score, end = smith_waterman(target, passage)
                 if score >= least and (best is None or score > best[0]):
@@ -153,29 +150,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, min_sc
         for items in _slices_of(benchmark, s):
             words = split_words(items.column("text").combine_chunks(), at_marks=True)
             bench = Benchmark(items.column("item_id").to_pylist(), words.hash, words.first, seed)
-            counts = {r["gram"]: r["n"] for r in _corpus_counts(texts, bench, seed).toLocalIterator()}
-            bench.keep_rare(counts)
             part = s.stash(_align(texts, bench, seed, min_score), "aligned", keep=True)
             found = part if found is None else found.union(part)
         return found
 
 
-def _corpus_counts(texts: DataFrame, bench: Benchmark, seed: int) -> DataFrame:
-    """How often each seed of the slice occurs in all documents: at most MAX_WORDS rows."""
-    held = texts.sparkSession.sparkContext.broadcast(bench)
-
-    def run(batches):
-        b = held.value
-        for batch in slices(batches, "text"):
-            words = split_words(batch.column("text"), at_marks=True)
-            at, key = b.hits(rolling(words.hash, seed))
-            inside = at + seed <= words.first[np.searchsorted(words.first, at, side="right")] if len(at) else at.astype(bool)
-            keys, n = np.unique(key[inside], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(b.keys[keys].astype(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
-
-    return texts.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
 def _align(texts: DataFrame, bench: Benchmark, seed: int, min_score: float) -> DataFrame:
     held = texts.sparkSession.sparkContext.broadcast(bench)
 

@@ -72,3 +72,28 @@ def test_filter(spark, make_docs, clashing):
     none = bench.where("false")
     assert drop_contaminated(docs, none).count() == 6
     assert contaminated(make_docs([]), bench).count() == 0
+
+
+@pytest.mark.parametrize("edited, verbatim", [(9, 0), (100, 0), (1000, 0), (100, 10), (1000, 10)])
+def test_copies_of_one_edited_passage_are_all_found(spark, make_docs, edited, verbatim):
+    rng = np.random.default_rng(8)
+    item = sentence(rng, 30, 3000).split()
+    changed = ["edited" if j % 5 == 4 else w for j, w in enumerate(item)]
+    texts = [" ".join([sentence(rng, 20, 3000), *copy, sentence(rng, 20, 3000)]) for copy in [changed] * edited + [item] * verbatim]
+    texts += [sentence(rng, 80, 3000) for _ in range(30)]
+    bench = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: r.score for r in contaminated(make_docs(texts), bench).collect()}
+    score = plain_alignment(item, changed) / 60
+    assert 0.5 <= score < 1 and got == {d: pytest.approx(score if d < edited else 1) for d in range(edited + verbatim)}
+
+
+def test_a_phrase_of_many_documents_still_finds_the_copy_that_keeps_only_it(spark, make_docs):
+    rng = np.random.default_rng(9)
+    item = sentence(rng, 30, 3000).split()
+    # a run of five words survives, else two of three
+    copy = [w if j == 12 or j % 3 else "edited" for j, w in enumerate(item)]
+    phrase = " ".join(item[10:15])
+    texts = [" ".join([sentence(rng, 20, 3000), phrase, sentence(rng, 20, 3000)]) for _ in range(300)]
+    bench = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    got = contaminated(make_docs([*texts, " ".join(copy)]), bench).collect()
+    assert [(r.doc_id, r.score) for r in got] == [(300, pytest.approx(plain_alignment(item, copy) / 60))]
