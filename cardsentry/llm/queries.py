@@ -95,9 +95,9 @@ def store_digests(store: DataFrame) -> DataFrame:
 
 
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as wavelet-matrix shards, read back."""
+    """All documents as wavelet-matrix shards, read back; ids as by the library's plain call."""
     path = f"{Scratch(spark, 'token-store').root}/shards"
-    store = token_store.write_store(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_ID, path)
+    store = token_store.write_store(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_ID, path, added_tokens=True)
     return store_digests(store)
 
 

@@ -13,6 +13,10 @@ the places of any id without unpacking the shard.  The shards are rows of a
 Parquet table (Spark's commit protocol makes the write safe against lost
 executors); its column ``first_doc`` orders them.
 
+The definition's added tokens, quoted in a text, get their ids with
+``added_tokens``, as by the library's plain call; without it they are read as
+ordinary text (the library's ``encode_special_tokens``).
+
 Defined cases: null text is empty and still gets the end id; null doc_ids come
 first; rows that repeat a doc_id are ordered by text; an empty table makes an
 empty store.
@@ -20,6 +24,7 @@ empty store.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import unicodedata
@@ -197,19 +202,37 @@ class WordEncoder:
     """Ids of words by the tokenizer library, each distinct piece once.
 
     Pieces of words that its normaliser leaves alone go to its BPE model; all
-    other words go through the whole tokenizer.
+    other words go through the whole tokenizer.  With ``added_tokens``, texts are
+    first cut at the definition's added tokens, the longest where two begin.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, added_tokens: bool = False):
         global _kept
         self.tokenizer = Tokenizer.from_str(definition)
+        # the cut is made on the text as it stands: what lowering makes of a word is no added token
         self.tokenizer.encode_special_tokens = True
+        tokens = json.loads(definition).get("added_tokens") or [] if added_tokens else []
+        if any(t[flag] for t in tokens for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("added tokens that depend on their surroundings or on the normaliser")
+        # a word has no white space, so a space in front marks an added token
+        self.added = {" " + t["content"]: np.array([t["id"]], dtype="<i4").tobytes() for t in tokens}
+        self.quoted = sorted((t["content"] for t in tokens), key=len, reverse=True)
+        self.cut = re.compile("(" + "|".join(map(re.escape, self.quoted)) + ")")
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         if _kept[0] != definition:
             _kept = (definition, {})
         self.kept = _kept[1]
 
+    def split(self, text: str) -> list[str]:
+        """Words of a text, and its added tokens with a space in front."""
+        if not any(t in text for t in self.quoted):
+            return words_of(text)
+        out = []
+        for i, part in enumerate(self.cut.split(text)):
+            out += [" " + part] if i % 2 else words_of(part)
+        return out
+
     def _piece(self, piece: str) -> bytes:
         letters = piece
         if not piece.isascii() or not piece.isprintable():
@@ -222,6 +245,7 @@ class WordEncoder:
     def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         odd = [w for w in words if not w.isascii() and (w != w.lower() or not unicodedata.is_normalized("NFC", w))]
         whole = {w: np.array(e.ids, dtype="<i4").tobytes() for w, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False))}
+        whole.update(self.added)
         known, fresh = self.kept.get, {}
         out, ends, at = [], [0], 0
         for w in words:
@@ -248,8 +272,11 @@ class WordEncoder:
         return np.frombuffer(b"".join(out), dtype="<i4"), np.array(ends, dtype=np.int64) // 4
 
 
-def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, path: str) -> DataFrame:
-    """Encode ``docs(doc_id, text)``, write the shards to ``path`` and return the written table."""
+def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, path: str, added_tokens: bool = False) -> DataFrame:
+    """Encode ``docs(doc_id, text)``, write the shards to ``path`` and return the written table.
+
+    ``added_tokens`` gives the definition's added tokens in a text their ids.
+    """
     with open(tokenizer_path, encoding="utf-8") as f:
         held = docs.sparkSession.sparkContext.broadcast(f.read())
 
@@ -268,7 +295,8 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, path: str) ->
             return batch
 
         # white space is dropped by this kind of vocabulary, so words are encoded apart
-        for batch, ids, first in ChunkTable(WordEncoder(held.value), words_of).encode_batches(batches):
+        encoder = WordEncoder(held.value, added_tokens)
+        for batch, ids, first in ChunkTable(encoder, encoder.split).encode_batches(batches):
             for d, doc in enumerate(batch.column("doc_id").to_pylist()):
                 one = np.append(ids[first[d] : first[d + 1]], end_id).astype(np.int32)
                 doc_ids.append(doc)

@@ -139,6 +139,34 @@ def test_store_of_the_table_and_of_nothing(spark, make_docs, tmp_path):
     assert store_digests(empty).count() == 0
 
 
+QUOTED = ["hello <|endoftext|> world", "inside<|endoftext|>words<|startoftext|>'s", "<|endoftext|><|endoftext|>", "<|ENDOFTEXT|> <|endoftext |>", "É<|EndOfText|>e<|endoftext|>\u0301 <|<|startoftext|>|>"]
+
+
+def plain_ids(text):
+    return tokenizers.Tokenizer.from_file(P.path("word_bpe_49k.json")).encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_in_words_equal_the_plain_call():
+    with open(P.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        encoder = token_store.WordEncoder(f.read(), added_tokens=True)
+    plain = tokenizers.Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    rng = random.Random(11)
+    pool = [*ALPHABET, "<|startoftext|>", "<|endoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "\u0301"]
+    texts = QUOTED + odd_texts(2000, 12) + ["".join(rng.choice(pool) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    for t in texts:
+        assert encoder(encoder.split(t))[0].tolist() == plain.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_query_gives_the_plain_calls_ids(spark, make_docs, tmp_path):
+    make_docs(QUOTED + ["after"]).write.parquet(str(tmp_path / "documents.parquet"))
+    want, start = [], 0
+    for i, t in enumerate(QUOTED + ["after"]):
+        ids = [*plain_ids(t), 1]
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(tuple(r) for r in op8_token_store(spark, str(tmp_path)).collect()) == want
+
+
 def chat_brute(rows):
     turns = {}
     for conv, turn, role, text in sorted(rows, key=lambda r: tuple((x is not None, x) if x is not None else (False,) for x in r)):
