@@ -97,3 +97,26 @@ def test_a_phrase_of_many_documents_still_finds_the_copy_that_keeps_only_it(spar
     bench = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
     got = contaminated(make_docs([*texts, " ".join(copy)]), bench).collect()
     assert [(r.doc_id, r.score) for r in got] == [(300, pytest.approx(plain_alignment(item, copy) / 60))]
+
+
+def test_bound_of_short_items(spark, make_docs):
+    rng = np.random.default_rng(10)
+    items, texts, want = [], [], {}
+    for n in range(8, 17):
+        item = sentence(rng, n, 3000).split()
+        items.append((n, " ".join(item)))
+        for changed in range(n - 3):
+            copy = item[: n - changed] + ["edited"] * changed
+            score = plain_alignment(item, copy)
+            if score >= max(n, 16):
+                want[(len(texts), n)] = score / (2 * n)
+            texts.append(" ".join([sentence(rng, 20, 3000), *copy, sentence(rng, 20, 3000)]))
+        # a word changed in the middle
+        copy = item[: n // 2] + ["edited"] + item[n // 2 + 1 :]
+        score = plain_alignment(item, copy)
+        if score >= max(n, 16):
+            want[(len(texts), n)] = score / (2 * n)
+        texts.append(" ".join(copy))
+    got = {(r.doc_id, r.item_id): r.score for r in contaminated(make_docs(texts), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {k: pytest.approx(v) for k, v in want.items()}
+    assert min(v for (_, n), v in want.items() if n == 12) == pytest.approx(16 / 24) and [v for (_, n), v in want.items() if n == 8] == [1]
