@@ -13,6 +13,12 @@ The tables are counts over labelled pages, summed over partitions: the labelled
 layouts in ``labelled_pages`` and a bounded sample of ``TRAIN_PAGES`` pages that
 mark their main text themselves (article, main).  All pages are then extracted.
 
+Formulas (math) are text of the line they stand in; their annotations, the same
+formula in another notation, are left out.  So is the fallback of object, audio,
+video, canvas and iframe (a message for browsers that cannot show them), and what
+a page does not show as text: scripts, styles, templates, noscript, head, the
+labels of drawings (svg) and the choices and captions of select, datalist and button.
+
 Defined cases: null or empty html gives an empty text; broken markup is closed
 the way browsers do, unknown tags are plain containers; markup without text has
 no blocks; repeated rows give repeated results.
@@ -44,8 +50,11 @@ NEUTRAL = (0.0, 0.0, 0.0)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("script style textarea title xmp iframe noembed noframes noscript template head svg math select button object audio video canvas datalist".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+HIDDEN = frozenset("script style textarea title xmp iframe noembed noframes noscript template head svg select button object audio video canvas datalist annotation annotation-xml".split())
+MATH = frozenset(
+    "math maction annotation annotation-xml menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
+)
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()) | MATH
 # an open element of the key's group is closed by the start of one of these
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul center dir summary".split()
@@ -169,7 +178,7 @@ def parse(page: str) -> tuple[list[Node], list[Node]]:
                 if stack[depth][0] == "p":
                     pop_to(depth)
                     break
-                if stack[depth][0] not in INLINE:
+                if stack[depth][0] not in INLINE or stack[depth][0] == "annotation-xml":
                     break
         if name in SIBLINGS:
             for depth in range(len(stack) - 1, 0, -1):
@@ -193,10 +202,10 @@ def parse(page: str) -> tuple[list[Node], list[Node]]:
             at = close.end() if close else end
             continue
         kinds, label = _kinds(token) if "=" in token else (frozenset(), None)
-        if token.endswith("/>") and name in ("path", "use", "circle", "rect", "g"):
+        if token.endswith("/>") and (name in MATH or name in ("path", "use", "circle", "rect", "g")):
             continue
         block = name not in INLINE
-        if not hidden and (block or label is not None or (kinds and name != "a")):
+        if not hidden and (block or label is not None or (kinds and name != "a" and name not in MATH)):
             node = Node(name, kinds, holder, label)
             holder.children.append(node)
             nodes.append(node)

@@ -85,3 +85,16 @@ def test_nulls_repeats_long_and_empty(spark, model):
     assert got[(1, None)].text == "" and got[(1, "u")].text == "x y z" and got[(None, "v")].n_chars == 20_000 * 16 - 1
     assert got[(5, "w")].text in ("", "deep")
     assert extract(df.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("formula, text", [
+    ("<math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math>", "E=mc2"),
+    ('<math class="header"><semantics><mrow><mi>a</mi><mspace/><mo>+</mo><mi>b</mi></mrow><annotation encoding="application/x-tex">a \\plus b</annotation></semantics></math>', "a+b"),
+    ('<math><semantics><mi>x</mi><annotation-xml encoding="text/html"><p>the letter</p></annotation-xml></semantics></math>', "x"),
+    ("<math><annotation/><mi>y</mi></math>", "y"),
+])
+def test_formulas_stay_in_their_paragraph(model, formula, text):
+    before, after = "The energy of a body at rest was given by the physicist as", "in a paper that is read to this day by many students of the subject."
+    page = f"<html><body><nav><a href='/'>Home</a></nav><article><h1>On energy</h1><p>{before} {formula} {after}</p></article></body></html>"
+    got = model.extract(page)
+    assert re.sub(r"\s+", " ", got).endswith(f"{before} {text} {after}")
