@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, decontaminate, html_tree, near_dup, quality_classifier, quality_rules, repeats, token_store, viterbi_count
+from . import alignment, byte_bpe, chat, decontaminate, html_tree, near_dup, periodic, quality_classifier, quality_rules, repeats, simhash, token_store, viterbi_count
 from .shared import Scratch
 
 HELD_OUT_FOLDS = 5
@@ -117,10 +117,53 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints and near-duplicate groups of all documents by 3-word shingles, at most 2 bits apart."""
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), size=3)
+
+
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of the tokens of two tokenizers over every document."""
+    aligned = alignment.align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), as_digest=True)
+    return aligned.withColumnRenamed("groups", "groups_sha256")
+
+
+def planted_periods(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of a tenth of the documents (by crc32 of the id) made periodic from some word on."""
+    h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    n, g = len(words), h // 10
+    if doc_id is None or h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, some made periodic first."""
+    found = periodic.periodic_runs(_table(spark, sf_dir, "documents"), planted_periods)
+
+    def run(batches):
+        names = ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+        for batch in batches:
+            columns: list[list] = [[] for _ in names]
+            for doc, runs, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "runs", "collapsed"))):
+                runs = [(r["start"], r["length"], r["period"]) for r in runs]
+                best = periodic.strongest(runs)
+                lines = "".join([f"{s},{n},{q}\n" for s, n, q in runs])
+                row = (doc, len(runs), *(best or (None,) * 3), best and 1000 * best[1] // best[2], hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+                for c, v in zip(columns, row):
+                    c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns[:6]] + [pa.array(c, pa.string()) for c in columns[6:]], names=names)
+
+    return found.mapInArrow(run, "doc_id long, n_runs long, start long, length long, period long, exponent_milli long, runs_sha256 string, collapsed_sha256 string")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_token_counts, op3_quality_classifier, op4_benchmark_decontamination, op5_byte_bpe,
         op6_html_extraction, op7_suffix_array_dedup, op8_token_store, op9_chat_formatting, op10_minhash_near_dedup,
+        op11_simhash_near_dedup, op12_cross_tokenizer_alignment, op13_periodic_runs,
     )
 }
