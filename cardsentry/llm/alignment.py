@@ -7,10 +7,12 @@ a group, and every A token of a group is linked with every B token of it.
 Divide and conquer at shared cuts: from the middle A token outwards, each end is
 looked up among the ends of B by bisection until one is common; both halves are
 worked on in the same way.  An interval without a common end is a leaf: one group.
+All intervals of a stretch are divided together with numpy.
 
-A space after a letter, digit or mark of ASCII always begins a token of both
-tokenizers, so such places are shared cuts to begin with, and each distinct
-chunk between them is encoded and aligned once per stretch of texts.
+Some places (``CUT``) are shared cuts whatever stands around them: A's pattern
+begins a piece there, and no piece of B's vocabulary reaches over one, so neither
+could a merge.  Each distinct chunk between them is encoded and aligned once, and
+kept for the further texts of a task (up to ``MAX_KEPT`` chunks).
 
 How many documents hold a pair of ids linked is counted over all documents:
 
@@ -19,8 +21,9 @@ How many documents hold a pair of ids linked is counted over all documents:
    document its numbers and its pairs as places in that list.
 2. Counts are summed per pair, and the highest count of each A id taken (partial
    aggregates: a pair costs one row for each stretch, however frequent it is).
-3. Each stretch's list gets the counts by a salted join, and meets its documents
-   again in one sorted pass, list first.
+3. Each stretch's list gets the counts by a join of two written tables (adaptive
+   execution can split a pair that very many stretches hold), and meets its
+   documents again in one sorted pass, list first.
 
 Memory is bounded by a stretch; nothing is broadcast but the vocabularies.
 
@@ -35,8 +38,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from bisect import bisect_left
-from itertools import accumulate
+from itertools import chain, islice
 
 import numpy as np
 import public_tokenizers
@@ -48,43 +50,52 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .chunks import Index
-from .shared import Scratch, salted_join
+from .shared import Scratch
 from .token_store import _byte_letters
 from .words import slices
 
 STRETCH_BYTES = 5 << 20
 MARK = "▁"
-# runs of spaces and other characters; a run that ends in a letter, digit or ASCII mark ends a chunk
-CHUNK = re.compile(r" *[^ ]+(?:(?<![\w!-~]) +[^ ]*)*| +")
+MAX_KEPT = 300_000
+SLICE = 16_384
+# where tokens of both end whatever stands around: before a space after a sure character, before a
+# mark after an ASCII letter, before a letter after a lone line feed that follows a sure character
+_CUT = r"(?<=[\w!-~])(?= )|(?<=[A-Za-z])(?=[,.;:!?])|(?<=[\w!-~]\n)(?=[^\W\d_])"
+CUT = re.compile(_CUT)
+CHUNK = re.compile(rf" *[A-Za-z]+(?=[ ,.;:!?]|\Z)|.+?(?:{_CUT}|\Z)", re.S)
 
-Group = tuple[int, int, int, int]
 
+def shared_cuts(a_ends: np.ndarray, b_ends: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> np.ndarray:
+    """Groups as rows ``(a_from, a_to, b_from, b_to)`` of token places, in order.
 
-def shared_cuts(a_ends: list[int], b_ends: list[int]) -> list[Group]:
-    """Groups ``(a_from, a_to, b_from, b_to)`` of token places, in order; both sides end at the same offset."""
-    groups: list[Group] = []
-    todo = [(0, len(a_ends), 0, len(b_ends))]
-    while todo:
-        a0, a1, b0, b1 = todo.pop()
-        cut = None
-        # ends strictly inside the interval, from the middle outwards
+    ``a_ends`` and ``b_ends`` are the ascending end offsets of all tokens.  The
+    intervals ``a0:a1`` / ``b0:b1`` each end at the same offset on both sides;
+    all of them are divided at the same time, one try a round.
+    """
+    groups = [np.zeros((0, 4), np.int64)]
+    todo = np.stack([a0, a1, b0, b1], axis=1).astype(np.int64)
+    step = np.zeros(len(todo), np.int64)
+    while len(todo):
+        a0, a1, b0, b1 = todo.T
         middle = (a0 + a1 - 1) // 2
-        for step in range(max(middle - a0 + 1, a1 - 1 - middle)):
-            for i in (middle - step, middle + step):
-                if a0 <= i < a1 - 1:
-                    j = bisect_left(b_ends, a_ends[i], b0, b1 - 1)
-                    if j < b1 - 1 and b_ends[j] == a_ends[i]:
-                        cut = i + 1, j + 1
-                        break
-            if cut:
-                break
-        if cut is None:
-            groups.append((a0, a1, b0, b1))
-        else:
-            # the left half is taken from the stack first
-            todo.append((cut[0], a1, cut[1], b1))
-            todo.append((a0, cut[0], b0, cut[1]))
-    return groups
+        hit = np.zeros(len(todo), bool)
+        cut_a, cut_b = np.zeros(len(todo), np.int64), np.zeros(len(todo), np.int64)
+        # ends strictly inside the interval, from the middle outwards, each looked up among the other side's ends
+        for i in (middle - step, middle + step):
+            k = np.flatnonzero(~hit & (i >= a0) & (i < a1 - 1))
+            j = np.searchsorted(b_ends, a_ends[i[k]])
+            met = (j < b1[k] - 1) & (b_ends[np.minimum(j, len(b_ends) - 1)] == a_ends[i[k]])
+            k, j = k[met], j[met]
+            hit[k], cut_a[k], cut_b[k] = True, i[k] + 1, j + 1
+        leaf = ~hit & (middle - step <= a0) & (middle + step >= a1 - 2)
+        groups.append(todo[leaf])
+        left = np.stack([a0, cut_a, b0, cut_b], axis=1)[hit]
+        right = np.stack([cut_a, a1, cut_b, b1], axis=1)[hit]
+        again = ~hit & ~leaf
+        todo = np.concatenate([todo[again], left, right])
+        step = np.concatenate([step[again] + 1, np.zeros(2 * len(left), np.int64)])
+    out = np.concatenate(groups)
+    return out[np.argsort(out[:, 0], kind="stable")]
 
 
 class TokenizerPair:
@@ -101,47 +112,103 @@ class TokenizerPair:
             self.a_bytes[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
-        crossing = [p for p in map(self.b.id_to_piece, range(self.b.get_piece_size())) if MARK in p.lstrip(MARK)]
+        crossing = [p for p in self.b_bytes if b"\n" in p[1:] or CUT.search(p.decode(errors="replace"))]
         if crossing:
-            raise ValueError(f"pieces that reach over a word's begin are not supported: {crossing[:3]}")
-        self.space = self.b.piece_to_id(MARK)
+            raise ValueError(f"pieces that reach over a cut between words are not supported: {crossing[:3]}")
+        self.space, self.feed = self.b.piece_to_id(MARK), self.b.encode("\n")
+        self.a_size = np.array([len(self.a_bytes.get(i, b"")) for i in range(max(self.a_bytes) + 1)], np.int64)
+        self.b_size = np.array([len(p) for p in self.b_bytes], np.int64)
+
+    def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of A and of B for chunks.
+
+        B puts a space in front of what it encodes: it stands for the first space
+        of a chunk, or goes with a line feed, which nothing joins, before any other.
+        """
+        a, b = [], []
+        for at in range(0, len(chunks), SLICE):
+            part = chunks[at : at + SLICE]
+            a += [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)]
+            ids = self.b.encode([c[1:] if c[0] == " " else "\n" + c for c in part], num_threads=1)
+            b += [([self.space] if c == " " else y) if c[0] == " " else y[len(self.feed) :] for c, y in zip(part, ids)]
+        return a, b
+
 
-    def encode(self, chunks: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of A and of B for chunks that begin with a space (B puts that space there itself)."""
-        a = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
-        b = self.b.encode([c[1:] for c in chunks], num_threads=1)
-        return [(x, y if len(c) > 1 else [self.space]) for c, x, y in zip(chunks, a, b)]
+def _offsets(sizes) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
 
-    def align(self, chunk: str, a: list[int], b: list[int]) -> list[Group] | None:
-        """Groups of a chunk, None if the tokens' bytes are not those of the chunk."""
-        data = chunk.encode()
-        x, y = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(x) != data or b"".join(y) != data:
-            return None
-        return shared_cuts(list(accumulate(map(len, x))), list(accumulate(map(len, y))))
 
+def _parts(first: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Places ``first[k]:first[k + 1]`` of all k in ``which``, in a row."""
+    n = first[which + 1] - first[which]
+    return np.repeat(first[which] - np.cumsum(n) + n, n) + np.arange(n.sum())
 
-class Chunks:
-    """Distinct chunks of a stretch: token and group counts, groups as text, and linked pairs ``a << 32 | b``, repeats included."""
+
+class Aligned:
+    """Distinct chunks, new ones aligned together by ``settle``.
+
+    ``sizes`` has a chunk's numbers of A tokens, B tokens, groups and links,
+    ``links[link_first[k]:link_first[k + 1]]`` its linked pairs as ``a << 32 | b``,
+    repeats included, and ``groups`` its groups as text.  A chunk whose tokens
+    have other bytes than itself is not ``valid``.
+    """
 
     def __init__(self, tokenizers: TokenizerPair):
         self.tokenizers = tokenizers
         self.number = Index()
-        self.sizes: list[tuple[int, int, int, int]] = []
+        self.valid, self.sizes = np.zeros(0, bool), np.zeros((0, 4), np.int64)
+        self.links, self.link_first = np.zeros(0, np.int64), np.zeros(1, np.int64)
         self.groups: list[str] = []
-        self.pairs: list[np.ndarray] = []
-        self.valid: list[bool] = []
 
     def settle(self) -> None:
-        new = list(self.number)[len(self.valid) :]
-        for chunk, (a, b) in zip(new, self.tokenizers.encode(new)):
-            groups = self.tokenizers.align(chunk, a, b)
-            self.valid.append(groups is not None)
-            parts = [(a[p:q], b[r:s]) for p, q, r, s in groups or []]
-            links = [np.repeat(np.array(x, np.int64) << 32, len(y)) | np.tile(np.array(y, np.int64), len(x)) for x, y in parts]
-            self.pairs.append(np.concatenate(links) if links else np.zeros(0, np.int64))
-            self.sizes.append((len(a), len(b), len(parts), len(self.pairs[-1])))
-            self.groups.append(";".join([",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in parts]))
+        chunks = list(islice(self.number, len(self.groups), None))
+        if not chunks:
+            return
+        valid, sizes, links, groups = align_chunks(self.tokenizers, chunks)
+        self.valid, self.sizes = np.concatenate([self.valid, valid]), np.concatenate([self.sizes, sizes])
+        self.links = np.concatenate([self.links, links])
+        self.link_first = _offsets(self.sizes[:, 3])
+        self.groups += groups
+
+
+def align_chunks(tokenizers: TokenizerPair, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """``valid``, ``sizes``, ``links`` and ``groups`` of chunks."""
+    n = len(chunks)
+    a, b = tokenizers.encode(chunks)
+    a_first, b_first = _offsets(list(map(len, a))), _offsets(list(map(len, b)))
+    a, b = (np.fromiter(chain.from_iterable(x), np.int64, int(f[-1])) for x, f in ((a, a_first), (b, b_first)))
+    a_size, b_size = tokenizers.a_size[a], tokenizers.b_size[b]
+    data = [c.encode() for c in chunks]
+    size = np.fromiter(map(len, data), np.int64, n)
+    valid = (np.diff(_offsets(a_size)[a_first]) == size) & (np.diff(_offsets(b_size)[b_first]) == size)
+    # of chunks whose length is right, the bytes themselves
+    ok = np.flatnonzero(valid)
+    whole = np.frombuffer(b"".join(map(data.__getitem__, ok.tolist())), np.uint8)
+    end = _offsets(size[ok])
+    for ids, first, table in ((a, a_first, tokenizers.a_bytes), (b, b_first, tokenizers.b_bytes)):
+        joined = np.frombuffer(b"".join(map(table.__getitem__, ids[_parts(first, ok)].tolist())), np.uint8)
+        wrong = np.flatnonzero(joined != whole)
+        valid[ok[np.searchsorted(end, wrong, side="right") - 1]] = False
+    ok = np.flatnonzero(valid)
+    mine_a, mine_b = _parts(a_first, ok), _parts(b_first, ok)
+    a, b = a[mine_a], b[mine_b]
+    n_a, n_b = np.diff(a_first)[ok], np.diff(b_first)[ok]
+    a_at, b_at = _offsets(n_a), _offsets(n_b)
+    cut = shared_cuts(np.cumsum(a_size[mine_a]), np.cumsum(b_size[mine_b]), a_at[:-1], a_at[1:], b_at[:-1], b_at[1:])
+    a0, a1, b0, b1 = cut.T
+    n_links = (a1 - a0) * (b1 - b0)
+    link = np.arange(n_links.sum()) - np.repeat(_offsets(n_links)[:-1], n_links)
+    wide = np.repeat(b1 - b0, n_links)
+    links = a[np.repeat(a0, n_links) + link // wide] << 32 | b[np.repeat(b0, n_links) + link % wide]
+    first = np.append(np.searchsorted(a0, a_at[:-1]), len(cut))
+    sizes = np.zeros((n, 4), np.int64)
+    sizes[ok] = np.stack([n_a, n_b, np.diff(first), np.diff(_offsets(n_links)[first])], axis=1)
+    x, y = list(map(str, a.tolist())), list(map(str, b.tolist()))
+    text = [f"{x[p]}|{y[r]}" if q - p == 1 == t - r else ",".join(x[p:q]) + "|" + ",".join(y[r:t]) for p, q, r, t in cut.tolist()]
+    groups, bounds = [""] * n, first.tolist()
+    for k, lo, hi in zip(ok.tolist(), bounds, bounds[1:]):
+        groups[k] = ";".join(text[lo:hi])
+    return valid, sizes, links, groups
 
 
 FIRST = "stretch long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, place array<int>, times array<int>, pairs array<long>, docs array<int>"
@@ -149,34 +216,35 @@ _FIRST_TYPES = [pa.int64()] * 6 + [pa.string(), pa.list_(pa.int32()), pa.list_(p
 _FIRST_NAMES = [c.split()[0] for c in FIRST.split(", ")]
 
 
-def _stretch_rows(number: int, tokenizers: TokenizerPair, held: list[tuple[list, list[str]]], as_digest: bool):
-    """Rows of one stretch: its documents, then its list of pairs."""
-    table = Chunks(tokenizers)
-    at = table.number.__getitem__
-    cut = [[np.fromiter(map(at, CHUNK.findall(" " + t) if t else ()), np.int64) for t in texts] for _, texts in held]
+def _stretch_rows(number: int, table: Aligned, held: list[tuple[list, list[np.ndarray]]], as_digest: bool):
+    """Rows of one stretch: its documents (ids, and the chunks of each), then its list of pairs."""
     table.settle()
-    valid, sizes = np.array(table.valid, bool), np.array(table.sizes, np.int64).reshape(-1, 4)
-    count = np.array([len(p) for p in table.pairs], np.int64)
-    first = np.concatenate([[0], np.cumsum(count)])
-    flat = np.concatenate(table.pairs) if table.pairs else np.zeros(0, np.int64)
-    # the stretch's pairs, and each chunk's links as places among them
-    pairs, place = np.unique(flat, return_inverse=True)
+    valid, sizes = table.valid, table.sizes
+    seen = np.zeros(len(valid), bool)
+    for _, numbers in held:
+        for idx in numbers:
+            seen[idx] = True
+    # the stretch's pairs, and its chunks' links as places among them
+    used = np.flatnonzero(seen)
+    n_links = np.zeros(len(valid), np.int64)
+    n_links[used] = sizes[used, 3]
+    link_first = _offsets(n_links)
+    pairs, place = np.unique(table.links[_parts(table.link_first, used)], return_inverse=True)
     docs = np.zeros(len(pairs), np.int32)
-    for (ids, _), numbers in zip(held, cut):
+    for ids, numbers in held:
         columns: list[list] = [[] for _ in range(9)]
         for doc, idx in zip(ids, numbers):
             if not len(idx) or not valid[idx].all():
                 for c, v in zip(columns, (number, doc, 0, 0, 0, 0, "", [], [])):
                     c.append(v)
                 continue
-            n = count[idx]
-            links = place[np.repeat(first[idx] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            links = place[_parts(link_first, idx)]
             if len(links) * 8 < len(pairs):
                 own, times = np.unique(links, return_counts=True)
             else:
-                used = np.bincount(links, minlength=len(pairs))
-                own = np.flatnonzero(used)
-                times = used[own]
+                times = np.bincount(links, minlength=len(pairs))
+                own = np.flatnonzero(times)
+                times = times[own]
             docs[own] += 1
             groups = ";".join(map(table.groups.__getitem__, idx.tolist()))
             row = (number, doc, *sizes[idx].sum(axis=0).tolist(), hashlib.sha256(groups.encode()).hexdigest() if as_digest else groups, own.astype(np.int32), times.astype(np.int32))
@@ -198,16 +266,21 @@ def _first_pass(docs: DataFrame, a_path: str, b_path: str, as_digest: bool) -> D
 
     def run(batches):
         tokenizers = TokenizerPair(*vocabularies.value)
+        table = Aligned(tokenizers)
         number = TaskContext.get().partitionId() << 32
         held, size = [], 0
         for batch in slices(batches, "text"):
-            held.append((batch.column("doc_id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]))
+            at = table.number.__getitem__
+            texts = batch.column("text").to_pylist()
+            held.append((batch.column("doc_id").to_pylist(), [np.array(list(map(at, CHUNK.findall(" " + t))) if t else (), np.int32) for t in texts]))
             size += batch.column("text").nbytes
             if size >= STRETCH_BYTES:
-                yield from _stretch_rows(number, tokenizers, held, as_digest)
+                yield from _stretch_rows(number, table, held, as_digest)
                 number, held, size = number + 1, [], 0
+                if len(table.groups) > MAX_KEPT:
+                    table = Aligned(tokenizers)
         if held:
-            yield from _stretch_rows(number, tokenizers, held, as_digest)
+            yield from _stretch_rows(number, table, held, as_digest)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(run, FIRST)
@@ -266,8 +339,9 @@ def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None,
         a_id = F.shiftright("pair", 32)
         counts = s.stash(lists.groupBy("pair").agg(F.sum("docs").alias("count")).withColumn("a", a_id), "counts")
         highest = counts.groupBy("a").agg(F.max("count").alias("highest"))
-        ranked = s.stash(salted_join(counts, highest, ["a"], F.hash("pair")).select("pair", "count", (F.col("count") == F.col("highest")).alias("is_best")), "ranked")
-        counted = salted_join(lists.select("stretch", "at", "pair"), ranked, ["pair"], F.hash("stretch"))
+        # an A id has at most as many pairs as B has ids
+        ranked = s.stash(counts.join(highest, "a").select("pair", "count", (F.col("count") == F.col("highest")).alias("is_best")), "ranked")
+        counted = lists.select("stretch", "at", "pair").join(ranked, "pair")
         none = F.lit(None)
         numbers = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "place", "times"]
         listed = counted.select("stretch", F.lit(0).alias("kind"), "at", "count", "is_best", *[none.cast(first.schema[c].dataType).alias(c) for c in numbers])

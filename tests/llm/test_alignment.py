@@ -60,7 +60,7 @@ def brute(rows):
 
 
 ODD = ["", None, " ", "   ", "a", "  a  b ", "x\ny\n\n  z", "a \n b", "<|endoftext|> <s>foo</s> <0x41> <unk>", "é▁b", "\t q\r\n ", "fi ﬁ Å é", "日本語 テキスト、はい。 そう",
-       "🙂🙂 👩‍👩‍👧 ok", "a b 　c  d", "don't we'll I'M", "1234567890 12.5e-3", "x" * 300, "\x00 \x01a", "a\x1c \x1d b", "foo();\r\n  bar ;\r", "עברית  العربية ", "مرحبا، كيف ؟  نعم", "  "]
+       "🙂🙂 👩‍👩‍👧 ok", "a b 　c  d", "don't we'll I'M", "1234567890 12.5e-3", "x" * 300, "\x00 \x01a", "a\x1c \x1d b", "foo();\r\n  bar ;\r", "e.g. U.S.A., it's: a.b,c;d!e?f\nNew\n\nline.\nÉa\n1\n x,\n", "עברית  العربية ", "مرحبا، كيف ؟  نعم", "  "]
 
 
 def test_matches_brute_force(make_docs):
@@ -96,26 +96,36 @@ def test_stretches_do_not_matter(make_docs, monkeypatch):
     for size in (1, 2000):
         monkeypatch.setattr(alignment, "STRETCH_BYTES", size)
         monkeypatch.setattr("cardsentry.llm.words.slices.__defaults__", (500,))
+        monkeypatch.setattr(alignment, "MAX_KEPT", size)
         assert sorted(tuple(r) for r in align(make_docs(texts).repartition(3)).collect()) == want
 
 
 @pytest.mark.parametrize("seed", range(4))
 def test_shared_cuts(seed):
     rng = np.random.default_rng(seed)
+    a, b, intervals, base = [], [], [], 0
     for _ in range(300):
         n = int(rng.integers(1, 60))
-        a = sorted({*rng.choice(n, size=rng.integers(0, n), replace=False).tolist(), n} - {0})
-        b = sorted({*rng.choice(n, size=rng.integers(0, n), replace=False).tolist(), n} - {0})
-        groups = shared_cuts(a, b)
-        assert [a[g[1] - 1] for g in groups] == [b[g[3] - 1] for g in groups] == sorted(set(a) & set(b))
-        assert [g[0] for g in groups] == [0, *(g[1] for g in groups[:-1])] and [g[2] for g in groups] == [0, *(g[3] for g in groups[:-1])]
+        x, y = (sorted({*rng.choice(n, size=rng.integers(0, n), replace=False).tolist(), n} - {0}) for _ in range(2))
+        intervals.append((len(a), len(a) + len(x), len(b), len(b) + len(y)))
+        a, b, base = a + [base + e for e in x], b + [base + e for e in y], base + n
+    groups = shared_cuts(np.array(a), np.array(b), *np.array(intervals).T)
+    assert [a[g[1] - 1] for g in groups] == [b[g[3] - 1] for g in groups] == sorted(set(a) & set(b))
+    assert [g[0] for g in groups] == [0, *(g[1] for g in groups[:-1])] and [g[2] for g in groups] == [0, *(g[3] for g in groups[:-1])]
+
+
+def test_cutless_intervals_are_leaves():
+    a, b = np.array([*range(1, 40_001, 2), 40_001]), np.array([*range(2, 40_001, 2), 40_001])
+    for n in (0, 1):
+        zero = np.zeros(n, np.int64)
+        assert len(shared_cuts(a, b, zero, zero + len(a), zero, zero + len(b))) == n
 
 
 def test_chunks_cover_the_text():
     for t in ODD:
         if t:
             parts = CHUNK.findall(" " + t)
-            assert "".join(parts) == " " + t and all(p[0] == " " for p in parts)
+            assert "".join(parts) == " " + t and parts == alignment.CUT.split(" " + t)
 
 
 def test_long_text_without_spaces(make_docs):
