@@ -6,14 +6,17 @@ running mean of its members; otherwise the point opens a new cluster.  The
 largest cluster is the main one (ties: first created); every point of another
 cluster is a suspect.
 
-The fold is order dependent, so a group is the unit of sequential work.  It is
-run as one streaming pass: Spark hash-partitions on the group and sorts each
-partition by (group, ts, seq) (external sort, spills), then ``mapInPandas``
-walks the Arrow batches keeping only the centres of the *current* group
-(O(#clusters) memory, never the group's rows).  Each row leaves with its
-cluster number ``cid`` (1 = first created) and the cluster's size after it
-joined (``run_n``) and the centre after the row joined; the largest ``run_n`` of a cluster is its final size, so
-main cluster and cluster count come from a window aggregate over the group.
+The fold is order dependent, but only among points that are near each other:
+``far_parts`` cuts a group at gaps of over 100 km in latitude or longitude into
+parts whose folds cannot touch, so the unit of sequential work is a part.  A part
+whose box is under 100 km across is one cluster and needs no fold at all.  The
+others run as one streaming pass: Spark hash-partitions on (group, part) and
+sorts each partition by (group, part, ts, seq) (external sort, spills), then
+``mapInPandas`` walks the Arrow batches keeping only the centres of the *current*
+part (O(#clusters) memory, never its rows).  Each row leaves with the number of
+its cluster (1 = first created), the cluster's size after it joined (``run_n``)
+and the centre after the row joined.  Clusters of a group's parts are numbered
+together by their first row, from one small row per cluster (``label_clusters``).
 """
 
 from __future__ import annotations
@@ -27,10 +30,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timefmt import epoch_micros
+from ..tables import stash
 from .nearest import arrival_window
+from .skew import join_stats
 from ..schema import EARTH_RADIUS_KM, MAX_CENTRE_DISTANCE_KM
 
 ORDER = ["ts", "seq"]
+CELL_DEGREES = 0.25
+NO_CELL = -1_000_000
 
 # Ship this module's fold helpers with the task by value, so executors need
 # no installed copy of the package.
@@ -48,7 +55,7 @@ def haversine_py(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
 
 
 def _fold_batches(batches, max_km: float, update_centre: bool):
-    """Leader clustering over batches sorted by (_g1, _g2, ts, seq).
+    """Leader clustering over batches sorted by (_g1, _g2, _g3, ts, seq).
 
     Same arithmetic, in the same order, as ``haversine_py``; the centre's
     cosine is cached per cluster and the point's computed once per row.
@@ -57,7 +64,7 @@ def _fold_batches(batches, max_km: float, update_centre: bool):
     from math import atan2, cos, radians, sin, sqrt
 
     radius = EARTH_RADIUS_KM
-    cur1 = cur2 = None
+    cur1 = cur2 = cur3 = None
     clat: list[float] = []
     clon: list[float] = []
     ccos: list[float] = []
@@ -65,6 +72,7 @@ def _fold_batches(batches, max_km: float, update_centre: bool):
     for pdf in batches:
         g1 = pdf["_g1"].tolist()
         g2 = pdf["_g2"].tolist()
+        g3 = pdf["_g3"].tolist()
         lat = pdf["lat"].astype("float64").tolist()
         lon = pdf["lon"].astype("float64").tolist()
         n = len(lat)
@@ -73,8 +81,8 @@ def _fold_batches(batches, max_km: float, update_centre: bool):
         c_lat = [0.0] * n
         c_lon = [0.0] * n
         for i in range(n):
-            if g1[i] != cur1 or g2[i] != cur2:
-                cur1, cur2 = g1[i], g2[i]
+            if g1[i] != cur1 or g2[i] != cur2 or g3[i] != cur3:
+                cur1, cur2, cur3 = g1[i], g2[i], g3[i]
                 clat, clon, ccos, cn = [], [], [], []
             la = lat[i]
             lo = lon[i]
@@ -105,17 +113,18 @@ def _fold_batches(batches, max_km: float, update_centre: bool):
                 cid[i] = hit + 1
                 run_n[i] = m + 1
                 c_lat[i], c_lon[i] = clat[hit], clon[hit]
-        yield pdf.drop(columns=["_g1", "_g2"]).assign(
+        yield pdf.drop(columns=["_g1", "_g2", "_g3"]).assign(
             cid=np.asarray(cid, dtype=np.int32), run_n=np.asarray(run_n, dtype=np.int32),
             centre_lat=np.asarray(c_lat, dtype=np.float64), centre_lon=np.asarray(c_lon, dtype=np.float64))
 
 
 def leader_clusters(df: DataFrame, group_cols: list[str], max_km: float = MAX_CENTRE_DISTANCE_KM,
-                    update_centre: bool = True) -> DataFrame:
+                    update_centre: bool = True, part: str | None = None) -> DataFrame:
     """Add ``cid`` and ``run_n`` to every row (see module doc).
 
     ``group_cols`` is ``[key, window_start, window_end]``; ``update_centre=False``
-    keeps each centre at its first point (the fixed-centre draft variant).
+    keeps each centre at its first point (the fixed-centre draft variant); with
+    ``part`` (a long column) the parts of a group are folded apart.
     """
     key, wstart = group_cols[0], group_cols[1]
     # DECIMAL columns cross the Python boundary as their exact unscaled
@@ -129,10 +138,11 @@ def leader_clusters(df: DataFrame, group_cols: list[str], max_km: float = MAX_CE
     # below it that adaptive execution may split.
     src = (df.withColumn("_g1", F.col(key).cast("long"))
            .withColumn("_g2", epoch_micros(wstart))
-           .withColumn("_part", F.xxhash64("_g1", "_g2"))
+           .withColumn("_g3", F.col(part) if part else F.lit(0).cast("long"))
+           .withColumn("_part", F.xxhash64("_g1", "_g2", "_g3"))
            .repartition("_part")
-           .sortWithinPartitions("_g1", "_g2", *ORDER).drop("_part"))
-    out_schema = T.StructType([f for f in src.schema.fields if f.name not in ("_g1", "_g2")]
+           .sortWithinPartitions("_g1", "_g2", "_g3", *ORDER, "lat", "lon").drop("_part"))
+    out_schema = T.StructType([f for f in src.schema.fields if f.name not in ("_g1", "_g2", "_g3")]
                               + [T.StructField("cid", T.IntegerType()),
                                  T.StructField("run_n", T.IntegerType()),
                                  T.StructField("centre_lat", T.DoubleType()),
@@ -161,6 +171,121 @@ def leader_clusters_skipping_single(df: DataFrame, group_cols: list[str],
     return multi.unionByName(single)
 
 
+def _cut(cells: DataFrame, group_cols: list[str], axis: str, turn: int, km: float) -> DataFrame:
+    """Split every part where its cells leave a gap wider than ``km`` along one axis."""
+    cell, low, high = f"_{axis}_cell", f"_{axis}0", f"_{axis}1"
+    part = Window.partitionBy(*group_cols, "part")
+    along = part.orderBy(cell)
+    cells = (cells.withColumn("_before", F.max(high).over(along.rangeBetween(Window.unboundedPreceding, -1)))
+             .withColumn("_here", F.min(low).over(along.rangeBetween(0, 0))))
+    gap = F.radians(F.col("_here") - F.col("_before"))
+    if axis == "lat":
+        apart = F.lit(EARTH_RADIUS_KM) * gap > F.lit(km)
+    else:
+        # sin(d / 2R) >= cos(lat) * sin(dlon / 2), which is least at the ends of [gap, span]
+        cells = (cells.withColumn("_cos", F.min(F.least(F.cos(F.radians("_lat0")), F.cos(F.radians("_lat1")))).over(part))
+                 .withColumn("_span", F.max(high).over(part) - F.min(low).over(part)))
+        far = F.lit(math.sin(km / (2 * EARTH_RADIUS_KM)))
+        apart = ((F.col("_span") < 360) & (F.col("_cos") * F.sin(gap / 2) > far)
+                 & (F.col("_cos") * F.sin(F.radians("_span") / 2) > far))
+    cells = cells.withColumn("_edge", F.when(apart, F.col(cell)))
+    band = F.max("_edge").over(along.rangeBetween(Window.unboundedPreceding, 0))
+    return (cells.withColumn("_band", F.coalesce(band, F.lit(NO_CELL).cast("long")))
+            .withColumn("part", F.xxhash64("part", F.lit(turn), "_band"))
+            .drop("_before", "_here", "_cos", "_span", "_edge", "_band"))
+
+
+def with_cells(df: DataFrame) -> DataFrame:
+    """Add the grid cell of every row; rows without a position share one of their own."""
+    for axis in ("lat", "lon"):
+        cell = F.when(~F.isnan(axis), F.floor(F.col(axis) / F.lit(CELL_DEGREES)).cast("long"))
+        df = df.withColumn(f"_{axis}_cell", F.coalesce(cell, F.lit(NO_CELL).cast("long")))
+    return df
+
+
+def far_parts(df: DataFrame, group_cols: list[str], max_km: float = MAX_CENTRE_DISTANCE_KM,
+              margin_km: float = 1.0) -> DataFrame:
+    """Parts of every group that leader clustering treats independently.
+
+    One row per grid cell of a group: ``part``, ``single`` (the part provably
+    folds into one cluster), ``many`` (the group may hold several clusters) and the
+    group's row count and first and last instant (``_rows``, ``_t0``, ``_t1``).
+
+    A running centre is a mean of points, so it stays in its part's box.  A cut
+    at a gap in latitude, or in longitude within the part's latitudes, keeps the
+    two boxes over ``max_km`` apart: no point ever sees a centre of another part.
+    Longitudes are only cut where the way around the globe is far too (they are
+    averaged as plain numbers, and may leave +-180).  ``margin_km`` absorbs
+    floating-point error.
+
+    Rows are reduced to cells first (a partial aggregate); the windows run over a
+    group's occupied cells, which the globe bounds, never over its rows.
+    """
+    r = EARTH_RADIUS_KM
+    lat, lon = (F.when(~F.isnan(c), F.col(c)) for c in ("lat", "lon"))
+    t = epoch_micros("ts")
+    keys = [*group_cols, "_lat_cell", "_lon_cell"]
+    cells = (with_cells(df).groupBy(*keys)
+             .agg(F.min(lat).alias("_lat0"), F.max(lat).alias("_lat1"), F.min(lon).alias("_lon0"), F.max(lon).alias("_lon1"),
+                  F.count_if(lat.isNull() | lon.isNull()).alias("_lost"), F.count(F.lit(1)).alias("_n"),
+                  F.min(t).alias("_first"), F.max(t).alias("_last"))
+             .withColumn("part", F.lit(0).cast("long")))
+    for turn, axis in enumerate(("lat", "lon", "lat")):
+        cells = _cut(cells, group_cols, axis, turn, max_km + margin_km)
+    part, group = Window.partitionBy(*group_cols, "part"), Window.partitionBy(*group_cols)
+    south, north, west, east = (f("_" + c).over(part) for f, c in ((F.min, "lat0"), (F.max, "lat1"), (F.min, "lon0"), (F.max, "lon1")))
+    cells = (cells.withColumns({"_s": south, "_n_": north, "_w": west, "_e": east, "_none": F.sum("_lost").over(part)}))
+    widest = (F.when((F.col("_s") <= 0) & (F.col("_n_") >= 0), F.lit(1.0))
+              .otherwise(F.greatest(F.cos(F.radians("_s")), F.cos(F.radians("_n_")))))
+    bound = F.lit(r) * F.radians(F.col("_n_") - F.col("_s")) + F.lit(r) * widest * F.radians(F.col("_e") - F.col("_w"))
+    single = (bound < F.lit(max_km - margin_km)) & (F.col("_e") - F.col("_w") < 90) & (F.col("_none") == 0)
+    cells = cells.withColumn("single", F.coalesce(single, F.lit(False)))
+    return (cells.withColumn("many", ~F.min("single").over(group) | (F.min("part").over(group) != F.max("part").over(group)))
+            .withColumns({"_rows": F.sum("_n").over(group), "_t0": F.min("_first").over(group), "_t1": F.max("_last").over(group)})
+            .select(*keys, "part", "single", "many", "_rows", "_t0", "_t1"))
+
+
+def label_clusters(rows: DataFrame, group_cols: list[str]) -> DataFrame:
+    """Number the clusters of a group's parts together and find its main cluster.
+
+    ``rows`` (a written table) have ``part`` and the number of their cluster in it;
+    ``cid`` becomes the number in the group by first (ts, seq), and ``main_cid``,
+    ``main_n``, ``n_clusters`` and ``is_main`` are added.  Windows run over one row
+    per cluster; rows are only joined with them, dealt over several tasks.
+    """
+    keys = [*group_cols, "part", "cid"]
+    clusters = rows.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("_n"), F.min(F.struct(*ORDER, "lat", "lon")).alias("_at"))
+    group = Window.partitionBy(*group_cols)
+    number = F.row_number().over(group.orderBy("_at.ts", "_at.seq", "_at.lat", "_at.lon", "part", "cid"))
+    named = (clusters.withColumn("_cid", number)
+             .withColumn("_best", F.max(F.struct(F.col("_n").alias("n"), (-F.col("_cid")).alias("neg"))).over(group))
+             .withColumn("n_clusters", F.count(F.lit(1)).over(group).cast("int"))
+             .select(*keys, "_cid", (-F.col("_best.neg")).alias("main_cid"), F.col("_best.n").alias("main_n"), "n_clusters"))
+    joined = join_stats(rows, named, keys)
+    return joined.drop("cid", "part").withColumnRenamed("_cid", "cid").withColumn("is_main", F.col("cid") == F.col("main_cid"))
+
+
+def clusters_by_part(df: DataFrame, group_cols: list[str], max_km: float = MAX_CENTRE_DISTANCE_KM,
+                     update_centre: bool = True, suspects_only: bool = False) -> DataFrame:
+    """Rows with their cluster and the group's main cluster (see ``label_clusters``), each part folded apart.
+
+    ``suspects_only`` leaves out groups that provably have one cluster, and the
+    fold of parts that provably are one (``run_n`` and the centres are NULL there).
+    The folded rows are written to the shared folder: the fold runs once.
+    """
+    parts = far_parts(df, group_cols, max_km)
+    if suspects_only:
+        parts = parts.where("many")
+    rows = join_stats(with_cells(df), parts.drop("many"), [*group_cols, "_lat_cell", "_lon_cell"]).drop("_lat_cell", "_lon_cell")
+    if suspects_only:
+        whole = (rows.where("single").withColumn("cid", F.lit(1)).withColumn("run_n", F.lit(None).cast("int"))
+                 .withColumn("centre_lat", F.lit(None).cast("double")).withColumn("centre_lon", F.lit(None).cast("double")))
+        folded = leader_clusters(rows.where(~F.col("single")), group_cols, max_km, update_centre, "part").unionByName(whole)
+    else:
+        folded = leader_clusters(rows, group_cols, max_km, update_centre, "part")
+    return label_clusters(stash(folded.drop("single"), "clusters"), group_cols)
+
+
 def with_main_cluster(clustered: DataFrame, group_cols: list[str]) -> DataFrame:
     """Add ``main_cid``, ``main_n`` and ``n_clusters`` per group; ``is_main`` per row.
 

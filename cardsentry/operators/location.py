@@ -7,10 +7,12 @@ cluster is the main one (A6), every row of the other clusters is a suspect
 regime (F6) means an alert whose reason spells the numbers out (G7–G9).
 A group with one cluster has no suspect.
 
-Plan: window assignment → shuffle on (user, window) + sort → fold
-(``mapInPandas``, O(#clusters) state) → one shuffle on the same key for the
-window functions (main cluster, nearest scans) → expressions.  No group is
-collected, no pair is formed, and only the fold is Python.
+Plan: rows reduced to grid cells → cells cut into far-apart parts → rows joined
+with their part → the fold per part (``mapInPandas``, O(#clusters) state) of those
+that may hold several clusters → a written table → clusters numbered from one row
+each, and joined back → nearest scans in segments of a group → expressions.  No
+group is collected or passes whole through one task, no pair is formed, and only
+the fold is Python.
 """
 
 from __future__ import annotations
@@ -24,9 +26,8 @@ from ..schema import (MAX_CENTRE_DISTANCE_KM, REASON_LOCATION_DISTANCE, REASON_L
                       REASON_LOCATION_HOURS, REASON_LOCATION_PREFIX, REASON_LOCATION_SECOND_TS,
                       WINDOW_LOCATION)
 from .alerts import to_alerts
-from .clustering import leader_clusters, single_cluster_groups, with_main_cluster
-from .nearest import nearest_in_time
-from .skew import join_stats
+from .clustering import clusters_by_part
+from .nearest import nearest_in_time, with_segments
 from .windows import WINDOW_COLS, assign_windows
 
 KEY = "user_id"
@@ -39,31 +40,19 @@ def clustered_groups(tx: DataFrame, length: str = WINDOW_LOCATION, slide: str |
     group's ``main_cid``, ``main_n``, ``n_clusters``, ``is_main``."""
     g = [key, *WINDOW_COLS]
     w = assign_windows(tx, length, slide)
-    return with_main_cluster(leader_clusters(w, g, max_km, update_centre), g)
-
-
-def multi_cluster_candidates(tx: DataFrame, length: str = WINDOW_LOCATION, slide: str | None = None,
-                             key: str = KEY) -> DataFrame:
-    """Windowed rows of the groups that may hold more than one cluster.
-
-    Groups that provably form a single cluster (``single_cluster_groups``)
-    have no suspect and are dropped before the order-dependent fold, by a
-    semi join with the remaining groups; a hot user who stays within one area
-    never reaches the sequential step."""
-    g = [key, *WINDOW_COLS]
-    w = assign_windows(tx, length, slide)
-    spread = single_cluster_groups(w, g).where(~F.col("single")).select(*g)
-    return join_stats(w, spread, g, how="left_semi")
+    return clusters_by_part(w, g, max_km, update_centre).drop("_rows", "_t0", "_t1")
 
 
 def suspects_with_nearest(tx: DataFrame, length: str = WINDOW_LOCATION, slide: str | None = None,
                           key: str = KEY) -> DataFrame:
     """Suspects (rows outside the main cluster of a multi-cluster group) with
-    the nearest main row ``near`` and ``near_key``."""
+    the nearest main row ``near`` and ``near_key``.
+
+    Groups that provably form a single cluster have no suspect and are dropped
+    before the fold; a hot group is searched in segments of time."""
     g = [key, *WINDOW_COLS]
-    w = multi_cluster_candidates(tx, length, slide, key)
-    groups = with_main_cluster(leader_clusters(w, g), g).where(F.col("n_clusters") > 1)
-    return nearest_in_time(groups, g, "is_main")
+    rows = clusters_by_part(assign_windows(tx, length, slide), g, suspects_only=True).where(F.col("n_clusters") > 1)
+    return nearest_in_time(with_segments(rows), g, "is_main")
 
 
 def with_velocity(s: DataFrame) -> DataFrame:

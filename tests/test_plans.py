@@ -26,18 +26,24 @@ def test_no_python_and_no_group_collection(spark, build):
     assert "collect_list" not in p, p
 
 
-def test_single_cluster_groups_skip_the_fold(spark):
-    """The fold's input is semi-joined with the groups that may hold several
-    clusters (the box test is a partial aggregate)."""
+def test_parts_are_found_from_partial_aggregates(spark):
+    """Rows meet only in a partial aggregate (their grid cells); the windows that cut the parts run above it."""
+    from cardsentry.operators.clustering import far_parts
+    from cardsentry.operators.windows import assign_windows
+    tx = assign_windows(load_tx(spark, SF001), "1 day")
+    p = plan(spark, far_parts(tx, ["user_id", "window_start", "window_end"])).split("\n\n")[0]
+    assert not any(n in p for n in PYTHON_NODES)
+    assert p.count("HashAggregate") == 2 and p.rindex("HashAggregate") > p.rindex("Window")
+
+
+def test_location_folds_once_and_scans_segments(spark):
+    """The fold runs once, into a written table; windows over rows are cut by segment."""
+    import re
     p = plan(spark, detect_location_jump(load_tx(spark, SF001)))
-    assert "LeftSemi" in p and "MapInPandas" in p
-
-
-def test_location_has_one_python_step(spark):
-    p = plan(spark, detect_location_jump(load_tx(spark, SF001)))
-    assert p.count("MapInPandas") == 2          # the node and its detail section
-    assert not any(n in p for n in PYTHON_NODES if n != "MapInPandas")
+    assert not any(n in p for n in PYTHON_NODES)
     assert "collect_list" not in p
+    over_rows = [line for line in p.splitlines() if re.search(r"windowspecdefinition\(.*seq#\d+L", line) and "_at" not in line]
+    assert over_rows and all("_seg" in line for line in over_rows), over_rows
 
 
 def test_first_k_is_limited_before_the_shuffle(spark):
