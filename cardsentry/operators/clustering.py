@@ -176,23 +176,21 @@ def _cut(cells: DataFrame, group_cols: list[str], axis: str, turn: int, km: floa
     cell, low, high = f"_{axis}_cell", f"_{axis}0", f"_{axis}1"
     part = Window.partitionBy(*group_cols, "part")
     along = part.orderBy(cell)
-    cells = (cells.withColumn("_before", F.max(high).over(along.rangeBetween(Window.unboundedPreceding, -1)))
-             .withColumn("_here", F.min(low).over(along.rangeBetween(0, 0))))
+    marks = [F.max(high).over(along.rangeBetween(Window.unboundedPreceding, -1)).alias("_before"),
+             F.min(low).over(along.rangeBetween(0, 0)).alias("_here")]
     gap = F.radians(F.col("_here") - F.col("_before"))
     if axis == "lat":
         apart = F.lit(EARTH_RADIUS_KM) * gap > F.lit(km)
     else:
         # sin(d / 2R) >= cos(lat) * sin(dlon / 2), which is least at the ends of [gap, span]
-        cells = (cells.withColumn("_cos", F.min(F.least(F.cos(F.radians("_lat0")), F.cos(F.radians("_lat1")))).over(part))
-                 .withColumn("_span", F.max(high).over(part) - F.min(low).over(part)))
+        marks += [F.min(F.least(F.cos(F.radians("_lat0")), F.cos(F.radians("_lat1")))).over(part).alias("_cos"),
+                  (F.max(high).over(part) - F.min(low).over(part)).alias("_span")]
         far = F.lit(math.sin(km / (2 * EARTH_RADIUS_KM)))
         apart = ((F.col("_span") < 360) & (F.col("_cos") * F.sin(gap / 2) > far)
                  & (F.col("_cos") * F.sin(F.radians("_span") / 2) > far))
-    cells = cells.withColumn("_edge", F.when(apart, F.col(cell)))
-    band = F.max("_edge").over(along.rangeBetween(Window.unboundedPreceding, 0))
-    return (cells.withColumn("_band", F.coalesce(band, F.lit(NO_CELL).cast("long")))
-            .withColumn("part", F.xxhash64("part", F.lit(turn), "_band"))
-            .drop("_before", "_here", "_cos", "_span", "_edge", "_band"))
+    band = F.max(F.when(apart, F.col(cell))).over(along.rangeBetween(Window.unboundedPreceding, 0))
+    named = F.xxhash64("part", F.lit(turn), F.coalesce(band, F.lit(NO_CELL).cast("long"))).alias("part")
+    return cells.select("*", *marks).select(*[named if c == "part" else c for c in cells.columns])
 
 
 def with_cells(df: DataFrame) -> DataFrame:
@@ -233,16 +231,16 @@ def far_parts(df: DataFrame, group_cols: list[str], max_km: float = MAX_CENTRE_D
     for turn, axis in enumerate(("lat", "lon", "lat")):
         cells = _cut(cells, group_cols, axis, turn, max_km + margin_km)
     part, group = Window.partitionBy(*group_cols, "part"), Window.partitionBy(*group_cols)
-    south, north, west, east = (f("_" + c).over(part) for f, c in ((F.min, "lat0"), (F.max, "lat1"), (F.min, "lon0"), (F.max, "lon1")))
-    cells = (cells.withColumns({"_s": south, "_n_": north, "_w": west, "_e": east, "_none": F.sum("_lost").over(part)}))
-    widest = (F.when((F.col("_s") <= 0) & (F.col("_n_") >= 0), F.lit(1.0))
-              .otherwise(F.greatest(F.cos(F.radians("_s")), F.cos(F.radians("_n_")))))
-    bound = F.lit(r) * F.radians(F.col("_n_") - F.col("_s")) + F.lit(r) * widest * F.radians(F.col("_e") - F.col("_w"))
-    single = (bound < F.lit(max_km - margin_km)) & (F.col("_e") - F.col("_w") < 90) & (F.col("_none") == 0)
-    cells = cells.withColumn("single", F.coalesce(single, F.lit(False)))
-    return (cells.withColumn("many", ~F.min("single").over(group) | (F.min("part").over(group) != F.max("part").over(group)))
-            .withColumns({"_rows": F.sum("_n").over(group), "_t0": F.min("_first").over(group), "_t1": F.max("_last").over(group)})
-            .select(*keys, "part", "single", "many", "_rows", "_t0", "_t1"))
+    cells = cells.select(
+        *keys, "part", F.min("_lat0").over(part).alias("_s"), F.max("_lat1").over(part).alias("_n"),
+        F.min("_lon0").over(part).alias("_w"), F.max("_lon1").over(part).alias("_e"), F.sum("_lost").over(part).alias("_none"),
+        F.sum("_n").over(group).alias("_rows"), F.min("_first").over(group).alias("_t0"), F.max("_last").over(group).alias("_t1"))
+    widest = (F.when((F.col("_s") <= 0) & (F.col("_n") >= 0), F.lit(1.0))
+              .otherwise(F.greatest(F.cos(F.radians("_s")), F.cos(F.radians("_n")))))
+    bound = F.lit(r) * F.radians(F.col("_n") - F.col("_s")) + F.lit(r) * widest * F.radians(F.col("_e") - F.col("_w"))
+    single = F.coalesce((bound < F.lit(max_km - margin_km)) & (F.col("_e") - F.col("_w") < 90) & (F.col("_none") == 0), F.lit(False))
+    many = ~F.min(single).over(group) | (F.min("part").over(group) != F.max("part").over(group))
+    return cells.select(*keys, "part", single.alias("single"), many.alias("many"), "_rows", "_t0", "_t1")
 
 
 def label_clusters(rows: DataFrame, group_cols: list[str]) -> DataFrame:
@@ -257,21 +255,25 @@ def label_clusters(rows: DataFrame, group_cols: list[str]) -> DataFrame:
     clusters = rows.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("_n"), F.min(F.struct(*ORDER, "lat", "lon")).alias("_at"))
     group = Window.partitionBy(*group_cols)
     number = F.row_number().over(group.orderBy("_at.ts", "_at.seq", "_at.lat", "_at.lon", "part", "cid"))
-    named = (clusters.withColumn("_cid", number)
-             .withColumn("_best", F.max(F.struct(F.col("_n").alias("n"), (-F.col("_cid")).alias("neg"))).over(group))
-             .withColumn("n_clusters", F.count(F.lit(1)).over(group).cast("int"))
-             .select(*keys, "_cid", (-F.col("_best.neg")).alias("main_cid"), F.col("_best.n").alias("main_n"), "n_clusters"))
-    joined = join_stats(rows, named, keys)
-    return joined.drop("cid", "part").withColumnRenamed("_cid", "cid").withColumn("is_main", F.col("cid") == F.col("main_cid"))
+    named = clusters.select(*keys, "_n", number.alias("_cid"), F.count(F.lit(1)).over(group).cast("int").alias("n_clusters"))
+    best = F.max(F.struct(F.col("_n").alias("n"), (-F.col("_cid")).alias("neg"))).over(group)
+    named = named.select(*keys, "_cid", "n_clusters", best.alias("_best"))
+    kept = [c for c in rows.columns if c not in ("part", "cid")]
+    return join_stats(rows, named, keys).select(
+        *kept, F.col("_cid").alias("cid"), (-F.col("_best.neg")).alias("main_cid"), F.col("_best.n").alias("main_n"), "n_clusters",
+        (F.col("_cid") == -F.col("_best.neg")).alias("is_main"))
 
 
 def clusters_by_part(df: DataFrame, group_cols: list[str], max_km: float = MAX_CENTRE_DISTANCE_KM,
-                     update_centre: bool = True, suspects_only: bool = False) -> DataFrame:
+                     update_centre: bool = True, suspects_only: bool = False,
+                     large_group: int | None = None) -> DataFrame:
     """Rows with their cluster and the group's main cluster (see ``label_clusters``), each part folded apart.
 
     ``suspects_only`` leaves out groups that provably have one cluster, and the
     fold of parts that provably are one (``run_n`` and the centres are NULL there).
-    The folded rows are written to the shared folder: the fold runs once.
+    The folded rows are written to the shared folder: the fold runs once.  Where a
+    group has over ``large_group`` rows, the groups' ``_rows``, ``_t0`` and ``_t1``
+    are kept for the scans that cut it.
     """
     parts = far_parts(df, group_cols, max_km)
     if suspects_only:
@@ -283,7 +285,10 @@ def clusters_by_part(df: DataFrame, group_cols: list[str], max_km: float = MAX_C
         folded = leader_clusters(rows.where(~F.col("single")), group_cols, max_km, update_centre, "part").unionByName(whole)
     else:
         folded = leader_clusters(rows, group_cols, max_km, update_centre, "part")
-    return label_clusters(stash(folded.drop("single"), "clusters"), group_cols)
+    written = stash(folded.drop("single"), "clusters")
+    if large_group is None or not written.where(F.col("_rows") > large_group).limit(1).count():
+        written = written.drop("_rows", "_t0", "_t1")
+    return label_clusters(written, group_cols)
 
 
 def with_main_cluster(clustered: DataFrame, group_cols: list[str]) -> DataFrame:

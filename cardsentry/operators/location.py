@@ -27,7 +27,7 @@ from ..schema import (MAX_CENTRE_DISTANCE_KM, REASON_LOCATION_DISTANCE, REASON_L
                       WINDOW_LOCATION)
 from .alerts import to_alerts
 from .clustering import clusters_by_part
-from .nearest import nearest_in_time, with_segments
+from . import nearest
 from .windows import WINDOW_COLS, assign_windows
 
 KEY = "user_id"
@@ -40,7 +40,7 @@ def clustered_groups(tx: DataFrame, length: str = WINDOW_LOCATION, slide: str |
     group's ``main_cid``, ``main_n``, ``n_clusters``, ``is_main``."""
     g = [key, *WINDOW_COLS]
     w = assign_windows(tx, length, slide)
-    return clusters_by_part(w, g, max_km, update_centre).drop("_rows", "_t0", "_t1")
+    return clusters_by_part(w, g, max_km, update_centre)
 
 
 def suspects_with_nearest(tx: DataFrame, length: str = WINDOW_LOCATION, slide: str | None = None,
@@ -51,8 +51,9 @@ def suspects_with_nearest(tx: DataFrame, length: str = WINDOW_LOCATION, slide: s
     Groups that provably form a single cluster have no suspect and are dropped
     before the fold; a hot group is searched in segments of time."""
     g = [key, *WINDOW_COLS]
-    rows = clusters_by_part(assign_windows(tx, length, slide), g, suspects_only=True).where(F.col("n_clusters") > 1)
-    return nearest_in_time(with_segments(rows), g, "is_main")
+    w = assign_windows(tx, length, slide)
+    rows = clusters_by_part(w, g, suspects_only=True, large_group=nearest.SEGMENT_ROWS).where(F.col("n_clusters") > 1)
+    return nearest.nearest_in_time(nearest.with_segments(rows), g, "is_main")
 
 
 def with_velocity(s: DataFrame) -> DataFrame:

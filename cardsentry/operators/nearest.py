@@ -43,7 +43,10 @@ MIN_SEGMENT_US = 2_000_000
 def with_segments(df: DataFrame, segment_rows: int = 0, min_us: int = MIN_SEGMENT_US) -> DataFrame:
     """Replace a group's ``_rows``, ``_t0``, ``_t1`` (row count, first and last instant) by what ``nearest_in_time`` cuts it with.
 
-    Rows of one instant stay together; segments are at least ``min_us`` wide."""
+    Rows of one instant stay together; segments are at least ``min_us`` wide.
+    A table without these columns has no large group and is left as it is."""
+    if "_rows" not in df.columns:
+        return df
     span = F.col("_t1") - F.col("_t0") + 1
     wanted = F.least(F.ceil(F.col("_rows") / F.lit(segment_rows or SEGMENT_ROWS)), F.floor(span / F.lit(min_us)), F.lit(MAX_SEGMENTS))
     return (df.withColumn("_k", F.greatest(wanted, F.lit(1)).cast("long"))

@@ -122,3 +122,12 @@ def test_segments_give_the_whole_scan(spark, seed):
         assert nearest_in_time(cut, G).columns == nearest_in_time(w.drop("_rows", "_t0", "_t1"), G).columns
     everything = nearest_in_time(with_segments(w, 5), G, keep_all=True)
     assert everything.count() == w.count() and everything.where("is_main and near is not null").count() == 0
+
+
+def test_detection_does_not_depend_on_the_segments(spark, monkeypatch):
+    from cardsentry.operators.location import velocity_checks
+    tx = mk(spark, scattered(9, 60))
+    pick = lambda df: sorted((r.seq, r.near.seq, r.near_key, r.is_fraud) for r in df.collect())
+    want = pick(velocity_checks(tx))
+    monkeypatch.setattr(nearest, "SEGMENT_ROWS", 4)
+    assert len(want) > 100 and pick(velocity_checks(tx)) == want

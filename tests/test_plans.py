@@ -36,9 +36,11 @@ def test_parts_are_found_from_partial_aggregates(spark):
     assert p.count("HashAggregate") == 2 and p.rindex("HashAggregate") > p.rindex("Window")
 
 
-def test_location_folds_once_and_scans_segments(spark):
-    """The fold runs once, into a written table; windows over rows are cut by segment."""
+def test_location_folds_once_and_scans_segments(spark, monkeypatch):
+    """The fold runs once, into a written table; windows over the rows of large groups are cut by segment."""
     import re
+    from cardsentry.operators import nearest
+    monkeypatch.setattr(nearest, "SEGMENT_ROWS", 5)
     p = plan(spark, detect_location_jump(load_tx(spark, SF001)))
     assert not any(n in p for n in PYTHON_NODES)
     assert "collect_list" not in p
