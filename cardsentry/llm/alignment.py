@@ -18,7 +18,7 @@ How many documents hold a pair of ids linked is counted over all documents:
 
 1. One pass writes, per stretch (about 5 MB of texts, one task's work), the
    distinct pairs with the number of its documents that hold them, and per
-   document its numbers and its pairs as places in that list.
+   document its numbers and its pairs as places in that list (4-byte numbers).
 2. Counts are summed per pair, and the highest count of each A id taken (partial
    aggregates: a pair costs one row for each stretch, however frequent it is).
 3. Each stretch's list gets the counts by a join of two written tables (adaptive
@@ -211,8 +211,8 @@ def align_chunks(tokenizers: TokenizerPair, chunks: list[str]) -> tuple[np.ndarr
     return valid, sizes, links, groups
 
 
-FIRST = "stretch long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, place array<int>, times array<int>, pairs array<long>, docs array<int>"
-_FIRST_TYPES = [pa.int64()] * 6 + [pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32())]
+FIRST = "stretch long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, place binary, times binary, pairs array<long>, docs array<int>"
+_FIRST_TYPES = [pa.int64()] * 6 + [pa.string(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
 _FIRST_NAMES = [c.split()[0] for c in FIRST.split(", ")]
 
 
@@ -235,7 +235,7 @@ def _stretch_rows(number: int, table: Aligned, held: list[tuple[list, list[np.nd
         columns: list[list] = [[] for _ in range(9)]
         for doc, idx in zip(ids, numbers):
             if not len(idx) or not valid[idx].all():
-                for c, v in zip(columns, (number, doc, 0, 0, 0, 0, "", [], [])):
+                for c, v in zip(columns, (number, doc, 0, 0, 0, 0, "", b"", b"")):
                     c.append(v)
                 continue
             links = place[_parts(link_first, idx)]
@@ -247,7 +247,7 @@ def _stretch_rows(number: int, table: Aligned, held: list[tuple[list, list[np.nd
                 times = times[own]
             docs[own] += 1
             groups = ";".join(map(table.groups.__getitem__, idx.tolist()))
-            row = (number, doc, *sizes[idx].sum(axis=0).tolist(), hashlib.sha256(groups.encode()).hexdigest() if as_digest else groups, own.astype(np.int32), times.astype(np.int32))
+            row = (number, doc, *sizes[idx].sum(axis=0).tolist(), hashlib.sha256(groups.encode()).hexdigest() if as_digest else groups, own.astype("<i4").tobytes(), times.astype("<i4").tobytes())
             for c, v in zip(columns, row):
                 c.append(v)
         none = pa.nulls(len(ids))
@@ -313,9 +313,9 @@ def _look_up(rows: DataFrame) -> DataFrame:
                     ready = (np.concatenate(counts), np.concatenate(best)) if counts else (np.zeros(0, np.int64), np.zeros(0, bool))
                 n_best, total = [], []
                 for place, times in zip(docs.column("place"), docs.column("times")):
-                    place, times = place.values.to_numpy(), times.values.to_numpy().astype(np.int64)
-                    n_best.append(int(times[ready[1][place]].sum()))
-                    total.append(int((times * ready[0][place]).sum()))
+                    place, times = (np.frombuffer(x.as_buffer(), "<i4") for x in (place, times))
+                    n_best.append(int(times[ready[1][place]].sum(dtype=np.int64)))
+                    total.append(int(times @ ready[0][place]))
                 made = {"n_best": pa.array(n_best, pa.int64()), "count_sum": pa.array(total, pa.int64())}
                 yield pa.RecordBatch.from_arrays([made[c] if c in made else docs.column(c) for c in _OUT_NAMES], names=_OUT_NAMES)
 
