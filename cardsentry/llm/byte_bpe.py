@@ -164,13 +164,17 @@ class Encoder:
         return values, np.concatenate([[0], end])[pieces]
 
 
+def encode_batches(batches, ranks: Ranks, pattern: str):
+    """``(batch, ids, offsets)`` for Arrow batches with a column ``text``, inside a task."""
+    return ChunkTable(Encoder(ranks, pattern)).encode_batches(batches)
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``(doc_id, ids array<int>)`` for every row of ``docs(doc_id, text)``."""
     held = docs.sparkSession.sparkContext.broadcast(Ranks(ranks_path))
 
     def run(batches):
-        table = ChunkTable(Encoder(held.value, pattern))
-        for batch, ids, first in table.encode_batches(batches):
+        for batch, ids, first in encode_batches(batches, held.value, pattern):
             made = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), made], names=["doc_id", "ids"])
 
@@ -178,10 +182,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
 
 class Decoder:
-    """Bytes of ids."""
+    """Bytes of ids, by a rank file or ranks that are loaded already."""
 
-    def __init__(self, ranks_path: str):
-        self.token = Ranks(ranks_path).token
+    def __init__(self, ranks: str | Ranks):
+        self.token = (Ranks(ranks) if isinstance(ranks, str) else ranks).token
 
     def __call__(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Scratch, drop_ids, fresh
+from .shared import Scratch, drop_rows, text_print
 from .words import rolling, slices, split_words
 
 SEED = 3
@@ -148,8 +148,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, min_sc
     score is 1 for a verbatim copy; words count from 0 in the document split at
     white space and punctuation, end exclusive; the best passage of each item.
     """
+    return _found(docs, benchmark, seed, min_score).drop("fp")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, min_score: float = MIN_SCORE) -> DataFrame:
+    """``contaminated`` with the fingerprint ``fp`` of each row's text."""
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_print().alias("fp"), F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"))
     with Scratch(spark, "decontaminate") as s:
         found = None
         for items in _slices_of(benchmark, s):
@@ -171,22 +176,20 @@ def _align(texts: DataFrame, bench: Benchmark, seed: int, min_score: float) -> D
             doc = np.searchsorted(words.first, at, side="right") - 1
             ok = at + seed <= words.first[doc + 1]
             at, key, doc = at[ok], key[ok], doc[ok]
-            ids = batch.column("doc_id").to_pylist()
+            ids, prints = batch.column("doc_id").to_pylist(), batch.column("fp").to_pylist()
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(doc)) + 1, [len(doc)]]) if len(doc) else []
             rows = []
             for a, e in zip(cuts[:-1], cuts[1:]):
                 d = int(doc[a])
                 lo, hi = words.bounds(d)
-                rows += [(ids[d], b.ids[i], *rest) for i, *rest in b.align(words.hash[lo:hi], at[a:e] - lo, key[a:e], min_score)]
-            columns = list(zip(*rows)) if rows else [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "item_id", "score", "start_word", "end_word"])
+                rows += [(ids[d], b.ids[i], *rest, prints[d]) for i, *rest in b.align(words.hash[lo:hi], at[a:e] - lo, key[a:e], min_score)]
+            columns = list(zip(*rows)) if rows else [()] * 6
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "item_id", "score", "start_word", "end_word", "fp"])
 
-    return texts.mapInArrow(run, "doc_id long, item_id long, score double, start_word long, end_word long")
+    return texts.mapInArrow(run, "doc_id long, item_id long, score double, start_word long, end_word long, fp long")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a copy of a benchmark item; null doc_id rows stay."""
-    lost = fresh(docs, "lost")
-    found = contaminated(docs, benchmark).select(F.col("doc_id").alias(lost)).distinct()
-    return drop_ids(docs, found, lost)
+    """``docs`` without the documents that hold a copy of a benchmark item; null doc_id rows stay, and so do clean texts under a doc_id that repeats."""
+    return drop_rows(docs, _found(docs, benchmark).select("doc_id", "fp").distinct())

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import Scratch, drop_ids, fresh, salted_join, small
+from .shared import Scratch, drop_rows, fresh, salted_join, small, text_print
 from .words import U, mix, rolling, run_hashes, slices, split_words
 
 BITS = 2048
@@ -84,7 +84,7 @@ def _bitmap(items: np.ndarray) -> np.ndarray:
     return np.packbits(on)
 
 
-SKETCH = "doc_id long, n_shingles long, fp1 long, fp2 long, keys array<long>, sig binary, bits binary"
+SKETCH = "doc_id long, print long, n_shingles long, fp1 long, fp2 long, keys array<long>, sig binary, bits binary"
 
 
 def sketches(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
@@ -106,12 +106,13 @@ def sketches(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                 for column, value in zip(out, one):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64())]
+                [batch.column("doc_id").cast(pa.int64()), batch.column("print")]
                 + [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary()))],
-                names=["doc_id", "n_shingles", "fp1", "fp2", "keys", "sig", "bits"],
+                names=["doc_id", "print", "n_shingles", "fp1", "fp2", "keys", "sig", "bits"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SKETCH)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_print().alias("print"), F.col("text").cast("string").alias("text"))
+    return texts.mapInArrow(run, SKETCH)
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -237,6 +238,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     Two documents are linked if ``100 * |intersection| >= percent * |union|`` of
     their shingle sets; component_id is the smallest doc_id reachable by links.
     """
+    return _verdicts(docs, size, percent, bands, rows).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _verdicts(docs: DataFrame, size: int, percent: int, bands: int | None = None, rows: int = 5) -> DataFrame:
+    """``near_duplicates`` with each row's text fingerprint ``print`` and its ``component`` (a number of its own, null if linked with nothing)."""
     spark = docs.sparkSession
     bands = bands or (28 if percent >= 85 else 40)
     with Scratch(spark, "near-dup") as s:
@@ -270,11 +276,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
             comps = s.stash(connected_components(links.union(more), s), "all-components")
         found = classes.join(comps, classes["class"] == comps["node"], "left").select(*of, "doc_id", F.coalesce("component", "class").alias("component"))
         least = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-        named = salted_join(found.select(*of, "component", "doc_id"), least, ["component"], F.col("doc_id")).select(*of, "component_id")
-        sk = sketch.select("doc_id", "n_shingles", *of)
+        named = salted_join(found.select(*of, "component", "doc_id"), least, ["component"], F.col("doc_id")).select(*of, "component", "component_id")
+        sk = sketch.select("doc_id", "print", "n_shingles", *of)
         out = salted_join(sk, named.withColumn("linked", F.lit(True)), of, F.xxhash64("doc_id"), how="left")
         linked = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
-        out = out.select("doc_id", "n_shingles", F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        out = out.select("doc_id", "print", "n_shingles", F.when(linked, F.col("component")).alias("component"), F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
         out = out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
         return s.stash(out, "result", keep=True)
 
@@ -282,15 +288,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the rows that repeat a kept document (one document of each group stays).
 
-    Rows that repeat both doc_id and text count as one document.  Columns and
-    all other rows are unchanged.
+    Of a group the row with the smallest doc_id stays; if several texts of the
+    group share that doc_id, the one with the smallest fingerprint.  Rows that
+    repeat both doc_id and text count as one document.  Columns and all other
+    rows are unchanged, also other texts under the doc_id of a dropped row.
     """
-    verdict = near_duplicates(docs, size, percent)
-    lost, print_ = fresh(docs, "lost"), fresh(docs, "print")
-    losers = verdict.where("not kept").select(F.col("doc_id").alias(lost)).distinct()
-    left = drop_ids(docs, losers, lost)
+    verdict = _verdicts(docs, size, percent)
+    print_ = fresh(docs, "print")
+    lost = verdict.where("not kept").select("doc_id", F.col("print").alias("fp"))
     twice = verdict.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
     if twice:
-        once = left.where("doc_id is not null").withColumn(print_, F.xxhash64("text")).dropDuplicates(["doc_id", print_]).drop(print_)
+        first = verdict.where("kept and component is not null")
+        stays = first.groupBy("component").agg(F.min("print").alias("stays"))
+        lost = lost.union(salted_join(first, stays, ["component"], F.col("print")).where("print != stays").select("doc_id", "print"))
+    left = drop_rows(docs, lost.distinct())
+    if twice:
+        once = left.where("doc_id is not null").withColumn(print_, text_print()).dropDuplicates(["doc_id", print_]).drop(print_)
         left = once.unionByName(left.where("doc_id is null"))
     return left

@@ -49,19 +49,23 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def bpe_digests(docs: DataFrame, ranks_path: str) -> DataFrame:
-    """Ids of every text, decoded again, as counts and digests."""
-    held = docs.sparkSession.sparkContext.broadcast(byte_bpe.Decoder(ranks_path))
+    """Ids of every text, decoded again, as counts and digests; one Python step with one copy of the ranks."""
+    held = docs.sparkSession.sparkContext.broadcast(byte_bpe.Ranks(ranks_path))
 
     def run(batches):
         sha = lambda data: hashlib.sha256(data).hexdigest()
-        decode = held.value
-        for batch in batches:
-            rows = [(len(ids), sha(" ".join(map(str, ids)).encode()), sha(decode(ids))) for ids in byte_bpe.id_lists(batch.column("ids"))]
-            n, ids_sha, text_sha = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
+        decode = byte_bpe.Decoder(held.value)
+        for batch, ids, first in byte_bpe.encode_batches(batches, held.value, public_tokenizers.PATTERN):
+            ids_sha, text_sha = [], []
+            for lo, hi in zip(first[:-1], first[1:]):
+                one = ids[lo:hi].tolist()
+                ids_sha.append(sha(" ".join(map(str, one)).encode()))
+                text_sha.append(sha(decode(one)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(first).astype(np.int64)), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
                                              names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return byte_bpe.encode(docs, ranks_path, public_tokenizers.PATTERN).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,14 +85,23 @@ def small(table: DataFrame, rows: int = MAX_BROADCAST_IDS) -> bool:
     return table.limit(rows + 1).count() <= rows
 
 
-def drop_ids(docs: DataFrame, ids: DataFrame, id_column: str) -> DataFrame:
-    """``docs`` without the rows whose doc_id is in the written table ``ids``.
+def text_print() -> Column:
+    """Fingerprint of a row's text, which tells rows apart that share a doc_id."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
-    A small table of ids is broadcast, so that the texts stay where they are;
-    beyond ``MAX_BROADCAST_IDS`` rows both sides are shuffled.  Null doc_ids stay.
+
+def drop_rows(docs: DataFrame, lost: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose doc_id and text fingerprint are in the written table ``lost(doc_id, fp)``.
+
+    A small table is broadcast, so that the texts stay where they are; beyond
+    ``MAX_BROADCAST_IDS`` rows both sides are shuffled.  Null doc_ids stay, and so
+    do other texts under a doc_id that is listed.
     """
-    ids = F.broadcast(ids) if small(ids) else ids
-    return docs.join(ids, docs["doc_id"].cast("long") == ids[id_column], "left_anti")
+    id_, fp = fresh(docs, "lost"), fresh(docs, "print")
+    lost = lost.select(F.col("doc_id").alias(id_), "fp")
+    lost = F.broadcast(lost) if small(lost) else lost
+    keyed = docs.withColumn(fp, text_print())
+    return keyed.join(lost, (keyed["doc_id"].cast("long") == lost[id_]) & (keyed[fp] == lost["fp"]), "left_anti").drop(fp)
 
 
 def about(rows: DataFrame, hashed: Column, n: int) -> DataFrame:

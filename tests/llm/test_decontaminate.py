@@ -120,3 +120,17 @@ def test_bound_of_short_items(spark, make_docs):
     got = {(r.doc_id, r.item_id): r.score for r in contaminated(make_docs(texts), spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert got == {k: pytest.approx(v) for k, v in want.items()}
     assert min(v for (_, n), v in want.items() if n == 12) == pytest.approx(16 / 24) and [v for (_, n), v in want.items() if n == 8] == [1]
+
+
+def test_clean_texts_under_a_contaminated_doc_id_stay(spark, make_docs):
+    import numpy as np
+
+    from cardsentry.llm.decontaminate import drop_contaminated
+
+    from .conftest import sentence
+    rng = np.random.default_rng(31)
+    item = sentence(rng, 25, 5000)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    clean = sentence(rng, 40, 5000)
+    docs = make_docs([(5, "x y " + item + " z", "en", "s", 0), (5, clean, "en", "s", 0), (6, clean, "en", "s", 0), (None, item, "en", "s", 0)])
+    assert sorted((r.doc_id or -1, r.text) for r in drop_contaminated(docs, bench).collect()) == sorted([(5, clean), (6, clean), (-1, item)])

@@ -99,3 +99,15 @@ def test_components_of_random_graphs(spark):
     with Scratch(spark, "t") as s:
         got = {(r.node, r.component) for r in connected_components(spark.createDataFrame(edges, "a long, b long"), s).collect()}
     assert got == {(x, find(x)) for x in parent}
+
+
+def test_rows_that_share_a_doc_id_are_judged_by_their_text(make_docs):
+    rng = np.random.default_rng(21)
+    a, b, c = (sentence(rng, 60) for _ in range(3))
+    near = a.replace(a.split()[0], "other", 1)
+    docs = make_docs([(1, a, "en", "s", 0), (2, a, "en", "s", 0), (2, b, "en", "s", 0), (3, c, "en", "s", 0), (3, c, "en", "s", 0), (4, "", "en", "s", 0), (4, None, "en", "s", 0)])
+    left = sorted((r.doc_id, r.text or "") for r in drop_near_duplicates(docs).collect())
+    assert left == sorted([(1, a), (2, b), (3, c), (4, "")])
+    # near copies under one doc_id: one stays
+    left = drop_near_duplicates(make_docs([(7, a, "en", "s", 0), (7, near, "en", "s", 0), (7, b, "en", "s", 0), (9, near, "en", "s", 0)])).collect()
+    assert sorted(r.doc_id for r in left) == [7, 7] and b in {r.text for r in left}
