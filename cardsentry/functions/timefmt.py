@@ -91,3 +91,37 @@ def parse_timestamp_ntz(s) -> Column:
 def parse_timestamp_pattern(s, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     """``datetime.strptime(s, '%Y-%m-%d %H:%M:%S')`` as a column; NULL when invalid."""
     return F.try_to_timestamp(_col(s), F.lit(pattern)).cast("timestamp_ntz")
+
+
+_TIME = "[ H:mm[:ss[.SSSSSS]]]"
+_CLOCK = r"( \d{1,2}:\d\d(:\d\d(\.\d{1,6})?)?)?"
+#: Shapes of a date text and the patterns to try on it, in turn.  A date of three numbers
+#: is month first, day first where that gives no month.
+MIXED_SHAPES = [
+    (rf"\d{{1,2}}/\d{{1,2}}/\d{{4}}{_CLOCK}", ["M/d/yyyy" + _TIME, "d/M/yyyy" + _TIME]),
+    (rf"\d{{1,2}}\.\d{{1,2}}\.\d{{4}}{_CLOCK}", ["M.d.yyyy" + _TIME, "d.M.yyyy" + _TIME]),
+    (rf"\d{{1,2}}-\d{{1,2}}-\d{{4}}{_CLOCK}", ["M-d-yyyy" + _TIME, "d-M-yyyy" + _TIME]),
+    (rf"\d{{4}}/\d{{1,2}}/\d{{1,2}}{_CLOCK}", ["yyyy/M/d" + _TIME]),
+    (r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d\d(:\d\d)? [AP]M", ["M/d/yyyy h:mm[:ss] a", "d/M/yyyy h:mm[:ss] a"]),
+    (r"\d{8}", ["yyyyMMdd"]),
+    (r"\d{8}[T ]?\d{6}", ["yyyyMMdd['T'][ ]HHmmss"]),
+    (rf"[A-Z][a-z]{{2}} \d{{1,2}},? \d{{4}}{_CLOCK}", ["MMM d[,] yyyy" + _TIME]),
+    (rf"[A-Z][a-z]{{3,8}} \d{{1,2}},? \d{{4}}{_CLOCK}", ["MMMM d[,] yyyy" + _TIME]),
+    (rf"\d{{1,2}} [A-Z][a-z]{{2}} \d{{4}}{_CLOCK}", ["d MMM yyyy" + _TIME]),
+    (rf"\d{{1,2}} [A-Z][a-z]{{3,8}} \d{{4}}{_CLOCK}", ["d MMMM yyyy" + _TIME]),
+]
+
+
+def parse_timestamp_mixed(s) -> Column:
+    """Parse each text by its own shape (``MIXED_SHAPES``), ISO text first; NULL when none fits.
+
+    The wall clock is read as it stands, whatever the session's time zone."""
+    text = F.trim(_col(s).cast("string"))
+    # with a zone in the text no session zone takes part
+    at = lambda p: utc_wall_clock(F.try_to_timestamp(F.concat(text, F.lit(" +00:00")), F.lit(p + " XXX")))
+    shaped = None
+    for shape, patterns in MIXED_SHAPES:
+        value = F.coalesce(*[at(p) for p in patterns]) if len(patterns) > 1 else at(patterns[0])
+        fits = text.rlike(f"^({shape})$")
+        shaped = F.when(fits, value) if shaped is None else shaped.when(fits, value)
+    return shaped.otherwise(parse_timestamp_ntz(text))

@@ -267,6 +267,23 @@ def q_producer_time(spark, sf):
     return load_tx(spark, sf).select("seq", text.alias("ts_text"), parse_timestamp_pattern(text).alias("ts_parsed"))
 
 
+MIXED_FORMS = ["yyyy-MM-dd HH:mm:ss.SSSSSS", "M/d/yyyy H:mm:ss", "yyyy/M/d H:mm", "MMM d, yyyy HH:mm:ss", "d MMMM yyyy",
+               "yyyyMMdd'T'HHmmss", "MM/dd/yyyy hh:mm:ss a"]
+
+
+def q_csv_mixed_times(spark, sf):
+    """Every transaction as a CSV line whose timestamp has one of several date forms (by seq), parsed and typed again."""
+    tx = load_tx(spark, sf)
+    form = F.pmod("seq", F.lit(len(MIXED_FORMS)))
+    text = F.coalesce(*[F.when(form == i, F.date_format("ts", f)) for i, f in enumerate(MIXED_FORMS)])
+    layout = transactions_csv_layout(tx.withColumn("ts", text), keep=["seq"])
+    line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in TX_CSV_HEADER]))
+    schema = ", ".join(f"`{c}` string" for c in TX_CSV_HEADER)
+    back = layout.select("seq", F.from_csv(line, schema).alias("r"))
+    good, _ = typed_transactions(back.select("seq", *[F.col(f"r.`{c}`").alias(c) for c in TX_CSV_HEADER]))
+    return _out(good, ["seq", "card_id", "ts", "value", "user_id", "lim", "lat", "lon"])
+
+
 def q_fixed_centre_clusters(spark, sf):
     """Leader clustering whose centres stay at their first point."""
     g = ["user_id", *WINDOW_COLS]
@@ -334,6 +351,7 @@ QUERIES: dict[str, Query] = {
     "alerts_by_reason": q_alerts_by_reason,
     "alert_decode": q_alert_decode,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_mixed_times": q_csv_mixed_times,
     "producer_time": q_producer_time,
     "fixed_centre_clusters": q_fixed_centre_clusters,
     "feed_busiest_card": q_feed_busiest_card,

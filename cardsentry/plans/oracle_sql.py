@@ -334,6 +334,10 @@ ORACLE: dict[str, str] = {
     "alert_decode": with_ctes(TX, D1, D2, D3, D4) + "SELECT * FROM d4",
     "csv_roundtrip": with_ctes(TX) + "SELECT seq, card_id, ts, CAST(value AS DOUBLE) AS value, user_id, "
                                      "lim, lat, lon FROM tx",
+    "csv_mixed_times": with_ctes(TX) + (
+        "SELECT seq, card_id, CASE seq % 7 WHEN 0 THEN ts WHEN 2 THEN date_trunc('minute', ts) "
+        "WHEN 4 THEN CAST(date_trunc('day', ts) AS TIMESTAMP) ELSE date_trunc('second', ts) END AS ts, "
+        "CAST(value AS DOUBLE) AS value, user_id, lim, lat, lon FROM tx"),
     "producer_time": with_ctes(TX) + "SELECT seq, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text, "
                                      "date_trunc('second', ts) AS ts_parsed FROM tx",
     "fixed_centre_clusters": with_ctes(TX, D3_FIXED) + "SELECT user_id, window_start, CAST(i AS INTEGER) AS cid, "

@@ -3,8 +3,8 @@
 * transactions: ``cardId,timestamp,value,userId,limit,localization.latitude,localization.longitude``
 * alerts: the nine ``transaction.*`` / ``isAboveLimit`` / ``fraudReason`` columns
 
-Reading uses an explicit schema (no inference) and parses the timestamp with
-or without a fraction; dotted header names are kept as column names.
+Reading uses an explicit schema (no inference) and parses each transaction's timestamp by
+its own shape (ISO text with or without a fraction, and other date forms); dotted header names are kept as column names.
 Rows that do not parse are returned apart, with the reason.
 Writing flattens first (CSV cannot hold structs) and writes one header per file;
 ``max_rows`` caps the rows of a file (off by default; the dump scripts flush
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timefmt import parse_timestamp_ntz
+from ..functions.timefmt import parse_timestamp_mixed, parse_timestamp_ntz
 from ..operators.alerts import flat_alert_layout, flatten
 from ..schema import ALERT_CSV_HEADER, TX_CSV_HEADER, WIDE_VALUE_TYPE
 
@@ -35,7 +35,7 @@ def typed_transactions(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     typed = raw.select(
         "seq",
         _q("cardId").try_cast("int").alias("card_id"),
-        parse_timestamp_ntz(_q("timestamp")).alias("ts"),
+        parse_timestamp_mixed(_q("timestamp")).alias("ts"),
         _q("value").try_cast(WIDE_VALUE_TYPE).alias("value"),
         _q("userId").try_cast("int").alias("user_id"),
         _q("limit").try_cast("int").alias("lim"),
@@ -50,11 +50,12 @@ def typed_transactions(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
             typed.where(F.col("reason").isNotNull()).select("_corrupt_record", "reason"))
 
 
-def read_transactions_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Transactions CSV -> (good, quarantine).  The layout has no id, so ``seq``
+def read_transactions_csv(spark: SparkSession, path: str, stream: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Transactions CSV -> (good, quarantine), from a folder or as a file stream.  The layout has no id, so ``seq``
     is a hash of the row: the same wherever and whenever the row is read.
     Rows that repeat in all columns share it, which the detectors allow for."""
-    raw = spark.read.schema(_TX_CSV_SCHEMA).option("header", True).csv(path)
+    reader = spark.readStream if stream else spark.read
+    raw = reader.schema(_TX_CSV_SCHEMA).option("header", True).csv(path)
     return typed_transactions(raw.withColumn("seq", F.xxhash64(*[_q(c) for c in TX_CSV_HEADER])))
 
 

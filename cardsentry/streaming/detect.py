@@ -142,21 +142,32 @@ def start_detection(stream: DataFrame, sink: Callable[[DataFrame, int], None],
                     trigger: dict | None = None, query_name: str = "cardsentry_alerts",
                     above_limit_window: WindowSpec = (WINDOW_ABOVE_LIMIT, None),
                     low_values_window: WindowSpec = (WINDOW_LOW_VALUES, None),
-                    location_window: WindowSpec = (WINDOW_LOCATION, None)):
+                    location_window: WindowSpec = (WINDOW_LOCATION, None),
+                    bad: DataFrame | None = None, bad_sink: Callable[[DataFrame, int], None] | None = None):
     """Start the streaming detection job; returns the ``StreamingQuery``.
 
+    Messages that do not parse (``bad``: text and reason) travel in the same query
+    and go to ``bad_sink`` before the batch's alerts: a micro-batch is committed
+    when both are written, and a failing sink stops the job.
+
     The checkpoint defaults to ``<spark.checkpoint.dir>/<query_name>``, the
     shared folder the cluster names, so a restarted driver resumes.
     """
     spark = stream.sparkSession
     ckpt = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/{query_name}"
     state = windowed_state(stream, delay, above_limit_window, low_values_window, location_window)
+    if (bad is None) != (bad_sink is None):
+        raise ValueError("bad messages and their sink go together")
+    if bad is not None:
+        state = state.unionByName(bad.select(F.lit("bad").alias("tag"), "_corrupt_record", "reason"), allowMissingColumns=True)
 
     def handle(groups: DataFrame, batch_id: int) -> None:
         # The closed windows feed several branches: persist them so the
         # stateful micro-batch is computed once (the foreachBatch pattern).
         groups.persist()
         try:
+            if bad_sink is not None:
+                bad_sink(groups.where("tag = 'bad'").select("_corrupt_record", "reason"), batch_id)
             sink(alerts_from_closed_windows(groups, above_limit_window, location_window), batch_id)
         finally:
             groups.unpersist()

@@ -173,3 +173,22 @@ def test_alert_messages_decode(spark):
     assert [r[0] for r in bad.collect()] == ["{nope"]
     cols = ["seq", "card_id", "ts", "value", "above_limit", "fraud_reason"]
     assert sorted(map(tuple, good.select(*cols).collect())) == sorted(map(tuple, alerts.select(*cols).collect()))
+
+
+def test_mixed_timestamp_texts(spark):
+    import pandas as pd
+    import pytest  # noqa: F401
+    from cardsentry.functions.timefmt import parse_timestamp_mixed
+    texts = ["2024-06-02T12:00:03", "2024-06-02 12:00:03.250000", "2024-06-02", "6/2/2024", "06/02/2024 9:05", "6/2/2024 12:00:03.5", "13/06/2024 10:00:00",
+             "2024/6/2 10:00:01", "20240602", "20240602T101112", "Jun 2, 2024 10:00", "June 2, 2024", "2 Jun 2024 10:00:00", "12 November 2024 23:59", "May 2, 2024",
+             "6/2/2024 1:30:05 PM", "12/31/2024 12:00 AM", "06-02-2024 01:02:03", "6.2.2024"]
+    bad = ["", "yesterday", "2024-13-45", "99/99/2024", "20241399", "Foo 2, 2024", None]
+    df = spark.createDataFrame([(t,) for t in texts + bad], "t string").select("t", parse_timestamp_mixed("t").alias("ts"))
+    for zone in ("UTC", "America/New_York"):
+        old = spark.conf.get("spark.sql.session.timeZone")
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            got = {r.t: r.ts for r in df.collect()}
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", old)
+        assert got == dict(zip(texts, pd.to_datetime(pd.Series(texts), format="mixed").dt.to_pydatetime().tolist())) | dict.fromkeys(bad)

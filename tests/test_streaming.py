@@ -176,3 +176,62 @@ def test_streams_do_not_depend_on_files_or_slices(spark, scratch, slices):
         want = sorted(map(str, query(spark, SF001, 1).collect()))
         got = sorted(map(str, query(spark, scratch, slices).collect()))
         assert want and got == want
+
+
+def _messages(scratch):
+    import json
+    import os
+    good = {"cardId": "1", "value": "0.31", "userId": "1", "limit": "20", "localization": {"latitude": 1.0, "longitude": 2.0}}
+    os.makedirs(f"{scratch}/in")
+    with open(f"{scratch}/in/a.json", "w") as f:
+        for day in (1, 2, 20):
+            f.write(json.dumps(dict(good, timestamp=f"2024-06-{day:02d}T12:00:03")) + "\n")
+        f.write("{broken\n")
+        f.write(json.dumps({"cardId": "x"}) + "\n")
+
+
+def test_alerts_and_bad_messages_leave_in_one_query(spark, scratch):
+    from cardsentry.plans.jobs import run_stream
+    _messages(scratch)
+    running = len(spark.streams.active)
+    q = run_stream(spark, f"{scratch}/in", "json", f"{scratch}/out", checkpoint=f"{scratch}/ck", trigger={"availableNow": True})
+    assert len(spark.streams.active) <= running + 1
+    q.awaitTermination()
+    assert sorted(r.reason for r in spark.read.parquet(f"{scratch}/out-quarantine").collect()) == ["cardId", "unparsable"]
+    assert spark.read.parquet(f"{scratch}/out").count() == 2
+
+
+def test_a_failing_quarantine_stops_the_job(spark, scratch):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    from cardsentry.plans import jobs
+    from cardsentry.streaming.detect import parquet_sink, start_detection
+    _messages(scratch)
+    tx, bad = jobs.stream_transactions(spark, f"{scratch}/in", "json")
+
+    def broken(rows, batch_id):
+        raise OSError("no space left")
+
+    q = start_detection(tx, parquet_sink(f"{scratch}/out"), f"{scratch}/ck", trigger={"availableNow": True}, query_name="failing", bad=bad, bad_sink=broken)
+    with pytest.raises(StreamingQueryException):
+        q.awaitTermination()
+    with pytest.raises(ValueError):
+        jobs._quarantine(bad, "", None)
+    with pytest.raises(ValueError):
+        jobs.stream_transactions(spark, f"{scratch}/in", "xml")
+
+
+def test_csv_stream_export_and_trailing_jobs(spark, scratch):
+    from cardsentry.plans.jobs import run_export, run_stream, run_trailing
+    from cardsentry.sources.csv_io import read_transactions_csv, write_transactions_csv
+    from cardsentry.sources.fixture import load_tx
+    from conftest import SF001
+    tx = load_tx(spark, SF001)
+    write_transactions_csv(tx, f"{scratch}/csv")
+    now = {"availableNow": True}
+    run_stream(spark, f"{scratch}/csv", "csv", f"{scratch}/out", checkpoint=f"{scratch}/a", trigger=now).awaitTermination()
+    assert spark.read.parquet(f"{scratch}/out").count() > 0 and spark.read.parquet(f"{scratch}/out-quarantine").count() == 0
+    run_export(spark, f"{scratch}/csv", "csv", f"{scratch}/dump", checkpoint=f"{scratch}/b", trigger=now).awaitTermination()
+    assert read_transactions_csv(spark, f"{scratch}/dump")[0].count() == tx.count()
+    run_trailing(spark, f"{scratch}/csv", "csv", f"{scratch}/trailing", checkpoint=f"{scratch}/c", trigger=now).awaitTermination()
+    assert spark.read.parquet(f"{scratch}/trailing").count() > 0
