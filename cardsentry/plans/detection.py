@@ -19,8 +19,9 @@ from ..operators.location import detect_location_jump, location_reason, with_vel
 from ..operators.low_values import detect_low_values
 from ..operators.nearest import arrival_window, nearest_in_time
 from ..operators.windows import WINDOW_COLS, assign_windows
-from ..schema import (ABOVE_LIMIT_ALLOWED, ABOVE_LIMIT_SKIP, REASON_ABOVE_LIMIT, WINDOW_ABOVE_LIMIT,
+from ..schema import (ABOVE_LIMIT_ALLOWED, ABOVE_LIMIT_SKIP, REASON_ABOVE_LIMIT, TX_COLUMNS, WINDOW_ABOVE_LIMIT,
                       WINDOW_LOCATION, WINDOW_LOW_VALUES)
+from ..tables import stash
 
 
 def fraud_alerts(tx: DataFrame,
@@ -30,7 +31,9 @@ def fraud_alerts(tx: DataFrame,
                  fuse: bool = False) -> DataFrame:
     """Union of D1, D2 and D3 alerts in the flat alert layout.
 
-    Default: the detectors run on their own plans.  D1 and D2 are skew-safe
+    Default: the detectors run on their own plans, over one pruned copy of the
+    transactions in the shared folder: the source is read and parsed once, however
+    costly (JSON, CSV), and not once per scan of a detector.  D1 and D2 are skew-safe
     (partial aggregates, map-side group limits); D3 sends to its sequential
     fold only the groups that may hold several clusters, so a hot user who
     stays in one area never reaches a single task.
@@ -41,12 +44,12 @@ def fraud_alerts(tx: DataFrame,
     streaming driver does, on micro-batches of closed windows).
     """
     from ..streaming.detect import _same  # window-spec comparison
-    d2 = detect_low_values(tx, *low_values_window)
     if fuse and _same(above_limit_window, location_window):
-        return union_alerts(d2, user_day_alerts(tx, location_window, skip_single=False))
+        return union_alerts(detect_low_values(tx, *low_values_window), user_day_alerts(tx, location_window, skip_single=False))
+    tx = stash(tx.select(*TX_COLUMNS), "transactions")
     return union_alerts(
         detect_above_limit(tx, *above_limit_window),
-        d2,
+        detect_low_values(tx, *low_values_window),
         detect_location_jump(tx, *location_window),
     )
 

@@ -109,6 +109,7 @@ def run_trailing(spark: SparkSession, input_path: str, fmt: str, output_path: st
 
 def main(argv=None) -> None:
     from ..session import CLUSTER_CONF, get_session
+    from ..tables import drop_stashed
     p = argparse.ArgumentParser(prog="cardsentry")
     p.add_argument("mode", choices=["batch", "stream", "export", "trailing"])
     p.add_argument("--input", required=False, default="")
@@ -124,6 +125,7 @@ def main(argv=None) -> None:
     spark = get_session(extra=CLUSTER_CONF)
     if a.mode == "batch":
         run_batch(spark, a.input, a.format, a.output)
+        drop_stashed(spark)
         return
     # a dump starts at the end of the topic, detection at its begin
     offsets = a.starting_offsets or ("latest" if a.mode == "export" else "earliest")

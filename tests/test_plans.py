@@ -59,6 +59,23 @@ def test_scan_reads_only_needed_columns(spark):
     assert schemas and all("event_type" not in s for s in schemas), schemas
 
 
+def test_detectors_share_one_pruned_table(spark):
+    """The source is read once, into the shared folder; no detector reads or parses it again."""
+    p = plan(spark, fraud_alerts(load_tx(spark, SF001)))
+    assert "events.parquet" not in p and "get_json_object" not in p
+    assert p.count("/transactions-") == 4 and p.count("/clusters-") == 2      # D1 and D2 twice each; D3 its own table
+
+
+def test_stashed_tables_can_be_dropped(spark):
+    import os
+    from cardsentry import tables
+    made = tables.stash(spark.range(5), "t")
+    folder = tables._folder(spark)
+    assert made.count() == 5 and any(n.startswith("t-") for n in os.listdir(folder))
+    tables.drop_stashed(spark)
+    assert not os.path.exists(folder)
+
+
 def test_fused_plan_equals_separate_detectors(spark):
     tx = load_tx(spark, SF001)
     fused = fraud_alerts(tx, fuse=True)
