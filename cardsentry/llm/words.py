@@ -5,9 +5,12 @@ characters 9 to 13.  Those separators are single bytes in UTF-8, so words are
 found and hashed on the raw bytes of a whole batch at once, without a Python
 object per word.
 
-A word's hash is the sum of ``TABLE[byte] * B**offset`` modulo 2**64, mixed by
-a 64-bit finaliser.  Runs of words are hashed the same way over word hashes, so
-the hash of any run comes from two prefix sums (``run_hashes``).
+The hash of a word of up to ``LONG`` bytes is the sum of ``TABLE[byte] *
+B**offset`` modulo 2**64, mixed by a 64-bit finaliser.  Such a sum has known
+collisions for long words of few letters, so longer words, which are rare, take
+XXH3 instead.  Runs of words are hashed as sums over word hashes, so the hash of
+any run comes from two prefix sums (``run_hashes``); callers use it for short
+runs (a shingle, a gram, a window).
 """
 
 from __future__ import annotations
@@ -18,10 +21,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15 | 1)
 _INV = U(pow(int(BASE), -1, 1 << 64))
+LONG = 32
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -121,6 +126,9 @@ def split_words(texts: pa.Array, fold_case: bool = False, at_marks: bool = False
             lo, hi = start[a], end[b - 1]
             parts.append(run_hashes(table[data[lo:hi]], start[a:b] - lo, end[a:b] - lo))
         h = np.concatenate(parts)
+        for i in np.flatnonzero(end - start > LONG).tolist():
+            word = data[start[i] : end[i]].tobytes()
+            h[i] = xxhash.xxh3_64_intdigest(word.lower() if fold_case else word)
     return Words(data, start, end, first, h, offset)
 
 

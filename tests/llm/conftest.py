@@ -19,6 +19,12 @@ def lowered(text):
     return (text or "").translate({c: c + 32 for c in range(65, 91)})
 
 
+def hard_words(length=1024):
+    """Two words of two letters whose polynomial hashes modulo 2^64 are equal."""
+    a = "".join("ab"[i.bit_count() % 2] for i in range(length))
+    return a, a.translate({97: 98, 98: 97})
+
+
 def sentence(rng, n, pool=400):
     return " ".join(f"w{rng.integers(pool)}" for _ in range(n))
 

@@ -4,7 +4,7 @@ from cardsentry.llm.components import connected_components
 from cardsentry.llm.near_dup import drop_near_duplicates, near_duplicates
 from cardsentry.llm.shared import Scratch
 
-from .conftest import lowered, sentence, words
+from .conftest import hard_words, lowered, sentence, words
 
 
 def brute(rows, size, percent):
@@ -111,3 +111,9 @@ def test_rows_that_share_a_doc_id_are_judged_by_their_text(make_docs):
     # near copies under one doc_id: one stays
     left = drop_near_duplicates(make_docs([(7, a, "en", "s", 0), (7, near, "en", "s", 0), (7, b, "en", "s", 0), (9, near, "en", "s", 0)])).collect()
     assert sorted(r.doc_id for r in left) == [7, 7] and b in {r.text for r in left}
+
+
+def test_long_words_of_few_letters_are_told_apart(make_docs):
+    a, b = hard_words()
+    got = {r.doc_id: (r.component_id, r.kept) for r in near_duplicates(make_docs([a, b, a.upper(), f"{a} x", f"{b} x"]), 3, 85).collect()}
+    assert got == {0: (0, True), 1: (1, True), 2: (0, False), 3: (3, True), 4: (4, True)}

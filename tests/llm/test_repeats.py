@@ -2,7 +2,7 @@ import numpy as np
 
 from cardsentry.llm.repeats import cut_repeats, repeated_passages
 
-from .conftest import sentence, words
+from .conftest import hard_words, sentence, words
 
 
 def brute(rows, length):
@@ -73,3 +73,12 @@ def test_cut_leaves_first_and_rest(make_docs, clashing):
 def test_empty_table(make_docs):
     assert repeated_passages(make_docs([])).count() == 0
     assert cut_repeats(make_docs([])).count() == 0
+
+
+def test_long_words_of_few_letters_are_told_apart(make_docs):
+    rng = np.random.default_rng(8)
+    left, right = sentence(rng, 30), sentence(rng, 29)
+    texts = [f"{left} {w} {right}" for w in hard_words()]
+    docs = make_docs(texts)
+    assert repeated_passages(docs).count() == 0
+    assert [r.text for r in cut_repeats(docs).orderBy("doc_id").collect()] == texts
