@@ -6,7 +6,7 @@ force in ``tests/llm``.
 
 from __future__ import annotations
 
-from .quality_rules import LENGTH_WORDS, LOW, MAX_REPEAT_PERCENT, MID, MIN_GROUP, MIN_WORDS, RATES, WINDOW
+from .quality_rules import BLEND, LENGTH_WORDS, LOW, MAX_REPEAT_PERCENT, MID, MIN_WORDS, RATES, WINDOW
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -25,7 +25,8 @@ def _quality() -> str:
         by = f"GROUP BY {', '.join(keys)}" if keys else ""
         ctes.append(f"{level} AS (SELECT {', '.join([*keys, stats])} FROM passed {by})")
     for c, (reach, floor, below) in RATES.items():
-        pick = lambda v, c=c: f"CASE WHEN own.n_{c} >= {MIN_GROUP} THEN own.{v}_{c} WHEN lang.n_{c} >= {MIN_GROUP} THEN lang.{v}_{c} ELSE everything.{v}_{c} END"
+        drawn = lambda of, v, parent, c=c: f"CASE WHEN {of}.n_{c} > 0 THEN ({of}.n_{c}::DOUBLE * {of}.n_{c}::DOUBLE * {of}.{v}_{c} + {BLEND**2}::DOUBLE * ({parent})) / ({of}.n_{c}::DOUBLE * {of}.n_{c}::DOUBLE + {BLEND**2}::DOUBLE) ELSE {parent} END"
+        pick = lambda v, c=c: drawn("own", v, drawn("lang", v, f"everything.{v}_{c}"))
         bounds.append(f"{pick('mid')} AS mid_{c}, {reach} * greatest(({pick('mid')}) - ({pick('lo')}), {floor}) AS spread_{c}")
         low = f" AND {c} >= mid_{c} - spread_{c}" if below else ""
         inside.append(f"coalesce({c} <= mid_{c} + spread_{c}{low}, true)")

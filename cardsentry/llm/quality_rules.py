@@ -4,9 +4,11 @@ Base rules reject documents of fewer than 10 words, and those where more than
 20 % of the words lie in five-word windows that occur twice or more in the text.
 
 Of the documents that pass, four rates are summarised by KLL quantile sketches,
-one per language and source.  Sketches merge, so small groups use the merged
-sketch of their language, and small languages that of the corpus.  A rate is out
-of bounds if it lies further from the group's median than ``REACH`` times the
+one per language and source.  Sketches merge into one per language and one of
+the corpus.  A language's median and low decile are blended with the corpus's,
+and a group's with its language's: of n documents the own quantile has the
+weight n^2 / (n^2 + BLEND^2), so verdicts shift gradually with a group's size and
+some tens of documents of a style are judged by it.  A rate is out of bounds if it lies further from the group's median than ``REACH`` times the
 spread on the median's low side (a decile), or than a smallest spread where a
 group hardly varies.  The low side is used because junk raises these rates: up to half of a
 group may be junk before its bounds follow.
@@ -37,7 +39,7 @@ RATES = {
     "word_length": (10.0, 0.25, True),
 }
 SKETCH_K = 4096
-MIN_GROUP = 200
+BLEND = 5
 LENGTH_WORDS = 50
 LOW, MID = 0.1, 0.5
 
@@ -108,10 +110,15 @@ def _bounds(measured: DataFrame, m: str, s: Scratch) -> DataFrame:
     every = merged.select(*[q(c, at).alias(f"{c}_{at}") for c in RATES for at in (LOW, MID)]).first()
     joined = fine.join(by_lang.withColumnRenamed("lang", "lang_"), F.col("lang").eqNullSafe(F.col("lang_")))
 
+    def blend(sketch: Column, at: float, parent: Column) -> Column:
+        """The sketch's quantile, drawn to the parent's if it has seen few values."""
+        weight = seen(sketch).cast("double") * seen(sketch).cast("double")
+        drawn = (weight * q(sketch, at) + F.lit(float(BLEND**2)) * parent) / (weight + F.lit(float(BLEND**2)))
+        return F.when(seen(sketch) > 0, drawn).otherwise(parent)
+
     def bound(c: str) -> list[Column]:
         reach, floor, below = RATES[c]
-        own, lang = F.col(c), F.col(f"{c}_lang")
-        of = lambda at: F.when(seen(own) >= MIN_GROUP, q(own, at)).when(seen(lang) >= MIN_GROUP, q(lang, at)).otherwise(F.lit(every[f"{c}_{at}"]).cast("double"))
+        of = lambda at: blend(F.col(c), at, blend(F.col(f"{c}_lang"), at, F.lit(every[f"{c}_{at}"]).cast("double")))
         spread = F.lit(reach) * F.greatest(of(MID) - of(LOW), F.lit(floor))
         return [(of(MID) + spread).alias(f"{c}_max"), ((of(MID) - spread) if below else F.lit(None).cast("double")).alias(f"{c}_min")]
 

@@ -44,6 +44,17 @@ def test_bounds_follow_language_and_source(make_docs):
     assert kept == {r[0] for r in plain + marked + rare} | {2001}
 
 
+@pytest.mark.parametrize("size", [20, 50, 199, 200])
+def test_styled_groups_keep_their_documents_at_every_size(make_docs, size):
+    rng = np.random.default_rng(size)
+    plain = [(i, sentence(rng, 40), "en", "plain", 0) for i in range(300)]
+    styled = [(1000 + i, " | ".join(sentence(rng, 40).split()), "en", "tables", 0) for i in range(size)]
+    # two odd documents are no style yet
+    few = [(5000 + i, " | ".join(sentence(rng, 40).split()), "en", "few", 0) for i in range(2)]
+    kept = {r.doc_id for r in quality_rules(make_docs(plain + styled + few)).where("kept").collect()}
+    assert kept == {r[0] for r in plain + styled}
+
+
 def test_filter_keeps_columns(make_docs, clashing):
     rng = np.random.default_rng(2)
     docs = clashing(make_docs([sentence(rng, 30), "short", None, (7, sentence(rng, 30), None, None, None), (7, sentence(rng, 30), None, None, None)]))
