@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import WS, ChunkTable, Index
+from .shared import ship
 
 def piece_pattern(pattern: str) -> "regex.Pattern":
     """The tokenizer's pattern with \\s and \\S spelled out."""
@@ -171,6 +172,7 @@ def encode_batches(batches, ranks: Ranks, pattern: str):
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``(doc_id, ids array<int>)`` for every row of ``docs(doc_id, text)``."""
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(Ranks(ranks_path))
 
     def run(batches):
@@ -200,6 +202,7 @@ def id_lists(column: pa.ListArray):
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """``encoded`` with a binary column ``decoded``: the bytes that the ids stand for."""
+    ship(encoded.sparkSession)
     held = encoded.sparkSession.sparkContext.broadcast(Decoder(ranks_path))
 
     def run(batches):

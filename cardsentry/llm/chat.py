@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from .byte_bpe import Encoder, Ranks
 from .chunks import ChunkTable
+from .shared import ship
 from .words import slices
 
 START_TEXT, END_TEXT = "<|im_start|>", "<|im_end|>"
@@ -88,6 +89,7 @@ TURNS = "conv_id long, seq long, start long, ids array<int>, mask array<tinyint>
 
 def format_chats(rows: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Formatted turns of ``rows(conv_id, turn, role, text)``."""
+    ship(rows.sparkSession)
     held = rows.sparkSession.sparkContext.broadcast(Ranks(ranks_path))
 
     def run(batches):
@@ -144,6 +146,7 @@ DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss
 
 def read_back(turns: DataFrame, ranks_path: str) -> DataFrame:
     """One row per conversation, from the formatted turns alone: counts and digests of what they say."""
+    ship(turns.sparkSession)
     held = turns.sparkSession.sparkContext.broadcast(Ranks(ranks_path))
 
     def run(batches):

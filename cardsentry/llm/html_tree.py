@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled_pages import LAYOUTS
-from .shared import about
+from .shared import about, ship
 from .words import slices
 
 TRAIN_PAGES = 2000
@@ -78,9 +78,9 @@ LEXICON = {
 _CATEGORY = {w: c for c, words in LEXICON.items() for w in words.split()}
 _TAGS = frozenset("html body div article main section nav header footer aside form p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tr td th tbody blockquote pre figure figcaption address".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|</?[a-zA-Z][^>]*>", re.S)
-_ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+_ATTR = re.compile(r"(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_STOP = re.compile("[>\"']")
 _PART = re.compile(r"[a-z]+")
 
 
@@ -107,12 +107,56 @@ def _kinds(attrs: str) -> tuple[frozenset, int | None]:
     return frozenset(found), label
 
 
+class _Tags:
+    """Tags, comments and declarations of a page, found in time linear in its length.
+
+    A tag ends at the first ``>`` outside of quotes; if its quotes do not close, at
+    the first ``>`` of all.  The quotes at which a search ran to the page's end
+    without success are noted, so that no later search follows them again.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.open_ended: set[int] = set()
+
+    def find(self, at: int) -> tuple[int, int] | None:
+        """Start and end of the next one from ``at``; the end is -1 for a tag that the page breaks off."""
+        page = self.page
+        while (at := page.find("<", at)) >= 0:
+            if page.startswith("<!--", at):
+                close = page.find("-->", at + 4)
+                return at, close + 3 if close >= 0 else len(page)
+            if page.startswith(("<!", "<?"), at):
+                if at < self.last:
+                    return at, page.find(">", at) + 1
+            elif name := _NAME.match(page, at):
+                return at, self._end(at, name.end()) if at < self.last else -1
+            at += 1
+        return None
+
+    def _end(self, start: int, at: int) -> int:
+        page, seen = self.page, []
+        while (stop := _STOP.search(page, at)) and stop.start() not in self.open_ended:
+            at = stop.start()
+            if page[at] == ">":
+                return at + 1
+            seen.append(at)
+            at = page.find(page[at], at + 1) + 1
+            if at == 0:
+                break
+        self.open_ended.update(seen)
+        return page.find(">", start) + 1
+
+
 def parse(page: str) -> tuple[list[Node], list[Node]]:
     """All nodes in document order (parents first), and the text blocks among them."""
     root = Node("html", frozenset(), None)
     nodes, blocks = [root], []
     # open elements: (tag, block node that holds its text, hidden, in a link)
     stack: list[tuple[str, Node, bool, bool]] = [("html", root, False, False)]
+    # places in the stack: of each tag; of blocks; of what a p does not reach beyond; of list and table parts and their bounds
+    opened: dict[str, list[int]] = {}
+    blocked, firm, listed = [0], [0], [0]
     leaf: Node | None = None
     at = 0
 
@@ -135,33 +179,47 @@ def parse(page: str) -> tuple[list[Node], list[Node]]:
         leaf.chars += n
         leaf.linked += n if linked else 0
 
+    def push(name: str, *entry) -> None:
+        depth = len(stack)
+        stack.append((name, *entry))
+        opened.setdefault(name, []).append(depth)
+        if name not in INLINE:
+            blocked.append(depth)
+        if name not in INLINE or name == "annotation-xml":
+            firm.append(depth)
+        if name in SIBLINGS or name in STOPS:
+            listed.append(depth)
+
     def pop_to(depth: int) -> None:
         nonlocal leaf
-        if any(e[0] not in INLINE for e in stack[depth:]) or stack[depth][1] is not stack[depth - 1][1]:
+        if blocked[-1] >= depth or stack[depth][1] is not stack[depth - 1][1]:
             leaf = None
+        for entry in stack[depth:]:
+            opened[entry[0]].pop()
         del stack[depth:]
+        for places in (blocked, firm, listed):
+            while places[-1] >= depth:
+                places.pop()
 
     end = len(page)
+    tags = _Tags(page)
     while at < end:
-        m = _TOKEN.search(page, at)
-        if m is None:
+        found = tags.find(at)
+        if found is None:
+            add_text(page[at:])
+            break
+        add_text(page[at : found[0]])
+        token, at = page[found[0] : found[1]], found[1]
+        if at < 0:
             # an unfinished tag at the very end is dropped
-            tail = re.search(r"<(?:/?[a-zA-Z][^>]*|!--.*)\Z", page[at:], re.S)
-            add_text(page[at : at + tail.start()] if tail else page[at:])
             break
-        add_text(page[at : m.start()])
-        at = m.end()
-        token = m[0]
         if token[1] in "!?":
             continue
         name = _NAME.match(token)[1].lower()
         if token[1] == "/":
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == name:
-                    pop_to(depth)
-                    break
-                if name in INLINE and stack[depth][0] not in INLINE:
-                    break
+            # an inline element is not closed from within a block inside it
+            if opened.get(name) and not (name in INLINE and blocked[-1] > opened[name][-1]):
+                pop_to(opened[name][-1])
             if name == "br":
                 add_text(" ")
             continue
@@ -173,15 +231,11 @@ def parse(page: str) -> tuple[list[Node], list[Node]]:
             if name == "hr":
                 leaf = None
             continue
-        if name in CLOSES_P:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == "p":
-                    pop_to(depth)
-                    break
-                if stack[depth][0] not in INLINE or stack[depth][0] == "annotation-xml":
-                    break
+        if name in CLOSES_P and stack[firm[-1]][0] == "p":
+            pop_to(firm[-1])
         if name in SIBLINGS:
-            for depth in range(len(stack) - 1, 0, -1):
+            for i in range(len(listed) - 1, 0, -1):
+                depth = listed[i]
                 if stack[depth][0] in SIBLINGS[name]:
                     pop_to(depth)
                     if name not in ("thead", "tbody", "tfoot", "tr"):
@@ -198,8 +252,9 @@ def parse(page: str) -> tuple[list[Node], list[Node]]:
         _, holder, hidden, linked = stack[-1]
         hidden = hidden or name in HIDDEN
         if name in RAW:
-            close = re.compile(f"</{name}\\b[^>]*>", re.I).search(page, at)
-            at = close.end() if close else end
+            close = re.compile(f"</{name}\\b", re.I).search(page, at)
+            at = page.find(">", close.end()) + 1 if close else 0
+            at = at or end
             continue
         kinds, label = _kinds(token) if "=" in token else (frozenset(), None)
         if token.endswith("/>") and (name in MATH or name in ("path", "use", "circle", "rect", "g")):
@@ -211,7 +266,7 @@ def parse(page: str) -> tuple[list[Node], list[Node]]:
             nodes.append(node)
             holder = node
             leaf = None
-        stack.append((name, holder, hidden, linked or name == "a"))
+        push(name, holder, hidden, linked or name == "a")
     for node in reversed(nodes):
         if node.parent is not None:
             node.parent.chars += node.chars
@@ -342,6 +397,7 @@ def count(page: str, labelled: bool, weight: float) -> Counter:
 
 def fit(pages: DataFrame, sample: int = TRAIN_PAGES) -> Model:
     """Model from the labelled layouts and about ``sample`` self-labelled pages (chosen by hash, each text once)."""
+    ship(pages.sparkSession)
     total: Counter = Counter()
     for page in LAYOUTS:
         total.update(count(page, True, LAYOUT_WEIGHT))
@@ -363,6 +419,7 @@ def fit(pages: DataFrame, sample: int = TRAIN_PAGES) -> Model:
 
 def extract(pages: DataFrame, model: Model | None = None) -> DataFrame:
     """``(page_id, url, text, n_chars)`` of every row of ``pages(page_id, url, html)``."""
+    ship(pages.sparkSession)
     held = pages.sparkSession.sparkContext.broadcast(model or fit(pages))
 
     def run(batches):

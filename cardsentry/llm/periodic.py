@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import Index
+from .shared import ship
 from .words import U, mix, slices
 
 MIN_WORDS = 6
@@ -159,6 +160,7 @@ def periodic_runs(docs: DataFrame, edit: Edit | None = None) -> DataFrame:
     a run's first period.  ``edit(doc_id, words)`` may rewrite the words (bytes)
     of a document first.
     """
+    ship(docs.sparkSession)
 
     def run(batches):
         for batch in slices(batches, "text"):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Scratch, about
+from .shared import Scratch, about, ship
 from .words import rolling, slices, split_words
 
 MAX_TRAIN = 200_000
@@ -83,6 +83,7 @@ def statistics(texts: pa.Array) -> np.ndarray:
 
 def measured(docs: DataFrame) -> DataFrame:
     """``(doc_id, x array<double>)``: the statistics of every document."""
+    ship(docs.sparkSession)
 
     def run(batches):
         for batch in slices(batches, "text"):

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import alignment, byte_bpe, chat, decontaminate, html_tree, near_dup, periodic, quality_classifier, quality_rules, repeats, simhash, token_store, viterbi_count
-from .shared import Scratch
+from .shared import Scratch, ship
 
 HELD_OUT_FOLDS = 5
 PREDICT_AT = 0.3
@@ -50,6 +50,7 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def bpe_digests(docs: DataFrame, ranks_path: str) -> DataFrame:
     """Ids of every text, decoded again, as counts and digests; one Python step with one copy of the ranks."""
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(byte_bpe.Ranks(ranks_path))
 
     def run(batches):
@@ -85,6 +86,7 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def store_digests(store: DataFrame) -> DataFrame:
     """Start, count and checksum of every document's ids, read from the shards."""
+    ship(store.sparkSession)
 
     def run(batches):
         for batch in batches:

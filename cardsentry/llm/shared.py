@@ -5,7 +5,11 @@ The shared folder is the one the session names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import hashlib
+import io
+import os
 import uuid
+import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +18,44 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
+PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+_shipped: set[str] = set()
+
+
+def _located(spark: SparkSession, path: str):
+    """A path and its file system, as the session is configured."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application.
+
+    A zip of its modules goes to the shared folder and from there to every
+    executor (``addPyFile``), so a session may start in any folder.  A package that
+    was itself loaded from a zip has been shipped by whoever did so.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped or not os.path.isdir(PACKAGE):
+        return
+    held, name = io.BytesIO(), os.path.basename(PACKAGE)
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in sorted(os.walk(PACKAGE)):
+            for file in sorted(f for f in files if f.endswith(".py")):
+                full = os.path.join(folder, file)
+                with open(full, "rb") as f:
+                    z.writestr(zipfile.ZipInfo(os.path.join(name, os.path.relpath(full, PACKAGE))), f.read())
+    data = held.getvalue()
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/{name}-{hashlib.sha256(data).hexdigest()[:16]}-{uuid.uuid4().hex[:8]}.zip"
+    where, files = _located(spark, path)
+    out = files.create(where)
+    out.write(data)
+    out.close()
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 class Scratch:
     """Intermediate tables of one operator call, written as Parquet in the shared folder.
 
@@ -22,6 +64,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, label: str):
+        ship(spark)
         self.spark = spark
         self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
         self._n = 0
@@ -35,8 +78,8 @@ class Scratch:
             self._delete(path)
 
     def _delete(self, path: str) -> None:
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+        where, files = _located(self.spark, path)
+        files.delete(where, True)
 
     def stash(self, df: DataFrame, label: str, keep: bool = False) -> DataFrame:
         """Write ``df`` and read it back; ``keep`` leaves it for lazy results that read it later."""

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import Scratch, salted_join
+from .shared import Scratch, salted_join, ship
 from .words import slices
 
 SEED = 42
@@ -91,6 +91,7 @@ def fingerprint(hashes: Iterator[np.ndarray]) -> int:
 
 def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
     """``(doc_id, fp long)`` for every row of ``docs(doc_id, text)``."""
+    ship(docs.sparkSession)
 
     def run(batches):
         for batch in slices(batches, "text"):

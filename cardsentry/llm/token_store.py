@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .chunks import WS, ChunkTable
+from .shared import ship
 
 MAGIC = b"WMX1"
 SHARD_IDS = 1 << 20
@@ -277,6 +278,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, path: str, ad
 
     ``added_tokens`` gives the definition's added tokens in a text their ids.
     """
+    ship(docs.sparkSession)
     with open(tokenizer_path, encoding="utf-8") as f:
         held = docs.sparkSession.sparkContext.broadcast(f.read())
 
@@ -317,6 +319,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, path: str, ad
 
 def read_store(store: DataFrame) -> DataFrame:
     """``(doc_id, start, ids array<int>)`` of every document, from the shards; start counts the ids of all documents before it."""
+    ship(store.sparkSession)
     sizes = store.select("part", "shard", "first_doc", "n_ids")
     # one row per writing task goes through the single-partition sum
     parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("n"), F.min(F.struct(F.col("first_doc").isNotNull().alias("k"), "first_doc")).alias("at"))

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import ChunkTable
+from .shared import ship
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -107,6 +108,7 @@ class Counter:
 
 def count_tokens(docs: DataFrame, vocabulary: list[tuple[str, float]]) -> DataFrame:
     """``(doc_id, n_tokens)`` for every row of ``docs(doc_id, text)``."""
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches):

@@ -1,6 +1,7 @@
 import html
 import math
 import re
+import time
 from itertools import product
 
 import pytest
@@ -98,3 +99,30 @@ def test_formulas_stay_in_their_paragraph(model, formula, text):
     page = f"<html><body><nav><a href='/'>Home</a></nav><article><h1>On energy</h1><p>{before} {formula} {after}</p></article></body></html>"
     got = model.extract(page)
     assert re.sub(r"\s+", " ", got).endswith(f"{before} {text} {after}")
+
+
+BROKEN = {
+    "quote that never closes": "<p>text</p><a title=\"" + "x" * 5_000_000,
+    "tags that never close": '<p class="x ' * 400_000,
+    "quoted ends only": '<p ">" ' * 100_000,
+    "raw ends that never close": "<script>" + "</script " * 400_000,
+    "letters without an equals sign": "<p " + "a" * 2_000_000 + " b=c>text",
+    "deep inline elements, foreign ends": "<i><div>" + "<b>" * 100_000 + "</i>" * 100_000,
+    "deep lists": "<ul><li>" * 100_000 + "text",
+    "items under deep inline elements": "<font>" * 80_000 + "<li></li>" * 80_000,
+}
+
+
+@pytest.mark.parametrize("name", BROKEN)
+def test_long_broken_pages_are_parsed_in_linear_time(name):
+    began = time.process_time()
+    parse(BROKEN[name])
+    assert time.process_time() - began < 20
+
+
+def test_tags_end_as_quotes_allow():
+    text = lambda page: ["".join(b.parts) for b in parse(page)[1]]
+    assert text("<p title='a>b'>one</p><p title=\"c>two</p>") == ["one", "two"]
+    assert text("<p>one<!-- <p>two --><b>three</b> 1 < 2 <") == ["onethree 1 < 2 <"]
+    assert text("<p>one</p><p class='x") == ["one"]
+    assert text("<p>one<!doctype") == ["one<!doctype"]

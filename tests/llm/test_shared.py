@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,3 +69,23 @@ def test_word_hashes_follow_words():
     assert folded.hash[folded.first[6]] == folded.hash[folded.first[6] + 1]
     grams = [rolling(w.hash[slice(*w.bounds(d))], 2).tolist() for d in (0, 5, 7)]
     assert grams[0] == grams[1] and len(set(grams[1] + grams[2])) == 3
+
+
+FOREIGN = """
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", {shared!r}).getOrCreate()
+from cardsentry.llm.near_dup import near_duplicates
+docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, None)], "doc_id long, text string")
+print(sorted((r.doc_id, r.component_id) for r in near_duplicates(docs).collect()))
+"""
+
+
+def test_operators_run_from_a_foreign_folder(tmp_path):
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = tmp_path / "job.py"
+    script.write_text(FOREIGN.format(repo=repo, shared=str(tmp_path / "shared")))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.stdout.strip().splitlines()[-1:] == ["[(1, 1), (2, 1), (3, 3)]"], done.stderr[-2000:]
