@@ -248,30 +248,32 @@ class WordEncoder:
         odd = [w for w in words if not w.isascii() and (w != w.lower() or not unicodedata.is_normalized("NFC", w))]
         whole = {w: np.array(e.ids, dtype="<i4").tobytes() for w, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False))}
         whole.update(self.added)
-        known, fresh = self.kept.get, {}
-        out, ends, at = [], [0], 0
-        for w in words:
-            if w in whole:
-                parts = (whole[w],)
-            else:
-                # letters, or letters and one mark, need no pattern matcher
-                if w.isalpha():
-                    pieces = (w,)
-                elif w[-1] in ".,:;!?" and w[:-1].isalpha():
-                    pieces = (w[:-1], w[-1])
-                else:
-                    pieces = _PIECES.findall(w)
-                parts = []
-                for piece in pieces:
-                    ids = known(piece) or fresh.get(piece)
-                    if ids is None:
-                        ids = fresh[piece] = self._piece(piece)
-                    parts.append(ids)
-            for ids in parts:
-                out.append(ids)
-                at += len(ids)
-            ends.append(at)
-        return np.frombuffer(b"".join(out), dtype="<i4"), np.array(ends, dtype=np.int64) // 4
+        fresh: dict[str, bytes] = {}
+        # most words are pieces that are known
+        out = list(map(self.kept.get, words))
+        for i, ids in enumerate(out):
+            if ids is None:
+                ids = whole.get(words[i])
+                out[i] = self._word(words[i], fresh) if ids is None else ids
+        ends = np.cumsum(np.fromiter(map(len, out), np.int64, len(out)))
+        return np.frombuffer(b"".join(out), dtype="<i4"), np.concatenate([[0], ends]) // 4
+
+    def _word(self, w: str, fresh: dict[str, bytes]) -> bytes:
+        """Ids of a word that the normaliser leaves alone, piece by piece."""
+        # letters, or letters and one mark, need no pattern matcher
+        if w.isalpha():
+            pieces = (w,)
+        elif w[-1] in ".,:;!?" and w[:-1].isalpha():
+            pieces = (w[:-1], w[-1])
+        else:
+            pieces = _PIECES.findall(w)
+        found = []
+        for piece in pieces:
+            ids = self.kept.get(piece) or fresh.get(piece)
+            if ids is None:
+                ids = fresh[piece] = self._piece(piece)
+            found.append(ids)
+        return b"".join(found)
 
 
 def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, path: str, added_tokens: bool = False) -> DataFrame:
