@@ -31,6 +31,7 @@ from ..operators.above_limit import detect_above_limit
 from ..operators.alerts import to_alerts, union_alerts
 from ..operators.location import detect_location_jump
 from ..operators.low_values import p05_index
+from ..operators.windows import duration_seconds
 from ..schema import (LOW_VALUE_THRESHOLD, REASON_LOW_VALUES, TX_COLUMNS, VALUE_TYPE,
                       WINDOW_ABOVE_LIMIT, WINDOW_LOCATION, WINDOW_LOW_VALUES)
 from ..session import ensure_checkpoint_dir
@@ -82,30 +83,10 @@ def windowed_state(stream: DataFrame, delay: str = "0 seconds",
     return out
 
 
-_UNITS = {"microsecond": 1e-6, "millisecond": 1e-3, "second": 1, "minute": 60, "hour": 3600,
-          "day": 86400, "week": 604800}
-
-
-def _seconds(text: str) -> float | None:
-    """Duration text such as ``"24 hours"``, ``"1 day"``, ``"3.5 days"`` in
-    seconds; ``None`` if any part is not understood."""
-    import re
-    parts = re.findall(r"\s*(\d+(?:\.\d+)?)\s*([a-z]+)\s*", text.lower())
-    if not parts or "".join(f"{n}{u}" for n, u in parts) != re.sub(r"\s+", "", text.lower()):
-        return None
-    total = 0.0
-    for num, unit in parts:
-        unit = unit[:-1] if unit.endswith("s") else unit
-        if unit not in _UNITS:
-            return None
-        total += float(num) * _UNITS[unit]
-    return total
-
-
 def _same(a: WindowSpec, b: WindowSpec) -> bool:
     """Same (length, slide)?  Unparsable specs count as different (no fusion)."""
-    la, sa = _seconds(a[0]), _seconds(a[1] or a[0])
-    lb, sb = _seconds(b[0]), _seconds(b[1] or b[0])
+    la, sa = duration_seconds(a[0]), duration_seconds(a[1] or a[0])
+    lb, sb = duration_seconds(b[0]), duration_seconds(b[1] or b[0])
     return None not in (la, sa, lb, sb) and (la, sa) == (lb, sb)
 
 
