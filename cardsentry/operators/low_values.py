@@ -90,7 +90,8 @@ def _bracketed(hist: DataFrame, sizes: DataFrame, g: list[str]) -> DataFrame:
     """
     rows = join_stats(hist, sizes, g, spread="value")
     at = [i / BRACKETS for i in range(1, BRACKETS)]
-    cuts = rows.groupBy(*g).agg(F.percentile_approx("value", at, 10 * BRACKETS).alias("cuts"))
+    # merged, as the rows must be the streamed side: the other way round a task buffers a cuts array per row
+    cuts = rows.groupBy(*g).agg(F.percentile_approx("value", at, 10 * BRACKETS).alias("cuts")).hint("merge")
     dealt = (join_stats(rows, cuts, g, spread="value")
              # the smallest values (and nulls, which sort first) are in bracket 0
              .withColumn("bracket", F.coalesce(F.size(F.filter("cuts", lambda c: c < F.col("value"))), F.lit(0)))
@@ -109,8 +110,8 @@ def p05_by_group(tx: DataFrame, length: str = WINDOW_LOW_VALUES, slide: str | No
     partial aggregate.  The value at index ``floor(0.05 n)`` is then found by an
     ordered scan over the group's distinct values, or, in a group of over
     ``SCAN_VALUES`` of them, over those of the one value bracket that holds the
-    index (``_bracketed``).  Without such groups that branch is empty, and adaptive
-    execution drops it.  Null values sort first.
+    index (``_bracketed``).  A count of the groups' rows tells beforehand whether that
+    branch is needed.  Null values sort first.
     """
     g = [key, *WINDOW_COLS]
     pane = pane_seconds(tx, length, slide)
@@ -119,15 +120,21 @@ def p05_by_group(tx: DataFrame, length: str = WINDOW_LOW_VALUES, slide: str | No
         hist = assign_windows(per_pane, length, slide, time_col=PANE).groupBy(*g, "value").agg(F.sum("c").alias("c"))
     else:
         hist = assign_windows(tx, length, slide).groupBy(*g, "value").agg(F.count(F.lit(1)).alias("c"))
-    sizes = (hist.groupBy(*g).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("values"))
-             .withColumn("at", p05_index(F.col("n"))))
-    large = sizes.where(F.col("values") > F.lit(SCAN_VALUES)).select(*g, "n", "at")
     whole = Window.partitionBy(*g)
-    plain = (join_stats(hist, large.select(*g), g, spread="value", how="left_anti")
-             .withColumn("n", F.sum("c").over(whole))
-             .withColumn("at", p05_index(F.col("n"))).withColumn("before", F.lit(0).cast("long")))
-    cols = [*g, "value", "c", "n", "at", "before"]
-    found = _at_index(plain, g, ["value"]).select(*cols).unionByName(
-        _at_index(_bracketed(hist, large, g), g, ["value"]).select(*cols))
+
+    def scanned(rows: DataFrame) -> DataFrame:
+        rows = (rows.withColumn("n", F.sum("c").over(whole)).withColumn("at", p05_index(F.col("n")))
+                .withColumn("before", F.lit(0).cast("long")))
+        return _at_index(rows, g, ["value"]).select(*g, "value", "n", "at")
+
+    # a group has at most as many distinct values as rows
+    if low_value_stats(tx, length, slide, key).where(F.col("n") > F.lit(SCAN_VALUES)).isEmpty():
+        found = scanned(hist)
+    else:
+        sizes = (hist.groupBy(*g).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("values"))
+                 .withColumn("at", p05_index(F.col("n"))))
+        large = sizes.where(F.col("values") > F.lit(SCAN_VALUES)).select(*g, "n", "at")
+        found = scanned(join_stats(hist, large.select(*g), g, spread="value", how="left_anti")).unionByName(
+            _at_index(_bracketed(hist, large, g), g, ["value"]).select(*g, "value", "n", "at"))
     return found.select(*g, "n", F.col("at").alias("p05_index"), F.col("value").alias("p05_value"),
                         (F.col("value") < F.lit(LOW_VALUE_THRESHOLD).cast(VALUE_TYPE)).alias("flagged"))
