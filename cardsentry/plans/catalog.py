@@ -90,7 +90,7 @@ def q_stream_fraud_alerts(spark, sf, slices: int | None = None):
     alerts are those of every window that closed."""
     from ..sources.fixture import load_table, transactions_from_events
     from ..streaming.detect import parquet_sink, start_detection
-    from ..streaming.replay import SLICES, replay
+    from ..streaming.replay import replay
     from pyspark.sql import types as T
     base = _stream_folder(spark, "stream_fraud_alerts")
     replay(load_table(spark, sf, "events"), "ts", f"{base}/in",
@@ -98,7 +98,7 @@ def q_stream_fraud_alerts(spark, sf, slices: int | None = None):
                transactions_from_events(stream), parquet_sink(f"{base}/alerts"),
                checkpoint_location=f"{base}/state", trigger={"availableNow": True},
                query_name=f"stream_fraud_alerts_{base[-8:]}"),
-           slices or SLICES)
+           slices)
     out_schema = T.StructType(TX_SCHEMA.fields + [
         T.StructField("above_limit", T.BooleanType()), T.StructField("fraud_reason", T.StringType()),
         T.StructField("window_start", T.TimestampType()), T.StructField("window_end", T.TimestampType())])
@@ -112,14 +112,14 @@ def q_stream_trailing_24h_repeat(spark, sf, slices: int | None = None):
     """The keyed-state trailing rule (``applyInPandasWithState`` with an
     event-time time-out) over the ``events`` table replayed in event-time order."""
     from ..sources.fixture import load_table, transactions_from_events
-    from ..streaming.replay import SLICES, replay
+    from ..streaming.replay import replay
     from ..streaming.trailing import alert_schema, trailing_repeat_stream
     base = _stream_folder(spark, "stream_trailing")
     replay(load_table(spark, sf, "events"), "ts", f"{base}/in",
            lambda stream: (trailing_repeat_stream(transactions_from_events(stream)).writeStream.format("parquet")
                            .outputMode("append").option("path", f"{base}/alerts")
                            .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()),
-           slices or SLICES)
+           slices)
     schema = alert_schema(TX_SCHEMA)
     return _out(spark.read.schema(schema).parquet(f"{base}/alerts"), schema.fieldNames())
 

@@ -5,9 +5,10 @@ need not be the order of the events in them.  With a watermark that follows the
 largest event time, every file after the first micro-batch could then be late.
 ``replay`` cuts the table into slices of event time and feeds them one after the
 other: each slice is written to a folder in the shared checkpoint folder, the
-query reads what is new there, and only then the next slice follows.  Results do
-not depend on how many files the table has, how they are ordered, or how many
-slices are made.
+query reads what is new there, and only then the next slice follows.  A slice has
+about ``SLICE_ROWS`` rows however large the table is, and the copies are deleted
+when the last one is read.  Results do not depend on how many files the table has,
+how they are ordered, or how many slices are made.
 """
 
 from __future__ import annotations
@@ -18,7 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-SLICES = 4
+from ..tables import drop_folder
+
+SLICES = 4                  # at least
+SLICE_ROWS = 5_000_000
 
 
 def slice_bounds(table: DataFrame, ts: str, slices: int) -> list:
@@ -26,18 +30,21 @@ def slice_bounds(table: DataFrame, ts: str, slices: int) -> list:
     if slices <= 1:
         return []
     at = [i / slices for i in range(1, slices)]
-    row = table.select(F.percentile_approx(F.unix_micros(F.col(ts).cast("timestamp")), at, 1000).alias("q")).first()
+    row = table.select(F.percentile_approx(F.unix_micros(F.col(ts).cast("timestamp")), at, max(1000, 10 * slices)).alias("q")).first()
     return sorted(set(row["q"] or []))
 
 
 def replay(table: DataFrame, ts: str, folder: str, start: Callable[[DataFrame], StreamingQuery],
-           slices: int = SLICES) -> None:
+           slices: int | None = None) -> None:
     """Run the query that ``start(stream)`` returns over the whole table, slice by slice.
 
     ``start`` must use the ``availableNow`` trigger and one fixed checkpoint
-    location, so that each call goes on where the last one stopped.
+    location, so that each call goes on where the last one stopped.  The number of
+    slices follows the row count where it is not given.
     """
     spark = table.sparkSession
+    if slices is None:
+        slices = max(SLICES, -(-table.count() // SLICE_ROWS))
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     bounds = slice_bounds(table, ts, slices)
     lows, highs = [None, *bounds], [*bounds, None]
@@ -53,3 +60,4 @@ def replay(table: DataFrame, ts: str, folder: str, start: Callable[[DataFrame],
         query.awaitTermination()
         if query.exception() is not None:
             raise RuntimeError(str(query.exception()))
+    drop_folder(spark, folder)

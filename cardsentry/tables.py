@@ -27,7 +27,12 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder in whatever file system its path names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
 def drop_stashed(spark: SparkSession) -> None:
     """Delete all tables that this application stashed; results that still read them are void then."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
-    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+    drop_folder(spark, _folder(spark))

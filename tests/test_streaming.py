@@ -235,3 +235,20 @@ def test_csv_stream_export_and_trailing_jobs(spark, scratch):
     assert read_transactions_csv(spark, f"{scratch}/dump")[0].count() == tx.count()
     run_trailing(spark, f"{scratch}/csv", "csv", f"{scratch}/trailing", checkpoint=f"{scratch}/c", trigger=now).awaitTermination()
     assert spark.read.parquet(f"{scratch}/trailing").count() > 0
+
+
+def test_replay_slices_follow_the_rows_and_leave_no_copy(spark, scratch, monkeypatch):
+    import os
+    from cardsentry.streaming import replay as module
+    events = spark.read.parquet(f"{SF001}/events.parquet")
+    monkeypatch.setattr(module, "SLICE_ROWS", 150)
+    sizes = []
+
+    def start(stream):
+        return (stream.writeStream.foreachBatch(lambda rows, batch_id: sizes.append(rows.count()))
+                .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start())
+
+    module.replay(events, "ts", f"{scratch}/in", start)
+    n = events.count()
+    assert sum(sizes) == n and len(sizes) == -(-n // 150) > module.SLICES and max(sizes) < 2 * 150
+    assert not os.path.exists(f"{scratch}/in")
