@@ -25,7 +25,7 @@ import math
 import sys
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -310,27 +310,35 @@ def with_main_cluster(clustered: DataFrame, group_cols: list[str]) -> DataFrame:
             .drop("_best"))
 
 
-def single_cluster_groups(df: DataFrame, group_cols: list[str], max_km: float = MAX_CENTRE_DISTANCE_KM,
-                          margin_km: float = 1.0) -> DataFrame:
-    """Per group: ``single`` = the fold provably yields one cluster.
+def one_cluster_box(lat0: Column, lat1: Column, lon0: Column, lon1: Column,
+                    max_km: float = MAX_CENTRE_DISTANCE_KM, margin_km: float = 1.0) -> Column:
+    """Whether the points of a lat/lon box provably fold into one cluster.
 
     If every point lies in a lat/lon box whose great-circle diameter is below
     ``max_km``, every running centre (a mean of points in the box) is in the
     box too, so each point is within ``max_km`` of cluster 1 and joins it.
     The diameter is bounded by going along a meridian then a parallel:
     ``R·Δlat + R·cos(lat nearest the equator)·Δlon`` (valid for Δlon < 180°;
-    90° is required).  ``margin_km`` absorbs floating-point error.  The box is
-    a partial aggregate, so a hot group costs one small row per map task.
+    90° is required).  ``margin_km`` absorbs floating-point error.
     """
     r = EARTH_RADIUS_KM
-    box = df.groupBy(*group_cols).agg(F.min("lat").alias("_lat0"), F.max("lat").alias("_lat1"),
-                                      F.min("lon").alias("_lon0"), F.max("lon").alias("_lon1"))
-    lat0, lat1, lon0, lon1 = (F.col(c) for c in ("_lat0", "_lat1", "_lon0", "_lon1"))
     cos_max = (F.when((lat0 <= 0) & (lat1 >= 0), F.lit(1.0))
                .otherwise(F.greatest(F.cos(F.radians(lat0)), F.cos(F.radians(lat1)))))
     bound = F.lit(r) * F.radians(lat1 - lat0) + F.lit(r) * cos_max * F.radians(lon1 - lon0)
     single = (bound < F.lit(max_km - margin_km)) & ((lon1 - lon0) < F.lit(90.0))
-    return box.select(*group_cols, F.coalesce(single, F.lit(False)).alias("single"))
+    return F.coalesce(single, F.lit(False))
+
+
+def single_cluster_groups(df: DataFrame, group_cols: list[str], max_km: float = MAX_CENTRE_DISTANCE_KM,
+                          margin_km: float = 1.0) -> DataFrame:
+    """Per group: ``single`` = the fold provably yields one cluster (``one_cluster_box``).
+
+    The box is a partial aggregate, so a hot group costs one small row per map task.
+    """
+    box = df.groupBy(*group_cols).agg(F.min("lat").alias("_lat0"), F.max("lat").alias("_lat1"),
+                                      F.min("lon").alias("_lon0"), F.max("lon").alias("_lon1"))
+    corners = (F.col(c) for c in ("_lat0", "_lat1", "_lon0", "_lon1"))
+    return box.select(*group_cols, one_cluster_box(*corners, max_km, margin_km).alias("single"))
 
 
 def cluster_summary(clustered: DataFrame, group_cols: list[str]) -> DataFrame:

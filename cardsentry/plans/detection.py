@@ -84,3 +84,12 @@ def user_day_alerts(tx: DataFrame, window: tuple[str, str | None] = (WINDOW_LOCA
                        lambda r: r.isNotNull())
     exploded = hits.withColumn("fraud_reason", F.explode(reasons))
     return to_alerts(exploded, F.col("fraud_reason"), extra=WINDOW_COLS)
+
+
+def group_location_alerts(tx: DataFrame, window: tuple[str, str | None] = (WINDOW_LOCATION, None)) -> DataFrame:
+    """D3 alerts of groups that pass whole through one task each (the closed windows of a
+    micro-batch): the fold, the main cluster and the nearest main row, without D3's parts and segments."""
+    g = ["user_id", *WINDOW_COLS]
+    groups = with_main_cluster(leader_clusters(assign_windows(tx, *window), g), g)
+    checked = with_velocity(nearest_in_time(groups.where(F.col("n_clusters") > 1), g, "is_main"))
+    return to_alerts(checked.where("is_fraud"), location_reason(), extra=WINDOW_COLS)

@@ -7,8 +7,8 @@ Plan (one streaming query):
            ∪ groupBy(window, card) : count, rows below 1.0 only          (D2, O2 state)
            → append mode: a (key, window) leaves state exactly once, when
              the watermark passes the window end (late rows are dropped)
-           → foreachBatch: explode the closed windows and run the batch
-             detector functions on them, then hand alerts to a sink.
+           → foreachBatch: explode the closed windows that can alert and run
+             the batch detector functions on them, then hand alerts to a sink.
 
 Nothing filters rows between the watermark and the aggregates (Catalyst would
 push such a filter below ``EventTimeWatermark`` and the watermark would then
@@ -28,11 +28,13 @@ from pyspark.sql import functions as F
 
 from ..functions.timefmt import epoch_micros
 from ..operators.above_limit import detect_above_limit
-from ..operators.alerts import to_alerts, union_alerts
+from ..operators.alerts import above_limit, to_alerts, union_alerts
+from ..operators.clustering import one_cluster_box
 from ..operators.location import detect_location_jump
 from ..operators.low_values import p05_index
 from ..operators.windows import duration_seconds
-from ..schema import (LOW_VALUE_THRESHOLD, REASON_LOW_VALUES, TX_COLUMNS, VALUE_TYPE,
+from ..plans.detection import group_location_alerts
+from ..schema import (ABOVE_LIMIT_ALLOWED, ABOVE_LIMIT_SKIP, LOW_VALUE_THRESHOLD, REASON_LOW_VALUES, TX_COLUMNS, VALUE_TYPE,
                       WINDOW_ABOVE_LIMIT, WINDOW_LOCATION, WINDOW_LOW_VALUES)
 from ..session import ensure_checkpoint_dir
 
@@ -94,20 +96,24 @@ def alerts_from_closed_windows(groups: DataFrame,
                                above_limit_window: WindowSpec = (WINDOW_ABOVE_LIMIT, None),
                                location_window: WindowSpec = (WINDOW_LOCATION, None)) -> DataFrame:
     """Run the detectors on closed windows (the micro-batch of ``windowed_state``)."""
-    rows = (groups.select("tag", "window_start", "window_end", "n", F.explode("rows").alias("r"))
-            .select("tag", "window_start", "window_end", "n", "r.*"))
+    def rows_of(some: DataFrame) -> DataFrame:
+        return some.select("window_start", "window_end", F.explode("rows").alias("r")).select("window_start", "window_end", "r.*")
+
     if _same(above_limit_window, location_window):
-        from ..plans.detection import user_day_alerts   # D1 + D3 in one pass (O3)
-        d13 = user_day_alerts(rows.where(F.col("tag") == "user").drop("tag", "n"), location_window)
+        # A group is one row here, so those that cannot alert stay out before their rows are taken apart:
+        # D1 needs more above-limit rows than it skips, D3 more than one cluster.
+        user = groups.where(F.col("tag") == "user")
+        n_above = F.size(F.filter("rows", lambda r: above_limit(r["value"], r["lim"])))
+        lat, lon = F.col("rows.lat"), F.col("rows.lon")
+        one = one_cluster_box(F.array_min(lat), F.array_max(lat), F.array_min(lon), F.array_max(lon))
+        known = F.col("user_id").isNotNull()
+        d13 = detect_above_limit(rows_of(user.where(n_above > max(ABOVE_LIMIT_ALLOWED, ABOVE_LIMIT_SKIP))).where(known), *above_limit_window) \
+            .unionByName(group_location_alerts(rows_of(user.where(~one)).where(known), location_window))
     else:
-        d13 = detect_above_limit(rows.where(F.col("tag") == "above").drop("tag", "n"), *above_limit_window) \
-            .unionByName(detect_location_jump(rows.where(F.col("tag") == "location").drop("tag", "n"),
-                                              *location_window))
-    flagged = (groups.where((F.col("tag") == "low")
-                            & (F.size("rows") > p05_index(F.col("n"))))
-               .select("window_start", "window_end", F.explode("rows").alias("r"))
-               .select("window_start", "window_end", "r.*"))
-    d2 = to_alerts(flagged, REASON_LOW_VALUES, extra=["window_start", "window_end"])
+        d13 = detect_above_limit(rows_of(groups.where(F.col("tag") == "above")), *above_limit_window) \
+            .unionByName(detect_location_jump(rows_of(groups.where(F.col("tag") == "location")), *location_window))
+    flagged = groups.where((F.col("tag") == "low") & (F.size("rows") > p05_index(F.col("n"))))
+    d2 = to_alerts(rows_of(flagged), REASON_LOW_VALUES, extra=["window_start", "window_end"])
     return union_alerts(d13, d2, extra=["window_start", "window_end"])
 
 
@@ -149,7 +155,10 @@ def start_detection(stream: DataFrame, sink: Callable[[DataFrame, int], None],
         try:
             if bad_sink is not None:
                 bad_sink(groups.where("tag = 'bad'").select("_corrupt_record", "reason"), batch_id)
-            sink(alerts_from_closed_windows(groups, above_limit_window, location_window), batch_id)
+            alerts = alerts_from_closed_windows(groups, above_limit_window, location_window)
+            # the count computes all of the micro-batch's state; where no window closed, no detector runs
+            closed = groups.where("tag <> 'bad'").count()
+            sink(alerts if closed else alerts.limit(0), batch_id)
         finally:
             groups.unpersist()
 

@@ -72,3 +72,45 @@ def test_replay_scans_the_table_once_for_all_slices(spark, scratch):
     # once for the bounds of the slices, once to deal the rows
     assert read.value == 2 * n
     assert sorted(map(str, spark.read.parquet(f"{scratch}/out").collect())) == sorted(map(str, tx.collect()))
+
+
+def test_closed_windows_that_cannot_alert_stay_out_of_the_detectors(spark):
+    """Same alerts as from all rows; groups are picked by their arrays before their rows are taken apart."""
+    from pyspark.sql import functions as F
+
+    from cardsentry.operators.windows import assign_windows
+    from cardsentry.plans.detection import user_day_alerts
+    from cardsentry.schema import TX_COLUMNS
+    from cardsentry.streaming.detect import alerts_from_closed_windows
+    rows = []
+    for u in range(30):
+        for i in range(u % 9):
+            at = dt.datetime(2024, 6, 3, 5, i * 6)
+            far = 2.0 if u % 2 and i % 3 == 2 else 0.0
+            rows.append((u * 10 + i, u, at, Decimal("30.00"), u, 20 if u % 4 else 99, 10.0 + far, 20.0))
+    rows += [(900, 1, dt.datetime(2024, 6, 3, 5), Decimal("30.00"), 1, 20, None, 20.0), rows[-1]]
+    rows += [(910 + i, 1, dt.datetime(2024, 6, 3, i), Decimal("30.00"), None, 20, 10.0 * (i % 2), 20.0) for i in range(6)]
+    tx = spark.createDataFrame(rows, TX_SCHEMA)
+    w = assign_windows(tx, "1 day")
+    groups = (w.groupBy("window_start", "window_end", "user_id").agg(F.count(F.lit(1)).alias("n"), F.collect_list(F.struct(*TX_COLUMNS)).alias("rows"))
+              .select(F.lit("user").alias("tag"), "window_start", "window_end", "n", "rows"))
+    out = alerts_from_closed_windows(groups, ("24 hours", None), ("1 day", None))
+    got, want = (sorted(map(str, d.select("seq", "fraud_reason", "window_start").collect())) for d in (out, user_day_alerts(tx)))
+    assert got == want and len({x.split("fraud_reason=")[1][:20] for x in got}) == 2
+    plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+    assert "array_min(" in plan and "MapInPandas" in plan
+
+
+def test_micro_batches_without_closed_windows_run_no_detector(spark, scratch):
+    from cardsentry.streaming.detect import start_detection
+    tx = _tx(spark).where("ts < '2024-06-01 20:00:00'")
+    tx.coalesce(1).write.parquet(f"{scratch}/in")
+    seen = []
+
+    def sink(alerts, batch_id):
+        plan = spark._jvm.PythonSQLUtils.explainString(alerts._jdf.queryExecution(), "simple")
+        seen.append((alerts.count(), "MapInPandas" in plan))
+
+    q = start_detection(spark.readStream.schema(tx.schema).parquet(f"{scratch}/in"), sink, f"{scratch}/ck", trigger={"availableNow": True}, query_name="no_closed_windows")
+    q.awaitTermination()
+    assert q.exception() is None and seen and set(seen) == {(0, False)}
