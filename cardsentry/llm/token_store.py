@@ -131,7 +131,7 @@ class WaveletMatrix:
         """The whole sequence: planes undone from the last to the first."""
         cur = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)
         for k in range(len(self.planes) - 1, -1, -1):
-            one = np.unpackbits(self.planes[k], count=self.n).astype(bool)
+            one = np.unpackbits(self.planes[k], count=self.n).view(bool)
             up = np.empty_like(cur)
             zeros = int(self.zeros[k])
             up[~one] = cur[:zeros]
@@ -239,7 +239,8 @@ class WordEncoder:
         letters = piece
         if not piece.isascii() or not piece.isprintable():
             letters = "".join([self.letters[b] for b in piece.encode()])
-        ids = np.array([t.id for t in self.model.tokenize(letters)], dtype="<i4").tobytes()
+        found = [t.id for t in self.model.tokenize(letters)]
+        ids = struct.pack(f"<{len(found)}i", *found)
         if len(self.kept) < MAX_KEPT:
             self.kept[piece] = ids
         return ids
@@ -262,8 +263,11 @@ class WordEncoder:
         """Ids of a word that the normaliser leaves alone, piece by piece."""
         # letters, or letters and one mark, need no pattern matcher
         if w.isalpha():
-            pieces = (w,)
-        elif w[-1] in ".,:;!?" and w[:-1].isalpha():
+            ids = self.kept.get(w) or fresh.get(w)
+            if ids is None:
+                ids = fresh[w] = self._piece(w)
+            return ids
+        if w[-1] in ".,:;!?" and w[:-1].isalpha():
             pieces = (w[:-1], w[-1])
         else:
             pieces = _PIECES.findall(w)
