@@ -24,22 +24,28 @@ empty store.
 
 from __future__ import annotations
 
+import codecs
 import json
+import os
 import re
 import struct
 import unicodedata
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from .chunks import WS, ChunkTable
+from .chunks import SLICE_BYTES, STRETCH_BYTES, WS
 from .shared import ship
+from .words import slices
 
 MAGIC = b"WMX1"
 SHARD_IDS = 1 << 20
@@ -173,6 +179,10 @@ def open_shard(data: bytes) -> tuple[list, np.ndarray, WaveletMatrix]:
 
 # the piece pattern of this vocabulary's pre-tokenizer, for words without white space
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{L}\p{N}]+")
+# most words: letters, and marks behind them; these are their pieces
+_LETTERS_MARKS = r"^(?P<letters>\p{L}+)(?P<marks>[!-/:-@\[-`{-~]*)$"
+# most words that the normaliser leaves alone: ASCII (A-Z is lowered before) and the small letters of Latin-1
+_LEFT_ALONE = "^[\\x00-\\x7f\u00df-\u00f6\u00f8-\u00ff]*$"
 _WORDS = re.compile(f"[^{WS}]+")
 # separators of str.split() that are not White_Space
 _ODD = re.compile("[\x1c-\x1f]")
@@ -195,9 +205,67 @@ def _byte_letters() -> list[str]:
     return out
 
 
-# ids of pieces, as little-endian bytes, kept by a worker from task to task: (tokenizer definition, piece -> ids)
-_kept: tuple[str, dict[str, bytes]] = ("", {})
+def gather(values: np.ndarray, first: np.ndarray, idx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of the numbered rows one after the other, and the offset of each in them; row ``i`` is ``values[first[i]:first[i + 1]]``."""
+    size = first[idx + 1] - first[idx]
+    out = np.concatenate([[0], np.cumsum(size)])
+    return values[np.repeat(first[idx] - out[:-1], size) + np.arange(out[-1])], out
+
+
+class Pieces:
+    """Ids of pieces, each new one by the library's BPE model; up to MAX_KEPT pieces are kept.
+
+    New pieces go to the library many at a time, as a text with spaces between
+    them; the vocabulary's end-of-word mark shows where a piece's ids end.
+    """
+
+    def __init__(self, definition: str):
+        self.tokenizer = Tokenizer.from_str(definition)
+        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.normalizer = normalizers.Sequence([])
+        self.tokenizer.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        # the space parts pieces and is itself
+        letters = _byte_letters()
+        self.letters = "".join([*letters[:32], " ", *letters[33:]])
+        mark, tokens = self.tokenizer.model.end_of_word_suffix, self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(tokens.values()) + 1, bool)
+        self.ends[[i for t, i in tokens.items() if mark and t.endswith(mark)]] = True
+        # the empty piece has no ids
+        self.known, self.values, self.first = pa.array([""], pa.string()), np.zeros(0, np.int32), np.zeros(2, np.int64)
+
+    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        def ids_of(step: int) -> list[list[int]]:
+            texts = [" ".join(pieces[i : i + step]) for i in range(0, len(pieces), step)]
+            texts = [t if t.isascii() and t.isprintable() else codecs.charmap_decode(t.encode(), "strict", self.letters)[0] for t in texts]
+            return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+        values = np.fromiter(chain.from_iterable(ids_of(PIECES_A_TEXT)), np.int32)
+        first = np.concatenate([[0], np.flatnonzero(self.ends[values]) + 1])
+        if len(first) != len(pieces) + 1 or first[-1] != len(values):
+            # a vocabulary that does not mark every end
+            single = ids_of(1)
+            values, first = np.fromiter(chain.from_iterable(single), np.int32), np.concatenate([[0], np.cumsum([len(x) for x in single], dtype=np.int64)])
+        return values, first
+
+    def __call__(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pieces in a row, and the offset of each piece in them."""
+        at = pc.index_in(pieces, value_set=self.known)
+        fresh = pieces.filter(at.is_null())
+        values, first = self._encode(fresh.to_pylist())
+        at = at.to_numpy(zero_copy_only=False)
+        new = np.isnan(at) if at.dtype.kind == "f" else np.zeros(len(at), bool)
+        idx = np.where(new, len(self.known) - 1 + np.cumsum(new), at).astype(np.int64)
+        values, first = np.concatenate([self.values, values]), np.concatenate([self.first, first[1:] + self.first[-1]])
+        room = min(MAX_KEPT - len(self.known), len(fresh))
+        if room > 0:
+            self.known = pa.concat_arrays([self.known, fresh.slice(0, room)])
+            self.first = first[: len(self.known) + 1]
+            self.values = values[: self.first[-1]]
+        return gather(values, first, idx)
+
+
 MAX_KEPT = 400_000
+PIECES_A_TEXT = 60
 
 
 class WordEncoder:
@@ -209,7 +277,6 @@ class WordEncoder:
     """
 
     def __init__(self, definition: str, added_tokens: bool = False):
-        global _kept
         self.tokenizer = Tokenizer.from_str(definition)
         # the cut is made on the text as it stands: what lowering makes of a word is no added token
         self.tokenizer.encode_special_tokens = True
@@ -217,14 +284,11 @@ class WordEncoder:
         if any(t[flag] for t in tokens for flag in ("single_word", "lstrip", "rstrip", "normalized")):
             raise ValueError("added tokens that depend on their surroundings or on the normaliser")
         # a word has no white space, so a space in front marks an added token
-        self.added = {" " + t["content"]: np.array([t["id"]], dtype="<i4").tobytes() for t in tokens}
+        self.added = {" " + t["content"]: [t["id"]] for t in tokens}
         self.quoted = sorted((t["content"] for t in tokens), key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, self.quoted)) + ")")
-        self.model = self.tokenizer.model
-        self.letters = _byte_letters()
-        if _kept[0] != definition:
-            _kept = (definition, {})
-        self.kept = _kept[1]
+        self.rare = "|".join([_ODD.pattern, *map(re.escape, self.quoted)])
+        self.pieces = Pieces(definition)
 
     def split(self, text: str) -> list[str]:
         """Words of a text, and its added tokens with a space in front."""
@@ -235,49 +299,79 @@ class WordEncoder:
             out += [" " + part] if i % 2 else words_of(part)
         return out
 
-    def _piece(self, piece: str) -> bytes:
-        letters = piece
-        if not piece.isascii() or not piece.isprintable():
-            letters = "".join([self.letters[b] for b in piece.encode()])
-        found = [t.id for t in self.model.tokenize(letters)]
-        ids = struct.pack(f"<{len(found)}i", *found)
-        if len(self.kept) < MAX_KEPT:
-            self.kept[piece] = ids
-        return ids
-
-    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        odd = [w for w in words if not w.isascii() and (w != w.lower() or not unicodedata.is_normalized("NFC", w))]
-        whole = {w: np.array(e.ids, dtype="<i4").tobytes() for w, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False))}
-        whole.update(self.added)
-        fresh: dict[str, bytes] = {}
-        # most words are pieces that are known
-        out = list(map(self.kept.get, words))
-        for i, ids in enumerate(out):
-            if ids is None:
-                ids = whole.get(words[i])
-                out[i] = self._word(words[i], fresh) if ids is None else ids
-        ends = np.cumsum(np.fromiter(map(len, out), np.int64, len(out)))
-        return np.frombuffer(b"".join(out), dtype="<i4"), np.concatenate([[0], ends]) // 4
-
-    def _word(self, w: str, fresh: dict[str, bytes]) -> bytes:
-        """Ids of a word that the normaliser leaves alone, piece by piece."""
-        # letters, or letters and one mark, need no pattern matcher
-        if w.isalpha():
-            ids = self.kept.get(w) or fresh.get(w)
-            if ids is None:
-                ids = fresh[w] = self._piece(w)
-            return ids
-        if w[-1] in ".,:;!?" and w[:-1].isalpha():
-            pieces = (w[:-1], w[-1])
-        else:
-            pieces = _PIECES.findall(w)
-        found = []
-        for piece in pieces:
-            ids = self.kept.get(piece) or fresh.get(piece)
-            if ids is None:
-                ids = fresh[piece] = self._piece(piece)
-            found.append(ids)
-        return b"".join(found)
+    def split_all(self, texts: pa.Array) -> pa.ListArray:
+        """Words of each text as by ``split``, and empty strings."""
+        texts = texts.fill_null("")
+        if pc.any(pc.match_substring_regex(texts, self.rare)).as_py():
+            return pa.array([self.split(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+        return pc.utf8_split_whitespace(pc.ascii_lower(texts))
+
+    def __call__(self, words: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in a row, and the offset of each word in them."""
+        words = pa.array(words, pa.string()) if isinstance(words, list) else words
+        strange = np.flatnonzero(~pc.match_substring_regex(words, _LEFT_ALONE).to_numpy(zero_copy_only=False))
+        odd = {i: w for i, w in zip(strange.tolist(), words.take(pa.array(strange)).to_pylist()) if w != w.lower() or not unicodedata.is_normalized("NFC", w)}
+        whole = dict(zip(odd, (e.ids for e in self.tokenizer.encode_batch_fast(list(odd.values()), add_special_tokens=False))))
+        for token, ids in self.added.items():
+            whole.update(dict.fromkeys(np.flatnonzero(pc.equal(words, token).to_numpy(zero_copy_only=False)).tolist(), ids))
+        # pieces: those of words of letters and marks, column by column, then those of other words
+        cut = pc.extract_regex(words, _LETTERS_MARKS)
+        easy = cut.is_valid().to_numpy(zero_copy_only=False)
+        easy[list(whole)] = False
+        hard = ~easy
+        hard[list(whole)] = False
+        cut, found = cut.filter(pa.array(easy)), [_PIECES.findall(w) for w in words.filter(pa.array(hard)).to_pylist()]
+        pieces = pa.concat_arrays([cut.field("letters"), cut.field("marks"), pa.array(list(chain.from_iterable(found)), pa.string())]).dictionary_encode()
+        values, first = self.pieces(pieces.dictionary)
+        # rows behind those of the pieces: the words that went through the whole tokenizer
+        at, n, m = pieces.indices.to_numpy(), len(first) - 1, int(easy.sum())
+        values = np.concatenate([values, np.fromiter(chain.from_iterable(whole.values()), np.int32)])
+        first = np.concatenate([first, first[-1] + np.cumsum([len(x) for x in whole.values()], dtype=np.int64)])
+        count = np.where(easy, 2, 1)
+        count[hard] = [len(x) for x in found]
+        begin = np.concatenate([[0], np.cumsum(count)])
+        row = np.empty(begin[-1], np.int64)
+        row[begin[:-1][easy]], row[begin[:-1][easy] + 1] = at[:m], at[m : 2 * m]
+        row[np.repeat(hard, count)] = at[2 * m :]
+        row[begin[list(whole)]] = n + np.arange(len(whole))
+        ids, starts = gather(values, first, row)
+        return ids, starts[begin]
+
+    def encode_batches(self, batches) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+        """``(batch, ids, offsets)`` for slices of the batches; each distinct word of a stretch of texts is encoded once."""
+        held: list[tuple[pa.RecordBatch, pa.ListArray]] = []
+        size = 0
+
+        def out():
+            words = pa.chunked_array([w.flatten() for _, w in held]).combine_chunks().dictionary_encode()
+            values, first = self(words.dictionary)
+            at, done = words.indices.to_numpy(), 0
+            for batch, lists in held:
+                ends = lists.offsets.to_numpy()
+                ids, starts = gather(values, first, at[done : done + ends[-1] - ends[0]])
+                done += ends[-1] - ends[0]
+                yield batch, ids, starts[ends - ends[0]]
+            held.clear()
+
+        for batch in slices(batches, "text", SLICE_BYTES):
+            held.append((batch, self.split_all(batch.column("text"))))
+            size += batch.column("text").nbytes
+            if size >= STRETCH_BYTES:
+                yield from out()
+                size = 0
+        if held:
+            yield from out()
+
+
+# a worker's encoder, from task to task
+_kept: dict[tuple[str, bool], WordEncoder] = {}
+
+
+def kept_encoder(definition: str, added_tokens: bool) -> WordEncoder:
+    if (definition, added_tokens) not in _kept:
+        _kept.clear()
+        _kept[definition, added_tokens] = WordEncoder(definition, added_tokens)
+    return _kept[definition, added_tokens]
 
 
 def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, path: str, added_tokens: bool = False) -> DataFrame:
@@ -303,15 +397,17 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, path: str, ad
                 x.clear()
             return batch
 
+        # a task is to use one core
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         # white space is dropped by this kind of vocabulary, so words are encoded apart
-        encoder = WordEncoder(held.value, added_tokens)
-        for batch, ids, first in ChunkTable(encoder, encoder.split).encode_batches(batches):
-            for d, doc in enumerate(batch.column("doc_id").to_pylist()):
-                one = np.append(ids[first[d] : first[d + 1]], end_id).astype(np.int32)
+        encoder = kept_encoder(held.value, added_tokens)
+        for batch, ids, first in encoder.encode_batches(batches):
+            ids, ends = np.insert(ids, first[1:], end_id), first + np.arange(len(first))
+            for doc, a, b in zip(batch.column("doc_id").to_pylist(), ends[:-1].tolist(), ends[1:].tolist()):
                 doc_ids.append(doc)
-                pieces.append(one)
-                sizes.append(len(one))
-                size += len(one)
+                pieces.append(ids[a:b])
+                sizes.append(b - a)
+                size += b - a
                 if size >= SHARD_IDS:
                     yield out()
         if doc_ids:

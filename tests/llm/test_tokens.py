@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 import tokenizers
@@ -157,6 +158,44 @@ def test_added_tokens_in_words_equal_the_plain_call():
         assert encoder(encoder.split(t))[0].tolist() == plain.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_encoded_batches_equal_the_plain_call(monkeypatch):
+    monkeypatch.setattr(token_store, "SLICE_BYTES", 300)
+    monkeypatch.setattr(token_store, "STRETCH_BYTES", 2000)
+    monkeypatch.setattr(token_store, "MAX_KEPT", 100)
+    with open(P.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        encoder = token_store.WordEncoder(f.read(), added_tokens=True)
+    texts = odd_texts(800, 13) + QUOTED + [None, "", " ", " a  b ", "a\x1cb \x1f", "\x85a\u3000b\u2028", "don't we'll x's' 's", "naïve, DÉJÀ ſt. straße;", "½x² a1b22 !?.. --a", "\x00\x01a\x7f", "</w>a</w>"] * 3
+    got = []
+    for part in (texts, texts[::-1]):
+        for _, ids, first in encoder.encode_batches([pa.RecordBatch.from_arrays([pa.array(part)], names=["text"]).slice(1)]):
+            got += [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])]
+    plain = tokenizers.Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in texts[1:] + texts[::-1][1:]]
+
+
+def test_new_pieces_go_to_the_library_many_at_a_time():
+    with open(P.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        pieces = token_store.Pieces(f.read())
+    plain = tokenizers.Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    asked, tokenizer = [], pieces.tokenizer
+
+    class Watched:
+        def encode_batch_fast(self, texts, **kw):
+            asked.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **kw)
+
+    pieces.tokenizer = Watched()
+    words = [f"{chr(97 + i % 26)}éa" * (1 + i // 26) for i in range(600)]
+    for _ in range(2):
+        values, first = pieces(pa.array([*words, ""]))
+    assert len(asked) == 10 and first[-1] == first[-2] == len(values)
+    assert [values[a:b].tolist() for a, b in zip(first[:-2], first[1:])] == [e.ids for e in plain.encode_batch(words, add_special_tokens=False)]
+    # without the marks, piece by piece
+    pieces.ends[:] = False
+    values, first = pieces(pa.array(["newpiece", "ñandú"]))
+    assert [values[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == [plain_ids("newpiece"), plain_ids("ñandú")]
+
+
 def test_query_gives_the_plain_calls_ids(spark, make_docs, tmp_path):
     make_docs(QUOTED + ["after"]).write.parquet(str(tmp_path / "documents.parquet"))
     want, start = [], 0
